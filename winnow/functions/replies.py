@@ -48,17 +48,18 @@ def cover_body(value: Column) -> Column:
         )
         return F.array_join(text, "\n\n")
 
-    inner = F.try_variant_get(value, "$.paragraphs", "variant")
-    return (
-        F.when(_kind(value) == "STRING", strip(F.try_variant_get(value, "$", "string")))
-        .when(F.startswith(_kind(value), F.lit("ARRAY<")), paragraphs(value))
-        .when(
-            F.startswith(_kind(value), F.lit("OBJECT<"))
-            & F.startswith(_kind(inner), F.lit("ARRAY<")),
-            paragraphs(inner),
+    def listed_or_empty(listed: Column) -> Column:
+        return F.when(F.startswith(_kind(listed), F.lit("ARRAY<")), paragraphs(listed)).otherwise("")
+
+    def body(v: Column) -> Column:
+        inner = F.try_variant_get(v, "$.paragraphs", "variant")
+        return (
+            F.when(_kind(v) == "STRING", strip(F.try_variant_get(v, "$", "string")))
+            .when(F.startswith(_kind(v), F.lit("OBJECT<")), let(inner, listed_or_empty))
+            .otherwise(listed_or_empty(v))
         )
-        .otherwise(F.lit(""))
-    )
+
+    return let(value, body)
 
 
 def bullets(value: Column) -> Column:

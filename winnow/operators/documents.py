@@ -52,8 +52,12 @@ def prompt_errors(jobs: DataFrame) -> DataFrame:
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
-    """``(id, reply)`` with the reply as a variant, null where it is unusable."""
-    return responses.select("id", R.reply_object(F.col("raw")).alias("reply"))
+    """``(id, reply)`` with the reply as a variant, null where it is unusable.
+
+    Generated rather than projected, so that a filter on the reply does not make the
+    optimizer parse it a second time.
+    """
+    return responses.select("id", F.explode_outer(F.array(R.reply_object(F.col("raw")))).alias("reply"))
 
 
 def response_errors(responses: DataFrame) -> DataFrame:
@@ -84,16 +88,21 @@ def application_payload(
     items only escaped, ``skills`` left alone. Labels of both languages are literals, so
     choosing them is a ``CASE`` and not a join.
     """
-    rows = approved(jobs).where(F.col("description").isNotNull())
-    rows = rows.join(parse_responses(responses).where(F.col("reply").isNotNull()), "id")
     lang = language(country_of(F.col("location"), F.col("description")))
+    # Narrow before the join: descriptions need not be shuffled.
+    rows = (
+        approved(jobs)
+        .where(F.col("description").isNotNull())
+        .select("id", "company", "title", lang.alias("lang"))
+        .join(parse_responses(responses).where(F.col("reply").isNotNull()), "id")
+    )
     reply = F.col("reply")
     skill_map = (
         F.create_map(*[F.lit(x) for kv in skills.items() for x in kv])
         if skills
         else F.create_map().cast("map<string,string>")
     )
-    return rows.withColumn("lang", lang).select(
+    return rows.select(
         "id",
         "lang",
         output_folder(F.col("company"), F.col("title")).alias("folder"),

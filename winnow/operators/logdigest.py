@@ -50,8 +50,11 @@ def digest_lines(lines: DataFrame, tail: int = TAIL) -> DataFrame:
     that is applied before the shuffle.
     """
     errors = lines.where(F.startswith(F.col("line"), F.lit("!")))
+    at = ["file", "line_no"]
     following = lines.select("file", (F.col("line_no") - 1).alias("line_no"), F.col("line").alias("next"))
-    hits = errors.join(following, ["file", "line_no"], "left").select(
+    # Errors are rare: with few of them this join is a broadcast and no line is shuffled.
+    following = following.join(errors.select(*at), at, "left_semi")
+    hits = errors.join(following, at, "left").select(
         "file",
         "line_no",
         F.lit("error").alias("kind"),

@@ -116,16 +116,16 @@ def pending_details(jobs: DataFrame) -> DataFrame:
 def fetched_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
     """The page of each pending address: its first copy, by ``page_id``.
 
-    Copies are settled on two narrow columns; the markup is read only for pages in use.
+    Copies are settled on two narrow columns, and many rows that point at one page are
+    folded first; the markup is read once, for pages in use.
     """
-    wanted = pending_details(jobs).select(F.col("apply_url").alias("url"))
+    wanted = pending_details(jobs).select(F.col("apply_url").alias("url")).distinct()
     firsts = (
-        pages.where(F.col("html").isNotNull())
-        .groupBy("url")
+        pages.groupBy("url")
         .agg(F.min("page_id").alias("page_id"))
         .join(wanted, "url", "left_semi")
     )
-    return pages.join(firsts.select("page_id"), "page_id", "left_semi")
+    return pages.join(firsts.select("page_id"), "page_id", "left_semi").where(F.col("html").isNotNull())
 
 
 def apply_details(jobs: DataFrame, pages: DataFrame, raw_dir: str = "data/raw_jobs") -> DataFrame:
@@ -159,9 +159,7 @@ def apply_details(jobs: DataFrame, pages: DataFrame, raw_dir: str = "data/raw_jo
 
 def raw_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
     """``(company, raw_path, html)`` of the rows whose page is kept under ``raw_path``."""
-    firsts = first_of_key(
-        pages.where(F.col("html").isNotNull()).select("url", "page_id"), ["url"], ["page_id"]
-    )
+    firsts = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
     used = jobs.where(F.col("raw_path").isNotNull()).join(
         firsts, F.col("apply_url") == firsts["url"]
     )

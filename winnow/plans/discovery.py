@@ -90,11 +90,12 @@ def discovery_metrics(listings: DataFrame, inserted: DataFrame) -> DataFrame:
     """Listings found and rows added per company and parser, with subtotals and the total.
 
     ``inserted`` is ``insert_new(…, extra=("parser",))``. Found and added rows are counted in
-    one grouping, so the listings need not be matched against the added rows.
+    one grouping, so the listings need not be matched against the added rows, and subtotals
+    are made from the counts, as a rollup first copies each of its rows.
     """
-    counted = listings.select("company", "parser", F.lit(0).alias("added")).unionByName(
-        inserted.select("company", "parser", F.lit(1).alias("added"))
-    )
-    return counted.rollup("company", "parser").agg(
-        F.count_if(F.col("added") == 0).alias("found"), F.count_if(F.col("added") == 1).alias("new")
+    keys = ["company", "parser"]
+    counted = listings.select(*keys, F.lit(1).alias("found"), F.lit(0).alias("new")).unionByName(
+        inserted.select(*keys, F.lit(0).alias("found"), F.lit(1).alias("new"))
     )
+    sums = [F.sum(c).alias(c) for c in ("found", "new")]
+    return counted.groupBy(*keys).agg(*sums).rollup(*keys).agg(*sums)

@@ -14,6 +14,7 @@ import sys
 from collections.abc import Iterator
 from html.entities import html5
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -26,7 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _ATTR = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+"""
 _MARKUP = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>(?>[\s/]++|" + _ATTR + r")*+)(?P<close>>|\Z)"
+    r"|<(/?)([A-Za-z][^\s/>]*+)((?>[\s/]++|" + _ATTR + r")*+)(>|\Z)"  # end, tag, attributes, close
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.S,
 )
@@ -40,6 +41,7 @@ _VOID = frozenset(
 )
 _RAW = frozenset(("script", "style"))
 _RCDATA = frozenset(("title", "textarea"))
+# Elements whose text is not part of the page's text.
 _SILENT = frozenset(("script", "style", "template", "rt", "rp"))
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in _RAW | _RCDATA}
 
@@ -95,144 +97,144 @@ class _NodeColumns:
     """Node fields of a run of pages, gathered column by column for Arrow."""
 
     def __init__(self) -> None:
-        self.pre, self.parent, self.last, self.depth = [], [], [], []
-        self.tag, self.text = [], []
+        self.parent, self.last, self.depth, self.tag, self.text = [], [], [], [], []
         self.keys, self.values, self.attr_ends = [], [], [0]
         self.page_ends, self.failed = [0], []
 
-    def _open(self, base: int, parent: int, depth: int, tag: str, text: str | None) -> int:
-        pre = len(self.pre) - base
-        self.pre.append(pre)
-        self.parent.append(parent)
-        self.last.append(pre)
-        self.depth.append(depth)
-        self.tag.append(tag)
-        self.text.append(text)
-        self.attr_ends.append(len(self.keys))
-        return pre
-
     def add_page(self, page: str | None) -> None:
-        base, attrs = len(self.pre), len(self.keys)
+        base, attrs = len(self.last), len(self.keys)
         try:
             self._scan(page or "", base)
             self.failed.append(None)
         except Exception as e:  # one bad page must not fail the task
-            for column in (self.pre, self.parent, self.last, self.depth, self.tag, self.text):
+            for column in (self.parent, self.last, self.depth, self.tag, self.text):
                 del column[base:]
             del self.attr_ends[base + 1 :], self.keys[attrs:], self.values[attrs:]
             self.failed.append(f"{type(e).__name__}: {e}")
-        self.page_ends.append(len(self.pre))
+        self.page_ends.append(len(self.last))
 
     def _scan(self, page: str, base: int) -> None:
-        last = self.last
+        last, keys, values = self.last, self.keys, self.values
+        add_parent, add_last, add_depth = self.parent.append, last.append, self.depth.append
+        add_tag, add_text, add_attr_end = self.tag.append, self.text.append, self.attr_ends.append
         names: list[str] = []  # open elements
-        pres: list[int] = []
+        pres: list[int] = [-1]  # their positions, below them the page itself
         open_count: dict[str, int] = {}
-        silent = 0
-        chars: list[str] = []
+        silent = 0  # open elements whose text does not count
+        chars: list[str] = []  # text since the last piece of markup
+        at = 0  # position of the next node
+
+        def add(tag: str, text: str | None) -> None:
+            nonlocal at
+            add_parent(pres[-1])
+            add_last(at)
+            add_depth(len(names))
+            add_tag(tag)
+            add_text(text)
+            add_attr_end(len(keys))
+            at += 1
 
         def flush() -> None:
-            if chars:
-                text = "".join(chars)
-                chars.clear()
-                if not silent:
-                    if "&" in text:
-                        text = _html.unescape(text)
-                    text = text.strip()
-                    if text:
-                        self._open(base, pres[-1] if pres else -1, len(pres), "#text", text)
+            text = "".join(chars) if len(chars) > 1 else chars[0]
+            chars.clear()
+            if not silent:
+                text = (_html.unescape(text) if "&" in text else text).strip()
+                if text:
+                    add("#text", text)
 
         def close_to(level: int) -> None:
             nonlocal silent
-            flush()
-            end = len(last) - base - 1
+            if chars:
+                flush()
             while len(names) > level:
                 name = names.pop()
                 open_count[name] -= 1
-                silent -= name in _SILENT
-                last[base + pres.pop()] = end
-
-        pos, size, match = 0, len(page), _MARKUP.search
+                if name in _SILENT:
+                    silent -= 1
+                last[base + pres.pop()] = at - 1
+
+        def close_open(ends, shield) -> None:
+            """Close the innermost of ``ends`` that ``shield`` does not protect."""
+            for i in range(len(names) - 1, -1, -1):
+                if names[i] in ends:
+                    close_to(i)
+                    return
+                if names[i] in shield:
+                    return
+
+        pos, size, search = 0, len(page), _MARKUP.search
         while pos < size:
-            m = match(page, pos)
+            m = search(page, pos)
             if m is None:
                 chars.append(page[pos:])
                 break
-            if m.start() > pos:
-                chars.append(page[pos : m.start()])
+            start = m.start()
+            if start > pos:
+                chars.append(page[pos:start])
             pos = m.end()
-            tag = m["tag"]
+            end, tag, attrs, close = m.groups()
             if tag is None:  # comment, doctype or processing instruction
-                flush()
+                if chars:
+                    flush()
                 continue
-            if not m["close"]:
+            if not close:
                 break
             tag = tag.lower()
-
-            if m["end"]:
+            if end:
                 if open_count.get(tag):
-                    shield = () if tag in _TABLE_ENDS else _CELLS
-                    for i in range(len(names) - 1, -1, -1):
-                        if names[i] == tag:
-                            close_to(i)
-                            break
-                        if names[i] in shield:
-                            break
+                    close_open((tag,), () if tag in _TABLE_ENDS else _CELLS)
                 continue
 
             for ends, shield in _IMPLIED_ENDS.get(tag, ()):
-                if any(open_count.get(t) for t in ends):
-                    for i in range(len(names) - 1, -1, -1):
-                        if names[i] in ends:
-                            close_to(i)
-                            break
-                        if names[i] in shield:
-                            break
+                for t in ends:
+                    if open_count.get(t):
+                        close_open(ends, shield)
+                        break
             if tag in _HEADINGS and names and names[-1] in _HEADINGS:
                 close_to(len(names) - 1)
             if len(names) >= _MAX_DEPTH:
                 close_to(_MAX_DEPTH - 1)
-            flush()
+            if chars:
+                flush()
 
-            attrs = m["attrs"]
-            first = len(self.keys)
-            if attrs and not attrs.isspace():
+            if len(attrs) > 1:
                 seen = set()
                 for name, dq, sq, bare in _ATTRS.findall(attrs):
                     name = name.lower()
                     if name not in seen:
                         seen.add(name)
-                        self.keys.append(name)
-                        self.values.append(_attr_text(dq or sq or bare))
-            pre = self._open(base, pres[-1] if pres else -1, len(pres), tag, None)
+                        keys.append(name)
+                        values.append(_attr_text(dq or sq or bare))
+            add(tag, None)
             if tag in _VOID:
                 continue
-            if tag in _RAW or tag in _RCDATA:
-                end = _RAW_END[tag].search(page, pos)
-                body = page[pos : end.start() if end else size]
-                if tag in _RCDATA and not silent:
-                    body = _html.unescape(body).strip()
-                    if body:
-                        self._open(base, pre, len(pres) + 1, "#text", body)
-                        last[base + pre] = pre + 1
-                if end is None:
-                    break
-                pos = page.find(">", end.end()) + 1 or size
-                continue
             names.append(tag)
-            pres.append(pre)
+            pres.append(at - 1)
             open_count[tag] = open_count.get(tag, 0) + 1
-            silent += tag in _SILENT
+            if tag in _SILENT:
+                silent += 1
+            if tag in _RAW_END:  # no markup inside: take the text up to the end tag
+                m = _RAW_END[tag].search(page, pos)
+                body = page[pos : m.start() if m else size]
+                if body and tag in _RCDATA:
+                    chars.append(body)
+                close_to(len(names) - 1)
+                if m is None:
+                    break
+                pos = page.find(">", m.end()) + 1 or size
         close_to(0)
 
     def arrays(self) -> tuple[pa.Array, pa.Array]:
         i32, text = pa.int32(), pa.string()
+        ends = np.asarray(self.page_ends, dtype=np.int32)
+        starts, sizes = ends[:-1], np.diff(ends)
+        pre = np.arange(ends[-1], dtype=np.int32) - np.repeat(starts, sizes)
         attrs = pa.MapArray.from_arrays(
             pa.array(self.attr_ends, i32), pa.array(self.keys, text), pa.array(self.values, text)
         )
         nodes = pa.StructArray.from_arrays(
             [
-                pa.array(self.pre, i32),
+                pa.array(pre),
                 pa.array(self.parent, i32),
                 pa.array(self.last, i32),
                 pa.array(self.depth, i32),
@@ -242,10 +244,7 @@ class _NodeColumns:
             ],
             names=["pre", "parent", "last", "depth", "tag", "attrs", "text"],
         )
-        return (
-            pa.ListArray.from_arrays(pa.array(self.page_ends, i32), nodes),
-            pa.array(self.failed, text),
-        )
+        return pa.ListArray.from_arrays(pa.array(ends), nodes), pa.array(self.failed, text)
 
 
 _CHUNK_CHARS = 4_000_000  # markup per output batch, keeps worker and JVM buffers small

@@ -29,8 +29,14 @@ def start_discovery(pages: DataFrame, table: str, checkpoint: str, *, as_of=None
     """
 
     def insert(batch: DataFrame, number: int) -> None:
-        known = read_batches(batch.sparkSession, table, JOBS, before=number)
-        append_batch(insert_new(known, discover(batch, **options), as_of=as_of), table, number)
+        found = discover(batch, **options).persist()
+        # The table outgrows every batch. Cut to the batch's own ids first, it is scanned
+        # where it lies as long as those are few enough to be broadcast.
+        ids = found.select(job_id(F.col("url")).alias("id")).distinct()
+        known = read_batches(batch.sparkSession, table, JOBS, before=number).select("id")
+        known = known.join(ids, "id", "left_semi")
+        append_batch(insert_new(known, found, as_of=as_of), table, number)
+        found.unpersist()
 
     return (
         pages.writeStream.foreachBatch(insert)
