@@ -142,41 +142,68 @@ def language(country: Column) -> Column:
     return F.when(country == "FR", "FR").otherwise("EN")
 
 
-# How each special character is written in a TeX document. The backslash
-# goes through a mark so that the backslashes put in by the other rules stay as they are.
+# How each special character is written in a TeX document.
+TEX = {
+    "\\": r"\textbackslash{}",
+    "&": r"\&",
+    "%": r"\%",
+    "$": r"\$",
+    "#": r"\#",
+    "_": r"\_",
+    "{": r"\{",
+    "}": r"\}",
+    "~": r"\textasciitilde{}",
+    "^": r"\textasciicircum{}",
+}
 _MARK = "\x01"
 
 
 def escape_tex(text: Column) -> Column:
+    """Text with TeX's special characters written out; null is empty.
+
+    Backslashes go through a mark, so that those the other rules put in stay as they are.
+    Text that holds the mark itself is treated between the marks.
+    """
+
     def chain(part: Column) -> Column:
         part = F.replace(part, F.lit("\\"), F.lit(_MARK))
         part = F.regexp_replace(part, r"([&%$#_{}])", r"\\$1")
-        part = F.replace(part, F.lit("~"), F.lit(r"\textasciitilde{}"))
-        part = F.replace(part, F.lit("^"), F.lit(r"\textasciicircum{}"))
-        return F.replace(part, F.lit(_MARK), F.lit(r"\textbackslash{}"))
+        for char in "~^":
+            part = F.replace(part, F.lit(char), F.lit(TEX[char]))
+        return F.replace(part, F.lit(_MARK), F.lit(TEX["\\"]))
 
-    def keeping_marks(part: Column) -> Column:
-        return F.array_join(F.transform(F.split(part, _MARK), chain), _MARK)
+    def between_marks(text: Column) -> Column:
+        return F.array_join(F.transform(F.split(text, _MARK), chain), _MARK)
 
     return let(
         F.coalesce(text, F.lit("")),
-        lambda t: F.when(F.contains(t, F.lit(_MARK)), keeping_marks(t)).otherwise(chain(t)),
+        lambda t: F.when(F.contains(t, F.lit(_MARK)), between_marks(t)).otherwise(chain(t)),
     )
 
 
+def escaped_lit(text: str) -> Column:
+    """A parameter, trimmed and escaped, as a literal: no work per row."""
+    return F.lit(text.strip().translate(str.maketrans(TEX)))
+
+
 def whole_word(term: str) -> str:
     """Pattern for a literal, case-insensitive term not flanked by letters or digits."""
     return rf"(?i)(^|[^\p{{L}}\p{{N}}]){quoted(term)}($|[^\p{{L}}\p{{N}}])"
 
 
 def skill_hits(text: Column, groups: Mapping[str, Iterable[str]]) -> dict[str, Column]:
-    """Per group, the sorted array of its terms found in the text."""
+    """Per group, the sorted array of its terms found in the text.
+
+    A plain substring test on the lower-case text comes first: it is much cheaper than the
+    pattern and rules out most terms.
+    """
     text = F.coalesce(text, F.lit(""))
+    lower = F.lower(text)
+
+    def hit(term: str) -> Column:
+        return F.contains(lower, F.lit(term.lower())) & text.rlike(whole_word(term))
+
     return {
-        group: F.sort_array(
-            F.array_compact(
-                F.array(*[F.when(text.rlike(whole_word(t)), F.lit(t)) for t in dict.fromkeys(terms)])
-            )
-        )
+        group: F.array_compact(F.array(*[F.when(hit(t), F.lit(t)) for t in sorted(set(terms))]))
         for group, terms in groups.items()
     }

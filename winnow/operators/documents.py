@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from winnow import defaults
 from winnow.functions import replies as R
-from winnow.functions.text import detect_country, escape_tex, language, output_folder, strip
+from winnow.functions.text import (
+    detect_country,
+    escape_tex,
+    escaped_lit,
+    language,
+    output_folder,
+    strip,
+)
 from winnow.sources.templates import render
 
 
@@ -69,9 +76,7 @@ def response_errors(responses: DataFrame) -> DataFrame:
 
 
 def _texts(values: Mapping[str, str]) -> Column:
-    return F.create_map(
-        *[c for k, v in values.items() for c in (F.lit(k), escape_tex(strip(F.lit(v))))]
-    )
+    return F.create_map(*[c for k, v in values.items() for c in (F.lit(k), escaped_lit(v))])
 
 
 def application_payload(
@@ -115,9 +120,7 @@ def application_payload(
         escape_tex(
             R.cover_body(F.try_variant_get(reply, "$.cover_letter_body", "variant"))
         ).alias("cover_letter_body"),
-        F.struct(
-            *[escape_tex(strip(F.lit(v))).alias(k) for k, v in identity.items()]
-        ).alias("identity"),
+        F.struct(*[escaped_lit(v).alias(k) for k, v in identity.items()]).alias("identity"),
         _by_language(F.col("lang"), {k: _texts(v) for k, v in labels.items()}).alias("labels"),
         skill_map.alias("skills"),
     )

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from winnow.schemas import NODES
+from winnow.sources.tables import spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -270,24 +271,6 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 start, size, nodes = row + 1, 0, _NodeColumns()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input enough partitions to use every core.
-
-    Markup compresses well, so a few row groups can hold a lot of work. Only inputs that
-    a scan could not split over all cores are shuffled (by the planner's own estimate, at
-    most one split's bytes per core); a large table is left as it is.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if estimate < cores * split else df
-
-
 def html_nodes(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
     """``keep`` columns plus ``nodes`` and ``error`` (null unless the page failed)."""
     kept = [pages.schema[c] for c in keep]

@@ -25,6 +25,24 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input enough partitions to use every core.
+
+    Text compresses well, so a single row group can hold a lot of work. Only inputs that
+    a scan could not split over all cores are shuffled (by the planner's own estimate, at
+    most one split's bytes per core); a large table is left as it is.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if estimate < cores * split else df
+
+
 def _committed(spark: SparkSession, root: str, label: str) -> dict[int, str]:
     """Numbers and paths of the committed ``label=N`` directories below ``root``."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
