@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 def read_logs(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
     """``(file, value)``; bytes that are not UTF-8 are replaced."""
     return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .text(path)
+        spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
         .select(
             F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("value")
         )
