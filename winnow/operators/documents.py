@@ -89,6 +89,8 @@ def application_payload(
 ) -> DataFrame:
     """What the templates need, for each approved row with a usable reply.
 
+    ``responses`` holds one row per id.
+
     Precedence: reply, then identity, then labels. All texts are trimmed and escaped, list
     items only escaped, ``skills`` left alone. Labels of both languages are literals, so
     choosing them is a ``CASE`` and not a join.
@@ -141,14 +143,16 @@ def render_documents(payload: DataFrame, templates: Mapping[str, str], *, id_suf
     values["skills_dict"] = F.col("skills")
     for field in payload.schema["identity"].dataType.names:
         values[field] = F.col(f"identity.{field}")
-    for label in {k for by_lang in defaults.LANGUAGE_LABELS.values() for k in by_lang}:
-        values[label] = F.col("labels")[label]
+
+    def label(name: str) -> Column:
+        return F.col("labels")[name]
+
     folder = F.col("folder")
     if id_suffix:
         folder = F.concat(folder, F.lit("_"), F.substring("id", 1, 6))
     bodies = F.array(
         *[
-            F.struct(F.lit(kind).alias("kind"), render(t, values).alias("body"))
+            F.struct(F.lit(kind).alias("kind"), render(t, values, label).alias("body"))
             for kind, t in templates.items()
         ]
     )
@@ -157,6 +161,11 @@ def render_documents(payload: DataFrame, templates: Mapping[str, str], *, id_suf
     )
 
 
+def write_documents(documents: DataFrame, path: str) -> None:
+    """One table of all documents; ``folder`` and ``kind`` say where each belongs."""
+    documents.write.mode("overwrite").partitionBy("kind").parquet(path)
+
+
 def folder_collisions(payload: DataFrame) -> DataFrame:
     """Folders that several rows would write to."""
     return (

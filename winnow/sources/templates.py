@@ -2,13 +2,13 @@
 
 ``<< name >>`` stands for a value, ``<% for x in name %> … <% endfor %>`` repeats its body
 for a list, ``<% for k, v in name.items() %>`` for a map, ``<# … #>`` is left out. Unknown
-names are empty. One line break at the very end of a template is dropped.
+names are empty, or what ``otherwise`` gives for them. One line break at the very end of a template is dropped.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,15 +29,16 @@ def _steps(template: str):
     yield "text", template[at:]
 
 
-def _body(steps, values: Mapping[str, Column], nested: bool) -> Column:
+def _body(steps, values: Mapping[str, Column], otherwise, nested: bool) -> Column:
     parts = []
     for kind, what in steps:
         if kind == "text":
             if what:
                 parts.append(F.lit(what))
         elif kind == "value":
-            if what in values:
-                parts.append(F.coalesce(values[what].cast("string"), F.lit("")))
+            value = values[what] if what in values else otherwise(what)
+            if value is not None:
+                parts.append(F.coalesce(value.cast("string"), F.lit("")))
         elif what == "endfor" and nested:
             break
         elif loop := _FOR.match(what):
@@ -46,19 +47,19 @@ def _body(steps, values: Mapping[str, Column], nested: bool) -> Column:
             if name not in values:
                 continue
             rows = F.map_entries(values[name]) if items else values[name]
-            each = _each(inner, values, first, second)
+            each = _each(inner, values, otherwise, first, second)
             parts.append(F.coalesce(F.array_join(F.transform(rows, each), ""), F.lit("")))
         else:
             raise ValueError(f"unsupported template block: {what!r}")
     return F.concat(*parts) if parts else F.lit("")
 
 
-def _each(inner, values: Mapping[str, Column], first: str, second: str | None):
+def _each(inner, values: Mapping[str, Column], otherwise, first: str, second: str | None):
     """Lambda that renders a loop body for one list item, or one key and value."""
 
     def one(x: Column) -> Column:
         bound = {first: x} if second is None else {first: x["key"], second: x["value"]}
-        return _body(iter(inner), {**values, **bound}, True)
+        return _body(iter(inner), {**values, **bound}, otherwise, True)
 
     return one
 
@@ -74,7 +75,11 @@ def _until_end(steps):
     raise ValueError("template loop without an end")
 
 
-def render(template: str, values: Mapping[str, Column]) -> Column:
+def render(
+    template: str,
+    values: Mapping[str, Column],
+    otherwise: Callable[[str], Column | None] = lambda name: None,
+) -> Column:
     """The template as a string column over ``values`` (name to column)."""
     template = template[:-1] if template.endswith("\n") else template
-    return _body(_steps(template), values, nested=False)
+    return _body(_steps(template), values, otherwise, nested=False)
