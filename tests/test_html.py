@@ -136,6 +136,12 @@ def test_hostile_pages_take_linear_time(unit):
     assert error is None and time.perf_counter() - start < 8
 
 
+def test_many_attributes_take_linear_time():
+    start = time.perf_counter()
+    (nodes,), (error,) = scan("<a " + " ".join(f"a{i}=x" for i in range(100_000)) + ">")
+    assert len(nodes[0]["attrs"]) == 100_000 and time.perf_counter() - start < 8
+
+
 def test_depth_is_bounded():
     (nodes,), _ = scan("<div>" * 5000 + "x")
     check_shape(nodes)

@@ -81,9 +81,6 @@ _MAX_DEPTH = 512  # as browsers do: deeper elements become siblings
 
 
 def _attr_text(value: str) -> str:
-    if "&" not in value:
-        return value
-
     def decode(m: re.Match) -> str:
         ref = m.group()
         if ref.endswith(";") or ref.startswith("&#"):
@@ -169,10 +166,10 @@ class _NodeColumns:
             if m is None:
                 chars.append(page[pos:])
                 break
-            start = m.start()
+            start, stop = m.span()
             if start > pos:
                 chars.append(page[pos:start])
-            pos = m.end()
+            pos = stop
             end, tag, attrs, close = m.groups()
             if tag is None:  # comment, doctype or processing instruction
                 if chars:
@@ -182,17 +179,20 @@ class _NodeColumns:
                 break
             tag = tag.lower()
             if end:
-                if open_count.get(tag):
+                if names and names[-1] == tag:
+                    close_to(len(names) - 1)
+                elif open_count.get(tag):
                     close_open((tag,), () if tag in _TABLE_ENDS else _CELLS)
                 continue
 
-            for ends, shield in _IMPLIED_ENDS.get(tag, ()):
-                for t in ends:
-                    if open_count.get(t):
-                        close_open(ends, shield)
-                        break
-            if tag in _HEADINGS and names and names[-1] in _HEADINGS:
-                close_to(len(names) - 1)
+            if tag in _IMPLIED_ENDS:
+                for ends, shield in _IMPLIED_ENDS[tag]:
+                    for t in ends:
+                        if open_count.get(t):
+                            close_open(ends, shield)
+                            break
+                if tag in _HEADINGS and names and names[-1] in _HEADINGS:
+                    close_to(len(names) - 1)
             if len(names) >= _MAX_DEPTH:
                 close_to(_MAX_DEPTH - 1)
             if chars:
@@ -205,7 +205,8 @@ class _NodeColumns:
                     if name not in seen:
                         seen.add(name)
                         keys.append(name)
-                        values.append(_attr_text(dq or sq or bare))
+                        value = dq or sq or bare
+                        values.append(_attr_text(value) if "&" in value else value)
             add(tag, None)
             if tag in _VOID:
                 continue
