@@ -166,7 +166,7 @@ def escaped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A reply for every document; those of one source are broken off."""
+    """A reply for every document; those of one source lack their last brace."""
     reply = F.to_json(
         F.struct(
             F.concat(F.lit(" "), "source", F.lit("_1 ")).alias("job_title_target"),
@@ -176,7 +176,7 @@ def document_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("Nobody").alias("first_name"),
         )
     )
-    raw = F.when(F.col("source") == "src7", F.substring(reply, 1, 20)).otherwise(reply)
+    raw = F.when(F.col("source") == "src7", F.regexp_replace(reply, r"\}$", "")).otherwise(reply)
     return table(spark, sf_dir, "documents").select(
         F.md5(F.col("doc_id").cast("string")).alias("id"), raw.alias("raw")
     )

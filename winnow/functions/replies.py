@@ -16,16 +16,17 @@ def reply_object(raw: Column) -> Column:
     is an error too. The second parse is made only where such a bracket occurs.
     """
 
-    def parse(body: Column) -> Column:
-        listed = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    def checked(body: Column, listed: Column) -> Column:
         alone = F.try_variant_get(listed, "$[1]", "variant").isNull()
         closed = ~body.rlike(r"\}\s*\]") | F.try_parse_json(
             F.concat(F.lit('{"r":'), body, F.lit("}"))
         ).isNotNull()
-        filled = ~body.rlike(r"^\{\s*\}$")
-        return F.when(
-            (body != "") & filled & closed & alone, F.try_variant_get(listed, "$[0]", "variant")
-        )
+        return F.when(alone & closed, F.try_variant_get(listed, "$[0]", "variant"))
+
+    def parse(body: Column) -> Column:
+        listed = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+        filled = (body != "") & ~body.rlike(r"^\{\s*\}$")
+        return F.when(filled, let(listed, lambda v: checked(body, v)))
 
     return let(F.regexp_extract(raw, r"(?s)\{.*\}", 0), parse)
 
