@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 from catalog import query, table
 from winnow.functions import nodes as N
 from winnow.functions import urls
-from winnow.functions.text import matches_role
+from winnow.functions.text import classify, matches_role
 from winnow.operators import profiles as P
 from winnow.operators.extract import extract, page_errors
 from winnow.operators.state import first_of_key
-from winnow.plans.discovery import detect_ats_join, in_target_order
+from winnow.plans import stages
+from winnow.plans.discovery import detect_ats_join, discover, in_target_order
 from winnow.schemas import JOBS
 from winnow.sources.html import html_nodes
 from winnow.sources.tables import read_batches, shared_dir
 from winnow.sources.targets import distinct_targets
-from winnow.streaming.discovery import read_pages, start_discovery
+from winnow.streaming.discovery import read_pages, start_discovery, unique_listings
 
 # Parameters that suit the data: its links are single words.
 HREFS = "(?iu)^/(a|e|o|th)"
@@ -215,9 +216,7 @@ def stream_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages,
         f"{root}/jobs",
         f"{root}/progress",
-        rules=(),
-        fallback=("simple_relaxed", "Simple/HTML"),
-        profiles={"simple_relaxed": RELAXED},
+        **STREAM,
     )
     run.awaitTermination()
     return read_batches(spark, f"{root}/jobs", JOBS).select(
@@ -225,6 +224,58 @@ def stream_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+STREAM = {"rules": (), "fallback": ("simple_relaxed", "Simple/HTML"), "profiles": {"simple_relaxed": RELAXED}}
+
+
+def _landed(rows: DataFrame, root: str) -> DataFrame:
+    """What a stream of rows leaves when all its input is read."""
+    run = (
+        rows.writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/out")
+
+
+@query("stream_unique", f"WITH {_RELAXED_SQL} SELECT DISTINCT md5(url) AS id, url FROM listing")
+def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each listing of the stream once, by state."""
+    listings = discover(read_pages(spark, sf_dir, glob="pages.parquet"), **STREAM)
+    return _landed(unique_listings(listings).select("id", "url"), shared_dir(spark))
+
+
+@query(
+    "stream_triage",
+    rf"""WITH {_RELAXED_SQL}, tok AS (SELECT url, page_id,
+  list_distinct(regexp_extract_all(lower(title), '[\p{{L}}\p{{N}}_]+')) AS ts FROM listing)
+SELECT page_id, url, CASE WHEN len(list_intersect(ts, ['then', 'when'])) = 0 AND len(list_intersect(ts, ['the', 'then'])) > 0
+  THEN 'approved' ELSE 'ignored' END AS status FROM tok""",
+)
+def stream_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict is a function of the title, so it is the same on a stream."""
+    listings = discover(read_pages(spark, sf_dir, glob="pages.parquet"), **STREAM)
+    verdict = classify(F.col("title"), ("the", "then"), ("then", "when"))
+    return _landed(listings.select("page_id", "url", verdict["status"].alias("status")), shared_dir(spark))
+
+
+_SHORT_SQL = "coalesce(string_split(string_split({u}, '//')[2], '.')[CASE WHEN string_split(string_split({u}, '//')[2], '.')[1] = 'www' THEN 2 ELSE 1 END], 'unknown')"
+
+
+@query(
+    "run_discovery",
+    f"""WITH {_RELAXED_SQL}, first AS (SELECT * FROM listing QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id, n) = 1),
+c AS (SELECT {_SHORT_SQL.format(u="page")} AS company, 1 AS f, 0 AS a FROM listing
+  UNION ALL SELECT {_SHORT_SQL.format(u="page")}, 0, 1 FROM first
+  UNION ALL SELECT {_SHORT_SQL.format(u="url")}, 0, 0 FROM pages),
+p AS (SELECT *, 'Simple/HTML' AS parser FROM c)
+SELECT company, parser, CAST(sum(f) AS BIGINT) AS found, CAST(sum(a) AS BIGINT) AS new FROM p GROUP BY ROLLUP (company, parser)""",
+)
+def run_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored stage, into a new table: what was found and added, zeros included."""
+    pages = table(spark, sf_dir, "pages")
+    return stages.run_discovery(pages, f"{shared_dir(spark)}/jobs", **STREAM)
+
+
 @query(
     "role_filter",
     "SELECT p_partkey, p_name FROM part WHERE regexp_matches(lower(p_name), 'wid|ear|ot |ll p')",

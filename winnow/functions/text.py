@@ -33,7 +33,7 @@ def lits(values: Iterable[str]) -> Column:
 
 def quoted(text: str) -> str:
     """A pattern that matches ``text`` literally, in Java and RE2 alike."""
-    return re.sub(r"([^\w\s]|_)", r"\\\1", text) if not text.isalnum() else text
+    return re.sub(r"([^\w\s])", r"\\\1", text)
 
 
 def any_of(words: Iterable[str]) -> str:

@@ -59,26 +59,32 @@ def in_target_order(pages: DataFrame, targets: DataFrame) -> DataFrame:
     return pages.join(targets.select("url", "ord"), "url")
 
 
-def discover(
+def dispatch(
     pages: DataFrame,
     *,
     rules: Iterable[tuple[str, str, str]] = defaults.ATS_RULES,
     fallback: tuple[str, str] = defaults.FALLBACK_RULE,
-    profiles: Mapping[str, Profile] = LIVE_PROFILES,
     overrides: Iterable[tuple[str, str]] = defaults.COMPANY_OVERRIDES,
-    keep: tuple[str, ...] = ("page_id",),
 ) -> DataFrame:
-    """Listings of all pages, each read by the layout its host calls for, in one scan."""
+    """``pages`` with the ``company``, the ``profile`` to read them by, and its label, ``parser``."""
     url = F.col("url")
-    rows = pages.withColumn("ats", urls.detect_ats(url, rules, fallback)).select(
-        *keep,
-        "url",
-        "html",
-        urls.company_name(url, overrides).alias("company"),
-        F.col("ats.profile").alias("profile"),
-        F.col("ats.label").alias("parser"),
-    )
-    return extract(rows, profiles, keep=(*keep, "url", "company", "parser"))
+    return pages.withColumns(
+        {"company": urls.company_name(url, overrides), "ats": urls.detect_ats(url, rules, fallback)}
+    ).select(*pages.columns, "company", F.col("ats.profile").alias("profile"), F.col("ats.label").alias("parser"))
+
+
+def discover(
+    pages: DataFrame,
+    *,
+    profiles: Mapping[str, Profile] = LIVE_PROFILES,
+    keep: tuple[str, ...] = ("page_id",),
+    **options,
+) -> DataFrame:
+    """Listings of all pages, each read by the layout its host calls for, in one scan.
+
+    ``options`` are those of ``dispatch``.
+    """
+    return extract(dispatch(pages, **options), profiles, keep=(*keep, "url", "company", "parser"))
 
 
 def discover_new(jobs: DataFrame, pages: DataFrame, *, as_of=None, **options) -> DataFrame:
@@ -86,16 +92,29 @@ def discover_new(jobs: DataFrame, pages: DataFrame, *, as_of=None, **options) ->
     return insert_new(jobs, discover(pages, **options), as_of=as_of)
 
 
-def discovery_metrics(listings: DataFrame, inserted: DataFrame) -> DataFrame:
+def discovery_metrics(
+    listings: DataFrame,
+    inserted: DataFrame,
+    *,
+    keys: Iterable[str] = ("company", "parser"),
+    visited: DataFrame | None = None,
+) -> DataFrame:
     """Listings found and rows added per company and parser, with subtotals and the total.
 
-    ``inserted`` is ``insert_new(…, extra=("parser",))``. Found and added rows are counted in
-    one grouping, so the listings need not be matched against the added rows, and subtotals
-    are made from the counts, as a rollup first copies each of its rows.
+    ``inserted`` is ``insert_new(…, extra=("parser",))``, or more for other ``keys``. With
+    ``visited``, the dispatched pages, those without listings count as well, with zeros.
+
+    Found and added rows are counted in one grouping, so the listings need not be matched
+    against the added rows, and subtotals are made from the counts, as a rollup first
+    copies each of its rows.
     """
-    keys = ["company", "parser"]
-    counted = listings.select(*keys, F.lit(1).alias("found"), F.lit(0).alias("new")).unionByName(
-        inserted.select(*keys, F.lit(0).alias("found"), F.lit(1).alias("new"))
-    )
+    keys = list(keys)
+
+    def ones(rows: DataFrame, found: int, new: int) -> DataFrame:
+        return rows.select(*keys, F.lit(found).alias("found"), F.lit(new).alias("new"))
+
+    counted = ones(listings, 1, 0).unionByName(ones(inserted, 0, 1))
+    if visited is not None:
+        counted = counted.unionByName(ones(visited, 0, 0))
     sums = [F.sum(c).alias(c) for c in ("found", "new")]
     return counted.groupBy(*keys).agg(*sums).rollup(*keys).agg(*sums)

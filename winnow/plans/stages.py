@@ -10,7 +10,9 @@ from winnow.operators.documents import build_prompts, write_documents
 from winnow.operators.state import apply_details, empty_jobs, insert_new
 from winnow.operators.triage import apply_triage, triage, triage_summary
 from winnow.plans.application import ingest_responses
-from winnow.plans.discovery import discover, discovery_metrics
+from winnow.operators.extract import extract
+from winnow.operators.profiles import LIVE_PROFILES
+from winnow.plans.discovery import discovery_metrics, dispatch
 from winnow.schemas import JOBS
 from winnow.sources.tables import read_latest, shared_dir, write_next
 
@@ -19,7 +21,9 @@ def jobs_table(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, root, JOBS)
 
 
-def run_discovery(pages: DataFrame, root: str, *, as_of=None, **options) -> DataFrame:
+def run_discovery(
+    pages: DataFrame, root: str, *, profiles=LIVE_PROFILES, as_of=None, **options
+) -> DataFrame:
     """Add the pages' new listings; returns the counts per company and parser.
 
     The listings are written first: they are needed three times, and reading them back is
@@ -27,12 +31,14 @@ def run_discovery(pages: DataFrame, root: str, *, as_of=None, **options) -> Data
     """
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/listings"
-    discover(pages, **options).write.parquet(path)
+    visited = dispatch(pages, **options)
+    keep = ("page_id", "url", "company", "parser")
+    extract(visited, profiles, keep=keep).write.parquet(path)
     listings = spark.read.parquet(path)
     jobs = jobs_table(spark, root)
     added = insert_new(jobs, listings, as_of=as_of, extra=["parser"])
     write_next(jobs.unionByName(added.drop("parser")), root)
-    return discovery_metrics(listings, added)
+    return discovery_metrics(listings, added, visited=visited)
 
 
 def run_details(pages: DataFrame, root: str) -> int:

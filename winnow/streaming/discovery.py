@@ -21,8 +21,12 @@ def read_pages(spark: SparkSession, path: str, *, glob: str = "*.parquet", files
     return reader.parquet(path)
 
 
-def start_discovery(pages: DataFrame, table: str, checkpoint: str, *, as_of=None, **options) -> StreamingQuery:
-    """Add the new rows of every micro-batch to ``table`` and stop when all input is read.
+def start_discovery(
+    pages: DataFrame, table: str, checkpoint: str, *, every: str | None = None, as_of=None, **options
+) -> StreamingQuery:
+    """Add the new rows of every micro-batch to ``table``.
+
+    Stops when all input is read, or looks for more ``every`` so often (``"1 minute"``).
 
     A batch sees only what earlier batches wrote and owns its directory, so running it again
     after a failure writes the same rows again and never inserts twice.
@@ -38,10 +42,11 @@ def start_discovery(pages: DataFrame, table: str, checkpoint: str, *, as_of=None
         append_batch(insert_new(known, found, as_of=as_of), table, number)
         found.unpersist()
 
+    when = {"processingTime": every} if every else {"availableNow": True}
     return (
         pages.writeStream.foreachBatch(insert)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**when)
         .start()
     )
 
