@@ -203,14 +203,10 @@ def extract(
         for name, p in profiles.items():
             rows, hit = listings_of(p), F.col("profile") == name
             found = F.when(hit, rows) if found is None else found.when(hit, rows)
+    shown = [F.col(c).alias("page_url") if c == "url" else F.col(c) for c in keep]
     # Outer, as the plain form makes the optimizer test the array's size first and
     # so evaluate the whole extraction twice.
-    rows = scanned.select(*kept, found.alias("found")).select(
-        *[F.col(c).alias("page_url") if c == "url" else F.col(c) for c in kept],
-        F.explode_outer("found").alias("listing"),
-    )
-    names = ["page_url" if c == "url" else c for c in kept if not (c == "profile" and c not in keep)]
-    return rows.where(F.col("listing.url").isNotNull()).select(*names, "listing.*")
+    return scanned.select(*shown, F.inline_outer(found)).where(F.col("url").isNotNull())
 
 
 def page_errors(pages: DataFrame) -> DataFrame:
