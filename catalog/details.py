@@ -22,7 +22,7 @@ t AS (SELECT page_id, list_filter(list_transform(parts, lambda x: trim({_UNESCAP
 SELECT page_id, array_to_string(parts, chr(10)) AS text FROM t""",
 )
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html_nodes(table(spark, sf_dir, "pages"), "page_id")
+    nodes = html_nodes(table(spark, sf_dir, "pages"), "page_id", attributes=())
     return nodes.select("page_id", page_text(F.col("nodes")).alias("text"))
 
 
@@ -47,7 +47,7 @@ _TEXT_SQL = "concat_ws(chr(10), p_brand, p_name, 'Size', ': ' || p_size || ' <mm
 
 @query("page_text_part", f"SELECT p_partkey AS page_id, {_TEXT_SQL} AS text FROM part")
 def part_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html_nodes(detail_pages(spark, sf_dir), "page_id")
+    nodes = html_nodes(detail_pages(spark, sf_dir), "page_id", attributes=())
     return nodes.select("page_id", page_text(F.col("nodes")).alias("text"))
 
 

@@ -149,7 +149,7 @@ _NORMAL_SQL = """CASE WHEN starts_with(href, 'http') THEN href
 def normalize_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     anchors = F.filter("nodes", P.ANCHOR.test)
     return (
-        html_nodes(table(spark, sf_dir, "pages"), "page_id", "url")
+        html_nodes(table(spark, sf_dir, "pages"), "page_id", "url", attributes=["href"])
         .select("page_id", "url", F.transform(anchors, lambda a: a["attrs"]["href"]).alias("hrefs"))
         .select("page_id", "url", F.posexplode_outer("hrefs").alias("at", "href"))
         .where(F.col("at").isNotNull())
@@ -327,7 +327,7 @@ def first_link_in_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = F.transform(F.filter("nodes", P.ANCHOR.test), lambda a: a["attrs"]["href"])
     firsts = N.keep_first(links, lambda href: href)
     return (
-        html_nodes(table(spark, sf_dir, "pages"), "page_id")
+        html_nodes(table(spark, sf_dir, "pages"), "page_id", attributes=["href"])
         .select("page_id", firsts.alias("links"))
         .where(F.size("links") > 0)
         .select(

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from winnow.functions import nodes as N
+from winnow.operators import profiles as P
 from winnow.sources.html import _NodeColumns, html_nodes
 
 
@@ -79,6 +80,26 @@ def test_attributes():
     }
 
 
+def test_only_the_wanted_attributes():
+    page = '<a href="x" class="c" STYLE="s">t</a><b href="y" href="z">'
+    for wanted, want in [(None, 4), (frozenset(("href",)), 2), (frozenset(), 0), (frozenset(("style", "id")), 1)]:
+        columns = _NodeColumns(wanted)
+        columns.add_page(page)
+        nodes = columns.arrays()[0].to_pylist()[0]
+        found = [kv for n in nodes for kv in n["attrs"]]
+        assert len(found) == want
+        assert wanted is None or {k for k, _ in found} <= wanted
+    assert dict(scan(page)[0][0][-1]["attrs"]) == {"href": "y"}
+
+
+def test_profiles_name_the_attributes_they_need():
+    assert P.SIMPLE.attributes() == {"href"}
+    assert P.LEVER.attributes() == {"href", "class", "data-qa"}
+    assert P.WORKDAY.attributes() == {"href", "data-automation-id"}
+    assert P.TEAMTAILOR.attributes() == {"href", "class", "title"}
+    assert P.WORKABLE.attributes() == {"href", "class", "data-ui"}
+
+
 def check_shape(nodes):
     for i, n in enumerate(nodes):
         assert n["pre"] == i and i <= n["last"] < len(nodes)

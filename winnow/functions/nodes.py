@@ -28,6 +28,12 @@ class Select:
     has_attr: str | None = None
     attr_pattern: tuple[str, str] | None = None
 
+    def attributes(self) -> set[str]:
+        """Names of the attributes the test looks at."""
+        names = {a[0] for a in (self.attr, self.attr_pattern) if a is not None}
+        names |= {self.has_attr} if self.has_attr is not None else set()
+        return names | ({"class"} if self.class_token or self.class_pattern else set())
+
     def test(self, node: Column) -> Column:
         attrs = node["attrs"]
         checks = []

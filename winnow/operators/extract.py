@@ -195,7 +195,8 @@ def extract(
         pages = pages.withColumn("profile", F.col("profile") if profile is None else profile)
         if "profile" not in kept:
             kept.append("profile")
-    scanned = html_nodes(pages, *kept)
+    used = [profiles] if single else profiles.values()
+    scanned = html_nodes(pages, *kept, attributes=set().union(*(p.attributes() for p in used)))
     if single:
         found = listings_of(profiles)
     else:
@@ -212,7 +213,7 @@ def extract(
 def page_errors(pages: DataFrame) -> DataFrame:
     """``(id, stage, message)`` of the pages that could not be scanned."""
     return (
-        html_nodes(pages, "page_id")
+        html_nodes(pages, "page_id", attributes=())
         .where(F.col("error").isNotNull())
         .select(
             F.col("page_id").cast("string").alias("id"),

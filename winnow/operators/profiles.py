@@ -55,6 +55,12 @@ class Profile:
     address: str = "normalize"
     base: str | None = None
 
+    def attributes(self) -> set[str]:
+        """Names of the attributes that reading a page by this profile needs."""
+        selects = [self.items, self.items_fallback, self.link_is_item, self.link]
+        selects += [*self.title, *self.place, *self.place_for_link_items]
+        return {"href"}.union(*(s.attributes() for s in selects if s is not None))
+
 
 ANCHOR = Select(tags=("a",), has_attr="href")
 IS_ANCHOR = Select(tags=("a",))

@@ -135,7 +135,7 @@ def apply_details(jobs: DataFrame, pages: DataFrame, raw_dir: str = "data/raw_jo
     scanned once, before the join, however many rows point at it.
     """
     texts = (
-        html_nodes(fetched_pages(jobs, pages), "url")
+        html_nodes(fetched_pages(jobs, pages), "url", attributes=())
         .where(F.col("error").isNull())
         .select("url", page_text(F.col("nodes")).alias("text"))
     )

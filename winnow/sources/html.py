@@ -11,7 +11,7 @@ from __future__ import annotations
 import html as _html
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.entities import html5
 
 import numpy as np
@@ -94,7 +94,8 @@ def _attr_text(value: str) -> str:
 class _NodeColumns:
     """Node fields of a run of pages, gathered column by column for Arrow."""
 
-    def __init__(self) -> None:
+    def __init__(self, wanted: frozenset[str] | None = None) -> None:
+        self.wanted = wanted  # names of the attributes to keep, None for all
         self.parent, self.last, self.depth, self.tag, self.text = [], [], [], [], []
         self.keys, self.values, self.attr_ends = [], [], [0]
         self.page_ends, self.failed = [0], []
@@ -112,7 +113,8 @@ class _NodeColumns:
         self.page_ends.append(len(self.last))
 
     def _scan(self, page: str, base: int) -> None:
-        last, keys, values = self.last, self.keys, self.values
+        last, keys, values, wanted = self.last, self.keys, self.values, self.wanted
+        no_attrs = wanted is not None and not wanted
         add_parent, add_last, add_depth = self.parent.append, last.append, self.depth.append
         add_tag, add_text, add_attr_end = self.tag.append, self.text.append, self.attr_ends.append
         names: list[str] = []  # open elements
@@ -198,11 +200,11 @@ class _NodeColumns:
             if chars:
                 flush()
 
-            if len(attrs) > 1:
+            if len(attrs) > 1 and not no_attrs:
                 seen = set()
                 for name, dq, sq, bare in _ATTRS.findall(attrs):
                     name = name.lower()
-                    if name not in seen:
+                    if name not in seen and (wanted is None or name in wanted):
                         seen.add(name)
                         keys.append(name)
                         value = dq or sq or bare
@@ -252,13 +254,15 @@ class _NodeColumns:
 _CHUNK_CHARS = 4_000_000  # markup per output batch, keeps worker and JVM buffers small
 
 
-def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan_batches(
+    batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.num_rows
         column = batch.schema.get_field_index("html")
         kept = [i for i in range(batch.num_columns) if i != column]
         names = [batch.schema.names[i] for i in kept]
-        start, size, nodes = 0, 0, _NodeColumns()
+        start, size, nodes = 0, 0, _NodeColumns(wanted)
         for row in range(rows):
             page = batch.column(column)[row].as_py()
             nodes.add_page(page)
@@ -269,14 +273,21 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     [part.column(i) for i in kept] + list(nodes.arrays()),
                     names=names + ["nodes", "error"],
                 )
-                start, size, nodes = row + 1, 0, _NodeColumns()
+                start, size, nodes = row + 1, 0, _NodeColumns(wanted)
 
 
-def html_nodes(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
-    """``keep`` columns plus ``nodes`` and ``error`` (null unless the page failed)."""
+def html_nodes(
+    pages: DataFrame, *keep: str, html: str = "html", attributes: Iterable[str] | None = None
+) -> DataFrame:
+    """``keep`` columns plus ``nodes`` and ``error`` (null unless the page failed).
+
+    Name the ``attributes`` that are needed: the others, inlined images and styles among
+    them, are often the larger part of a page, and then never leave the scan.
+    """
+    wanted = None if attributes is None else frozenset(attributes)
     kept = [pages.schema[c] for c in keep]
     schema = T.StructType(
         kept + [T.StructField("nodes", NODES, False), T.StructField("error", T.StringType())]
     )
     narrow = pages.select(*keep, pages[html].alias("html"))
-    return spread(narrow).mapInArrow(_scan_batches, schema)
+    return spread(narrow).mapInArrow(lambda batches: _scan_batches(batches, wanted), schema)
