@@ -227,6 +227,23 @@ def test_versions(spark, tmp_path):
     assert tables.read_latest(spark, root, JOBS).count() == 0
 
 
+def test_rows_added_to_a_version(spark, tmp_path):
+    root = str(tmp_path / "jobs")
+    tables.append_latest(jobs_of(spark, {"apply_url": "1", "status": "new", "title": "TD"}, {"apply_url": "0"}), root, ["status"])
+    before = tables.read_latest(spark, root, JOBS)
+    tables.append_latest(jobs_of(spark, {"apply_url": "2", "status": "new"}), root, ["status"])
+    after = tables.read_latest(spark, root, JOBS)
+    assert after.schema.names == JOBS.names and before.count() == 2
+    assert {(r.apply_url, r.status) for r in after.collect()} == {("0", None), ("1", "new"), ("2", "new")}
+    assert [p.name for p in (tmp_path / "jobs").iterdir()] == ["v=1"]
+    plan = after.where("status = 'new'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(status" in plan
+    tables.write_next(empty_jobs(spark), root, ["status"])
+    assert tables.read_latest(spark, root, JOBS).count() == 0
+    tables.append_latest(before.where("status = 'new'"), root, ["status"])
+    assert [r.title for r in tables.read_latest(spark, root, JOBS).collect()] == ["TD"]
+
+
 def test_batches(spark, tmp_path):
     root = str(tmp_path / "jobs")
     for n in (0, 1, 2, 1):  # the second is written again

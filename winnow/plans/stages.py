@@ -14,7 +14,10 @@ from winnow.operators.extract import extract
 from winnow.operators.profiles import LIVE_PROFILES
 from winnow.plans.discovery import discovery_metrics, dispatch
 from winnow.schemas import JOBS
-from winnow.sources.tables import read_latest, shared_dir, write_next
+from winnow.sources.tables import append_latest, read_latest, shared_dir, write_next
+
+# Stages look at few statuses; as partitions the others are not read.
+LAYOUT = ("status",)
 
 
 def jobs_table(spark: SparkSession, root: str) -> DataFrame:
@@ -27,28 +30,31 @@ def run_discovery(
     """Add the pages' new listings; returns the counts per company and parser.
 
     The listings are written first: they are needed three times, and reading them back is
-    cheaper, and safer when executors are lost, than scanning the pages again.
+    cheaper, and safer when executors are lost, than scanning the pages again. Of the jobs
+    only the ids are read, and only the added rows are written.
     """
     spark = pages.sparkSession
-    path = f"{shared_dir(spark)}/listings"
+    scratch = shared_dir(spark)
     visited = dispatch(pages, **options)
     keep = ("page_id", "url", "company", "parser")
-    extract(visited, profiles, keep=keep).write.parquet(path)
-    listings = spark.read.parquet(path)
-    jobs = jobs_table(spark, root)
-    added = insert_new(jobs, listings, as_of=as_of, extra=["parser"])
-    write_next(jobs.unionByName(added.drop("parser")), root)
+    extract(visited, profiles, keep=keep).write.parquet(f"{scratch}/listings")
+    listings = spark.read.parquet(f"{scratch}/listings")
+    new = insert_new(jobs_table(spark, root), listings, as_of=as_of, extra=["parser"])
+    new.write.parquet(f"{scratch}/added")
+    added = spark.read.parquet(f"{scratch}/added")
+    append_latest(added.drop("parser"), root, LAYOUT)
     return discovery_metrics(listings, added, visited=visited)
 
 
 def run_details(pages: DataFrame, root: str) -> int:
-    return write_next(apply_details(jobs_table(pages.sparkSession, root), pages), root)
+    jobs = apply_details(jobs_table(pages.sparkSession, root), pages)
+    return write_next(jobs, root, LAYOUT)
 
 
 def run_triage(spark: SparkSession, root: str, **keywords) -> DataFrame:
     """Judge the scraped rows; returns how many were approved and ignored."""
     jobs = jobs_table(spark, root)
-    write_next(apply_triage(jobs, **keywords), root)
+    write_next(apply_triage(jobs, **keywords), root, LAYOUT)
     return triage_summary(triage(jobs, **keywords))
 
 
@@ -62,9 +68,9 @@ def run_generation(
     """Write the documents, then the new state; returns the rows that could not be used."""
     done = ingest_responses(jobs_table(responses.sparkSession, root), responses, identity, templates, **options)
     write_documents(done.documents, path)
-    write_next(done.jobs, root)
+    write_next(done.jobs, root, LAYOUT)
     return done.errors
 
 
 def run_reset(spark: SparkSession, root: str) -> int:
-    return write_next(empty_jobs(spark), root)
+    return write_next(empty_jobs(spark), root, LAYOUT)

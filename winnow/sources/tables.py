@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,20 +59,32 @@ def _committed(spark: SparkSession, root: str, label: str) -> dict[int, str]:
     return out
 
 
-def write_next(df: DataFrame, root: str) -> int:
-    """Write the next version and return its number."""
-    spark = df.sparkSession
-    version = max(_committed(spark, root, "v"), default=0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/v={version}")
+def write_next(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
+    """Write the next version and return its number. One writer at a time."""
+    version = max(_committed(df.sparkSession, root, "v"), default=0) + 1
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/v={version}")
     return version
 
 
+def append_latest(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> None:
+    """Add rows to the newest version, at the cost of those rows alone.
+
+    Readers that began before do not see them. For rows that are inserted only if absent:
+    should the write be cut off, a second run adds just what is missing.
+    """
+    found = _committed(df.sparkSession, root, "v")
+    if found:
+        df.write.mode("append").partitionBy(*partition_by).parquet(found[max(found)])
+    else:
+        write_next(df, root, partition_by)
+
+
 def read_latest(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The newest version; an empty table if there is none."""
     found = _committed(spark, root, "v")
     if not found:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(found[max(found)])
+    return spark.read.schema(schema).parquet(found[max(found)]).select(*schema.names)
 
 
 def append_batch(df: DataFrame, root: str, batch: int) -> None:
