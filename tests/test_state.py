@@ -261,3 +261,37 @@ def test_spread_leaves_large_inputs_alone(spark):
         assert tables.spread(pages) is pages
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rows_that_share_a_page_are_split(spark):
+    """A page that a third of the rows point at: the join's big partition is divided."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    url = F.when(F.col("id") % 3 == 0, F.lit("/hot")).otherwise(F.concat(F.lit("/"), F.col("id").cast("string")))
+    jobs = spark.range(0, 200_000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("id"), F.lit("acme").alias("company"), F.lit("TD").alias("title"),
+        F.lit("Nice").alias("location"), url.alias("apply_url"), F.lit(None).cast("string").alias("description"),
+        F.lit("new").alias("status"), F.lit(None).cast("string").alias("raw_path"),
+    )
+    pages = spark.range(300).select(
+        F.col("id").alias("page_id"),
+        F.when(F.col("id") % 100 == 7, "/hot").otherwise(F.concat(F.lit("/"), F.col("id").cast("string"))).alias("url"),
+        F.concat(F.lit("<p>page "), F.col("id").cast("string")).alias("html"),
+    )
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        done = apply_details(jobs, pages)
+        texts = {r.description: r.n for r in done.groupBy("description").agg(F.count("*").alias("n")).collect()}
+        done.collect()
+        plan = done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert texts["page 7"] == 66_667 and sum(texts.values()) == 200_000
+    assert "SortMergeJoin(skew=true)" in plan
