@@ -32,7 +32,11 @@ def test_from_pages_to_documents(spark, tmp_path):
         [(i, jobs[t].apply_url, f"<h1>{t}</h1><p>Nice work") for i, t in enumerate(("Pipeline TD", "Lead Artist", "Tools Programmer"))],
         schema,
     )
-    stages.run_details(details, root)
+    stages.run_details(details, root, raw=str(tmp_path / "raw"))
+    stages.run_details(details, root, raw=str(tmp_path / "raw"))  # nothing is pending any more
+    raw = spark.read.parquet(str(tmp_path / "raw")).collect()
+    assert {r.html for r in raw} == {r.html for r in details.collect()} and len(raw) == 3
+    assert {r.raw_path for r in raw} == {r.raw_path for r in stages.jobs_table(spark, root).collect() if r.raw_path}
     summary = stages.run_triage(spark, root).collect()[0]
     assert (summary.approved, summary.ignored) == (2, 1)
     status = {r.title: r.status for r in stages.jobs_table(spark, root).collect()}
@@ -52,5 +56,9 @@ def test_from_pages_to_documents(spark, tmp_path):
     assert (document.kind, document.folder, document.body) == ("cover", "boards_Pipeline_TD", "Ivo: a\\_b Fin nuit")
     status = {r.title: r.status for r in stages.jobs_table(spark, root).collect()}
     assert status["Pipeline TD"] == "generated" and status["Tools Programmer"] == "approved"
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "cover.log").write_text("ok\n! Undefined\nl.5\n")
+    (line,) = stages.run_log_digest(spark, str(tmp_path / "logs")).collect()
+    assert (line.kind, line.line, line.context) == ("error", "! Undefined", "l.5")
     stages.run_reset(spark, root)
     assert stages.jobs_table(spark, root).count() == 0

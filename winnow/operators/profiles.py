@@ -62,6 +62,7 @@ class Profile:
         return {"href"}.union(*(s.attributes() for s in selects if s is not None))
 
 
+# The tags, classes, attributes, addresses and default places of each layout.
 ANCHOR = Select(tags=("a",), has_attr="href")
 IS_ANCHOR = Select(tags=("a",))
 ANY_PLACE = Select(tags=("span",), class_pattern="location")

@@ -7,13 +7,22 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from winnow.operators.documents import build_prompts, write_documents
-from winnow.operators.state import apply_details, empty_jobs, insert_new
-from winnow.operators.triage import apply_triage, triage, triage_summary
-from winnow.plans.application import ingest_responses
 from winnow.operators.extract import extract
+from winnow.operators.logdigest import digest_files
 from winnow.operators.profiles import LIVE_PROFILES
+from winnow.operators.state import (
+    apply_details,
+    empty_jobs,
+    insert_new,
+    pending_details,
+    raw_pages,
+    write_raw_pages,
+)
+from winnow.operators.triage import apply_triage, triage, triage_summary
+from winnow.plans.application import ingest_responses
 from winnow.plans.discovery import discovery_metrics, dispatch
 from winnow.schemas import JOBS
+from winnow.sources.logs import read_logs
 from winnow.sources.tables import append_latest, read_latest, shared_dir, write_next
 
 # Stages look at few statuses; as partitions the others are not read.
@@ -46,9 +55,15 @@ def run_discovery(
     return discovery_metrics(listings, added, visited=visited)
 
 
-def run_details(pages: DataFrame, root: str) -> int:
-    jobs = apply_details(jobs_table(pages.sparkSession, root), pages)
-    return write_next(jobs, root, LAYOUT)
+def run_details(pages: DataFrame, root: str, raw: str | None = None) -> int:
+    """Give pending rows their page's text; with ``raw``, keep the markup there as well."""
+    spark = pages.sparkSession
+    jobs = jobs_table(spark, root)
+    version = write_next(apply_details(jobs, pages), root, LAYOUT)
+    if raw is not None:
+        done = jobs_table(spark, root).join(pending_details(jobs).select("id"), "id", "left_semi")
+        write_raw_pages(raw_pages(done, pages), raw)
+    return version
 
 
 def run_triage(spark: SparkSession, root: str, **keywords) -> DataFrame:
@@ -72,5 +87,10 @@ def run_generation(
     return done.errors
 
 
+def run_log_digest(spark: SparkSession, path: str) -> DataFrame:
+    """Errors, or else the last lines, of the log files below ``path``."""
+    return digest_files(read_logs(spark, path))
+
+
 def run_reset(spark: SparkSession, root: str) -> int:
     return write_next(empty_jobs(spark), root, LAYOUT)
