@@ -56,6 +56,10 @@ def test_from_pages_to_documents(spark, tmp_path):
     assert (document.kind, document.folder, document.body) == ("cover", "boards_Pipeline_TD", "Ivo: a\\_b Fin nuit")
     status = {r.title: r.status for r in stages.jobs_table(spark, root).collect()}
     assert status["Pipeline TD"] == "generated" and status["Tools Programmer"] == "approved"
+    again = stages.run_generation(responses, root, IDENTITY, templates, out, labels=labels)
+    assert again.count() == 1  # nothing usable is left: no documents, no change
+    assert {r.title: r.status for r in stages.jobs_table(spark, root).collect()} == status
+    assert spark.read.parquet(out).count() == 1
     (tmp_path / "logs").mkdir()
     (tmp_path / "logs" / "cover.log").write_text("ok\n! Undefined\nl.5\n")
     (line,) = stages.run_log_digest(spark, str(tmp_path / "logs")).collect()

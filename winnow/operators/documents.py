@@ -17,6 +17,7 @@ from winnow.functions.text import (
     output_folder,
     strip,
 )
+from winnow.sources.tables import write_next
 from winnow.sources.templates import render
 
 
@@ -161,9 +162,13 @@ def render_documents(payload: DataFrame, templates: Mapping[str, str], *, id_suf
     )
 
 
-def write_documents(documents: DataFrame, path: str) -> None:
-    """One table of all documents; ``folder`` and ``kind`` say where each belongs."""
-    documents.write.mode("overwrite").partitionBy("kind").parquet(path)
+def write_documents(documents: DataFrame, path: str) -> str:
+    """Write one run's documents and return where: ``path/v=N``, partitioned by kind.
+
+    All runs together are the table ``path``; of equal folders and kinds the greatest ``v``
+    is the current one.
+    """
+    return f"{path}/v={write_next(documents, path, ['kind'])}"
 
 
 def folder_collisions(payload: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from winnow.operators.state import (
     apply_details,
     empty_jobs,
     insert_new,
+    mark_generated,
     pending_details,
     raw_pages,
     write_raw_pages,
@@ -80,10 +81,16 @@ def run_prompts(spark: SparkSession, root: str, candidate: str, path: str) -> No
 def run_generation(
     responses: DataFrame, root: str, identity: Mapping[str, str], templates: Mapping[str, str], path: str, **options
 ) -> DataFrame:
-    """Write the documents, then the new state; returns the rows that could not be used."""
-    done = ingest_responses(jobs_table(responses.sparkSession, root), responses, identity, templates, **options)
-    write_documents(done.documents, path)
-    write_next(done.jobs, root, LAYOUT)
+    """Write the documents, then the new state; returns the rows that could not be used.
+
+    Rows are marked from the documents as written: replies are parsed once, and no row is
+    ``generated`` without its documents.
+    """
+    spark = responses.sparkSession
+    jobs = jobs_table(spark, root)
+    done = ingest_responses(jobs, responses, identity, templates, **options)
+    written = spark.read.schema(done.documents.schema).parquet(write_documents(done.documents, path))
+    write_next(mark_generated(jobs, written), root, LAYOUT)
     return done.errors
 
 
