@@ -11,7 +11,7 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = entry_point.catalog.QUERIES, entry_point.catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
