@@ -28,9 +28,9 @@ from winnow.llm.arrays import BLOCK_BYTES, blocks, lower_ascii, word_codes
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 
 #: Pieces a worker keeps in each of two generations, at some 170 bytes each, and the longest of them.
-KEPT, KEPT_LENGTH = 500_000, 64
+KEPT, KEPT_LENGTH = 200_000, 64
 #: UTF-8 bytes of text that are encoded at once.
-GROUP_BYTES = 4 * BLOCK_BYTES
+GROUP_BYTES = 2 * BLOCK_BYTES
 _encoders: dict[str, Encoder] = {}
 
 
