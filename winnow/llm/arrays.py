@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # multiplier of the hash of a word's bytes
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _ROLL = np.uint64(0xA0761D6478BD642F)  # base of the hash of a window's words

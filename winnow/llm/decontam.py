@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from winnow.llm.arrays import (
     Words, alphanumeric_words, blocks, in_one_row, lower_ascii, scramble, window_hashes, words_of,
 )
-from winnow.llm.shared import fresh, stored
+from winnow.llm.shared import fresh, stored, texts_of
 
 WINDOW = 10
 #: Distinct benchmark windows that are broadcast at once, at most: some 40 MB in a worker.
@@ -149,7 +149,7 @@ def find_hits(
     """
     windows = stored(benchmark_windows(benchmark, window))
     parts = max(1, -(-windows.count() // max_windows))
-    rows = docs.select("doc_id", "text")
+    rows = texts_of(docs).select("doc_id", "text")
     if parts == 1:
         find = _finder([tuple(r) for r in windows.collect()])
         return rows.select("doc_id", find("text").alias("found")).select("doc_id", "found.*")
@@ -223,10 +223,10 @@ def remove_hits(
     parts = max(1, -(-windows.count() // max_windows))
     if parts == 1:
         cut = _cutter([tuple(r) for r in windows.collect()])
-        return _replaced(docs, lambda out: cut("text"))
+        return _replaced(texts_of(docs), lambda out: cut("text"))
     mine = F.pmod(F.xxhash64("words"), F.lit(parts))
     (spans,) = fresh(docs, "spans")
-    out, cut = docs, _cut_at()
+    out, cut = texts_of(docs), _cut_at()
     while True:
         # All blocks look at the same text; what they hit goes at once.
         out = out.withColumn(spans, F.array().cast("array<struct<start: long, end: long>>"))

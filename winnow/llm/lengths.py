@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from winnow.llm.shared import stored
+from winnow.llm.shared import stored, texts_of
 from winnow.llm.tokens import encoder
 
 #: Lengths per group of the two-level sums, so that no task holds the whole histogram.
@@ -33,7 +33,7 @@ def encoded_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
                     names=["doc_id", "n_tokens"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return texts_of(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         count, "doc_id long, n_tokens long"
     )
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.shared import stored
+from winnow.llm.shared import stored, texts_of
 from winnow.llm.tokens import encoder
 
 SEQUENCE = 2048
@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, sequence: int = SEQUENC
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _PIECES)
+    return texts_of(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:

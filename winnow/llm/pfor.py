@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from winnow.llm.shared import shared_folder, text_bytes
+from winnow.llm.shared import shared_folder, text_bytes, texts_of
 from winnow.llm.tokens import encoder
 
 BLOCK, PERCENTILE = 128, 95
@@ -121,7 +121,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_bytes:
     holds Parquet files of ``SEGMENTS``; ``first`` counts the ids before a segment in its shard.
     Shards are ranges of doc_id; the texts are shuffled once, the ids never.
     """
-    rows = docs.select("doc_id", "text")
+    rows = texts_of(docs).select("doc_id", "text")
     shards = max(1, -(-text_bytes(rows) // shard_bytes), _cores(docs.sparkSession))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

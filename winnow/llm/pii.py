@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.shared import fresh
+from winnow.llm.shared import fresh, texts_of
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "address", "account")
@@ -185,7 +185,7 @@ def spans(text: Column) -> Column:
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` as doc_id and spans. Other columns are ignored, repeated rows are kept."""
-    return docs.select("doc_id", spans(F.col("text")).alias("spans"))
+    return texts_of(docs).select("doc_id", spans(F.col("text")).alias("spans"))
 
 
 def placeholder(kind: str) -> str:
@@ -214,7 +214,7 @@ def redact(docs: DataFrame) -> DataFrame:
         return pa.array(out, pa.string())
 
     (now,) = fresh(docs, "text_now")
-    out = docs.withColumn(now, replace.asNondeterministic()(F.col("text")))
+    out = texts_of(docs).withColumn(now, replace.asNondeterministic()(F.col("text")))
     changed = F.coalesce(F.col(now) != F.col("text"), F.lit(False))
     columns = []
     for c in docs.columns:

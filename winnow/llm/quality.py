@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnow.llm.arrays import blocks, scramble, white_space_words, words_of
-from winnow.llm.shared import fresh, stored
+from winnow.llm.shared import fresh, stored, texts_of
 
 #: Buckets of word n-grams and of shape n-grams: the size of a model, whatever the corpus.
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 13, 1 << 12
@@ -108,7 +108,7 @@ def _counts(docs: DataFrame, good: list[int]) -> tuple[np.ndarray, np.ndarray]:
         arrays = [pa.array(x) for x in (used, raw[used], target[used])]
         yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "raw", "target"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = texts_of(docs).select(F.col("doc_id").cast("long"), "text")
     sums = rows.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")
     )
@@ -127,17 +127,22 @@ def _weights(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return out
 
 
+def _sums(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(texts))
+    for first, offsets, data in blocks(texts):
+        row, bucket = _buckets(offsets, data)
+        out[first : first + len(offsets) - 1] = np.bincount(
+            row, weights=weights[bucket], minlength=len(offsets) - 1
+        )
+    return out
+
+
 def log_weight(text: Column, weights: np.ndarray) -> Column:
     """Sum of the weights of a text's n-grams; 0 if it has none, as a null."""
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        out = np.zeros(len(texts))
-        for first, offsets, data in blocks(texts):
-            row, bucket = _buckets(offsets, data)
-            own = np.bincount(row, weights=weights[bucket], minlength=len(offsets) - 1)
-            out[first : first + len(own)] = own
-        return pa.array(out)
+        return pa.array(_sums(texts, weights))
 
     return score.asNondeterministic()(text)
 
@@ -154,20 +159,23 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model |
     if not target.any():
         return None
     weights = _weights(raw, target)
-    known = docs.where(_one_of(F.col("doc_id").cast("long"), ids[0] + ids[1]))
-    scores = known.select("doc_id", log_weight(F.col("text"), weights).alias("score")).collect()
+    scores = _scores_of(docs, ids[0] + ids[1], weights).collect()
     bad = set(ids[0])
     return Model(weights, _best_cut([(r.score, r.doc_id not in bad) for r in scores]))
 
 
-def _one_of(column: Column, ids: list[int]) -> Column:
-    """Whether a column is one of a bounded number of ids."""
+def _scores_of(docs: DataFrame, ids: list[int], weights: np.ndarray) -> DataFrame:
+    """doc_id and score of the rows with one of a bounded number of ids."""
 
-    @F.arrow_udf("boolean")
-    def among(values: pa.Array) -> pa.Array:
-        return pc.is_in(values, value_set=pa.array(ids, pa.int64()))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = pa.array(ids, pa.int64())
+        for batch in batches:
+            own = batch.filter(pc.is_in(batch.column(0), value_set=wanted))
+            scores = pa.array(_sums(own.column(1), weights))
+            yield pa.RecordBatch.from_arrays([own.column(0), scores], names=["doc_id", "score"])
 
-    return among(column)
+    rows = texts_of(docs).select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(score, "doc_id long, score double")
 
 
 def _best_cut(scored: list[tuple[float, bool]]) -> float:
@@ -242,7 +250,7 @@ def weigh(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataF
 
 
 def _keys(docs: DataFrame, model: Model) -> tuple[DataFrame, float]:
-    rows = docs.select("doc_id", log_weight(F.col("text"), model.weights).alias("log_weight"))
+    rows = texts_of(docs).select("doc_id", log_weight(F.col("text"), model.weights).alias("log_weight"))
     rows = stored(rows.withColumn("gumbel_key", F.col("log_weight") + gumbel(F.col("doc_id"))))
     k = rows.where(F.col("log_weight") >= model.cut).count()
     return rows, kth_largest(rows, "gumbel_key", k)
@@ -255,5 +263,5 @@ def resample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
         return docs
     _, least = _keys(docs, model)
     (key,) = fresh(docs, "gumbel_key")
-    out = docs.withColumn(key, log_weight(F.col("text"), model.weights) + gumbel(F.col("doc_id")))
+    out = texts_of(docs).withColumn(key, log_weight(F.col("text"), model.weights) + gumbel(F.col("doc_id")))
     return out.where(F.col(key) >= least).select(*docs.columns)

@@ -35,6 +35,24 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: Rows and bytes of one batch that Spark hands to Python, at most: texts can be long.
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
+
+
+def texts_of(df: DataFrame) -> DataFrame:
+    """``df``, to be read by Python in batches that stay small whatever the length of its texts.
+
+    Lowers the session's limits of Arrow batches where they are higher, as they are by default.
+    """
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        found = conf.get(name).lower().removesuffix("b")
+        if not found.isdigit() or not 0 < int(found) <= most:
+            conf.set(name, str(most))
+    return df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

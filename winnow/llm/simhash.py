@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnow.llm.components import components
-from winnow.llm.shared import fresh, stored
+from winnow.llm.shared import fresh, stored, texts_of
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Shingle hashes that are unpacked to bits at once.
@@ -186,7 +186,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     row's own included. Texts without words, null ones too, have fingerprint 0 and are linked like any
     other. Rows without a doc_id take part; a component of such rows alone has a null component_id.
     """
-    rows = stored(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")))
+    rows = stored(texts_of(docs).select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")))
     named = _labelled(rows, radius).select(
         "fp", F.nullif("least", F.lit(_LAST)).alias("component_id")
     )
@@ -210,7 +210,7 @@ def first_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     first stays. Decisions are made on narrow rows; the texts are shuffled once, to apply them.
     """
     fp, row = fresh(docs, "fp", "row")
-    marked = docs.withColumn(fp, fingerprint(F.col("text"), shingle))
+    marked = texts_of(docs).withColumn(fp, fingerprint(F.col("text"), shingle))
     marked = stored(marked.withColumn(row, F.monotonically_increasing_id()))
     narrow = marked.select(
         F.col(row).alias("row"), F.col(fp).alias("fp"), F.col("doc_id").cast("long").alias("doc_id")
