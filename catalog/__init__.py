@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.sources.tables import spread
+from winnow.sources.tables import SHARED_DIR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,13 +23,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-# Much work in a single row group: give it to all cores, whatever the file's layout.
-SPREAD_TABLES = ("documents", "conversations", "lineitem")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    own_folder(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows) if name in SPREAD_TABLES else rows
+def own_folder(spark: SparkSession) -> None:
+    """Name a folder for intermediate tables where no cluster does: in local mode alone."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED_DIR, None)
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.conf.set(SHARED_DIR, tempfile.mkdtemp(prefix="winnow-"))
 
 
 def load() -> None:

@@ -163,10 +163,10 @@ def test_many_attributes_take_linear_time():
     assert len(nodes[0]["attrs"]) == 100_000 and time.perf_counter() - start < 8
 
 
-def test_depth_is_bounded():
+def test_depth_is_not_bounded():
     (nodes,), _ = scan("<div>" * 5000 + "x")
     check_shape(nodes)
-    assert max(n["depth"] for n in nodes) == 512
+    assert max(n["depth"] for n in nodes) >= 4999
 
 
 def test_a_failing_page_leaves_the_others_alone(monkeypatch):

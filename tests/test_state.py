@@ -17,6 +17,7 @@ from winnow.operators.state import (
     update_by_key,
     write_raw_pages,
 )
+from winnow.plans import stages
 from winnow.operators.triage import apply_triage, triage, triage_report, triage_summary
 from winnow.plans.discovery import detect_ats_join, discovery_metrics, in_target_order
 from winnow.schemas import JOBS
@@ -253,14 +254,29 @@ def test_batches(spark, tmp_path):
     assert tables.read_batches(spark, root, JOBS, before=0).count() == 0
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
-    assert "RoundRobin" in tables.spread(pages)._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    try:
-        assert tables.spread(pages) is pages
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_the_shared_folder_must_be_named(spark, monkeypatch):
+    unset = spark.newSession()
+    monkeypatch.setattr(type(unset.conf), "get", lambda self, key, default=None: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.shared_dir(unset)
+
+
+def test_older_tables_read_defaults(spark, tmp_path):
+    root = str(tmp_path / "old")
+    old = jobs_of(spark, {"apply_url": "/a", "status": "new"}).drop("relevance_score", "decision_reason")
+    tables.write_next(old, root, ("status",))
+    (row,) = stages.jobs_table(spark, root).collect()
+    assert row.relevance_score == 0 and row.decision_reason is None
+
+
+def test_only_approved_rows_are_marked(spark, tmp_path):
+    root = str(tmp_path / "marks")
+    tables.write_next(jobs_of(spark, {"apply_url": "/a", "status": "approved"}, {"apply_url": "/b", "status": "new"}), root, ("status",))
+    jobs = stages.jobs_table(spark, root)
+    done = jobs.select("id").union(jobs.select("id"))
+    out = mark_generated(jobs, done)
+    assert {(r.apply_url, r.status) for r in out.collect()} == {("/a", "generated"), ("/b", "new")}
+    assert "(status#" in (plan := out._jdf.queryExecution().executedPlan().toString()) and "= approved)" in plan
 
 
 def test_rows_that_share_a_page_are_split(spark):

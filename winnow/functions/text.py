@@ -45,12 +45,12 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def contains_any(text: Column, words: Iterable[str]) -> Column:
+def contains_any(text: Column, words: Iterable[str], any_case: bool = False) -> Column:
     """True if any of ``words`` is a substring; null text is no text, no words match nothing."""
     words = list(words)
     if not words:
         return F.lit(False)
-    return F.coalesce(text, F.lit("")).rlike(any_of(words))
+    return F.coalesce(text, F.lit("")).rlike("(?i)" * any_case + any_of(words))
 
 
 def matches_role(title: Column, keywords: Iterable[str]) -> Column:

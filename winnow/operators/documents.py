@@ -68,6 +68,16 @@ def parse_responses(responses: DataFrame) -> DataFrame:
     return responses.select("id", F.explode_outer(F.array(R.reply_object(F.col("raw")))).alias("reply"))
 
 
+def one_reply(responses: DataFrame, latest: str = "raw") -> DataFrame:
+    """``(id, reply)``: the usable reply to each id that is greatest by a column, then by its text."""
+    order = F.struct(F.col(latest).alias("latest"), "raw")
+    read = responses.select(
+        "id", order.alias("order"), F.explode_outer(F.array(R.reply_object(F.col("raw")))).alias("reply")
+    )
+    usable = read.where(F.col("reply").isNotNull())
+    return usable.groupBy("id").agg(F.max_by("reply", "order").alias("reply"))
+
+
 def response_errors(responses: DataFrame) -> DataFrame:
     return (
         parse_responses(responses)
@@ -87,12 +97,13 @@ def application_payload(
     *,
     labels: Mapping[str, Mapping[str, str]] = defaults.LANGUAGE_LABELS,
     skills: Mapping[str, str] | None = None,
+    latest: str = "raw",
 ) -> DataFrame:
     """What the templates need, for each approved row with a usable reply.
 
-    ``responses`` holds one row per id.
+    Of several usable replies to an id the one greatest by ``latest`` counts.
 
-    Precedence: reply, then identity, then labels. All texts are trimmed and escaped, list
+    Precedence: labels, then identity, then reply. All texts are trimmed and escaped, list
     items only escaped, ``skills`` left alone. Labels of both languages are literals, so
     choosing them is a ``CASE`` and not a join.
     """
@@ -102,7 +113,7 @@ def application_payload(
         approved(jobs)
         .where(F.col("description").isNotNull())
         .select("id", "company", "title", lang.alias("lang"))
-        .join(parse_responses(responses).where(F.col("reply").isNotNull()), "id")
+        .join(one_reply(responses, latest), "id")
     )
     reply = F.col("reply")
     skill_map = (
@@ -148,6 +159,10 @@ def render_documents(payload: DataFrame, templates: Mapping[str, str], *, id_suf
     def label(name: str) -> Column:
         return F.col("labels")[name]
 
+    # Labels win over identity, and that over the reply; lists and maps have no label.
+    for name in values.keys() - {"experience_bullets", "skills_dict"}:
+        values[name] = F.coalesce(label(name), values[name])
+
     folder = F.col("folder")
     if id_suffix:
         folder = F.concat(folder, F.lit("_"), F.substring("id", 1, 6))

@@ -169,18 +169,17 @@ def raw_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def write_raw_pages(rows: DataFrame, path: str) -> None:
-    """Raw markup as one Parquet table, named by its ``raw_path`` column."""
-    rows.write.mode("append").parquet(path)
+    """Raw markup as one Parquet table, named by its ``raw_path`` column. Replaces what a run left."""
+    rows.write.mode("overwrite").parquet(path)
 
 
 def mark_generated(jobs: DataFrame, done: DataFrame) -> DataFrame:
-    """Approved rows with an id in ``done`` become ``generated``."""
-    return update_by_key(
-        jobs,
-        done.select("id", F.lit("generated").alias("status")),
-        ["status"],
-        where=F.col("status") == "approved",
-    )
+    """Approved rows with an id in ``done`` become ``generated``. No others are joined."""
+    approved = F.col("status") == "approved"
+    marks = done.select("id", F.lit("generated").alias("mark")).distinct()
+    marked = jobs.where(approved).join(marks, "id", "left").withColumn("status", F.coalesce("mark", "status"))
+    rest = jobs.where(~F.coalesce(approved, F.lit(False)))
+    return marked.select(*jobs.columns).unionByName(rest)
 
 
 # Defaults of columns that older tables lack.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow import defaults
-from winnow.functions.text import any_of, skill_hits
+from winnow.functions.text import contains_any, skill_hits
 
 
 def skill_tags(
@@ -39,7 +39,7 @@ def role_rules(
     """Flags ``role_included`` and ``role_soft_excluded``; case does not matter."""
 
     def listed(words):
-        return F.coalesce(F.col(title), F.lit("")).rlike("(?i)" + any_of(words))
+        return contains_any(F.col(title), words, any_case=True)
 
     return rows.withColumn("role_included", listed(include)).withColumn(
         "role_soft_excluded", listed(soft_exclude)

@@ -17,15 +17,12 @@ from winnow.operators.state import insert_new
 def detect_ats_join(pages: DataFrame, rules: DataFrame, fallback=defaults.FALLBACK_RULE) -> DataFrame:
     """Layout by a rule table ``(priority, domain, profile, label)`` of any size.
 
-    "Occurs in the host" is made an equi-join: each distinct host is cut into its pieces of
-    1 to 255 characters that are as long as some rule's text. There are far fewer hosts than
-    pages, and one that holds a third of the pages is cut up once.
+    "Occurs in the host" is made an equi-join: each distinct host is cut into its pieces that are as
+    long as some rule's text, of which only the distinct lengths come to the driver. There are far
+    fewer hosts than pages, and one that holds a third of the pages is cut up once.
     """
-    longest = 255  # characters a host name can have
-    sizes = [
-        r[0]
-        for r in rules.select(F.length("domain")).where(F.length("domain") <= longest).distinct().collect()
-    ]
+    lengths = rules.select(F.length("domain")).where(F.col("domain").isNotNull()).distinct()
+    sizes = [r[0] for r in lengths.collect()]
     hosts = pages.select(urls.host(F.col("url")).alias("host")).distinct()
     host = F.col("host")
     cut = F.flatten(

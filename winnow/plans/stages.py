@@ -11,6 +11,7 @@ from winnow.operators.extract import extract
 from winnow.operators.logdigest import digest_files
 from winnow.operators.profiles import LIVE_PROFILES
 from winnow.operators.state import (
+    LATE_COLUMNS,
     apply_details,
     empty_jobs,
     insert_new,
@@ -24,14 +25,14 @@ from winnow.plans.application import ingest_responses
 from winnow.plans.discovery import discovery_metrics, dispatch
 from winnow.schemas import JOBS
 from winnow.sources.logs import read_logs
-from winnow.sources.tables import append_latest, read_latest, shared_dir, write_next
+from winnow.sources.tables import append_latest, next_version, read_latest, shared_dir, write_next
 
 # Stages look at few statuses; as partitions the others are not read.
 LAYOUT = ("status",)
 
 
 def jobs_table(spark: SparkSession, root: str) -> DataFrame:
-    return read_latest(spark, root, JOBS)
+    return read_latest(spark, root, JOBS, LATE_COLUMNS)
 
 
 def run_discovery(
@@ -57,14 +58,21 @@ def run_discovery(
 
 
 def run_details(pages: DataFrame, root: str, raw: str | None = None) -> int:
-    """Give pending rows their page's text; with ``raw``, keep the markup there as well."""
+    """Give pending rows their page's text; with ``raw``, keep the markup there as well.
+
+    The markup is written first: a run that is cut off leaves its rows pending, and the next one
+    writes the markup of the same version anew. Rows are stored before that, so pages are scanned once.
+    """
     spark = pages.sparkSession
     jobs = jobs_table(spark, root)
-    version = write_next(apply_details(jobs, pages), root, LAYOUT)
-    if raw is not None:
-        done = jobs_table(spark, root).join(pending_details(jobs).select("id"), "id", "left_semi")
-        write_raw_pages(raw_pages(done, pages), raw)
-    return version
+    if raw is None:
+        return write_next(apply_details(jobs, pages), root, LAYOUT)
+    scratch = shared_dir(spark)
+    apply_details(jobs, pages).write.parquet(scratch)
+    done = spark.read.schema(JOBS).parquet(scratch)
+    now = done.join(pending_details(jobs).select("id"), "id", "left_semi")
+    write_raw_pages(raw_pages(now, pages), f"{raw}/version={next_version(spark, root)}")
+    return write_next(done, root, LAYOUT)
 
 
 def run_triage(spark: SparkSession, root: str, **keywords) -> DataFrame:

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from winnow.schemas import NODES
-from winnow.sources.tables import spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -77,7 +76,6 @@ for _tag, _ends, _shield in (
 ):
     _IMPLIED_ENDS.setdefault(_tag, []).append((frozenset(_ends), _shield))
 
-_MAX_DEPTH = 512  # as browsers do: deeper elements become siblings
 
 
 def _attr_text(value: str) -> str:
@@ -195,8 +193,6 @@ class _NodeColumns:
                             break
                 if tag in _HEADINGS and names and names[-1] in _HEADINGS:
                     close_to(len(names) - 1)
-            if len(names) >= _MAX_DEPTH:
-                close_to(_MAX_DEPTH - 1)
             if chars:
                 flush()
 
@@ -290,4 +286,4 @@ def html_nodes(
         kept + [T.StructField("nodes", NODES, False), T.StructField("error", T.StringType())]
     )
     narrow = pages.select(*keep, pages[html].alias("html"))
-    return spread(narrow).mapInArrow(lambda batches: _scan_batches(batches, wanted), schema)
+    return narrow.mapInArrow(lambda batches: _scan_batches(batches, wanted), schema)

@@ -3,47 +3,27 @@ while it is read. A directory counts once its write has been committed."""
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the one the cluster shares (``spark.checkpoint.dir``).
+# Where ``spark.checkpoint.dir`` is unset, as in tests, a session names its folder here.
+SHARED_DIR = "winnow.shared.dir"
 
-    Falls back to a local folder only in local mode, where it is unset in tests.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder below the one the cluster shares (``spark.checkpoint.dir``)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = os.path.join(tempfile.gettempdir(), "winnow")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input enough partitions to use every core.
-
-    Text compresses well, so a single row group can hold a lot of work. Only inputs that
-    a scan could not split over all cores are shuffled (by the planner's own estimate, at
-    most one split's bytes per core); a large table is left as it is.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if estimate < cores * split else df
-
-
 def _committed(spark: SparkSession, root: str, label: str) -> dict[int, str]:
     """Numbers and paths of the committed ``label=N`` directories below ``root``."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
@@ -59,9 +39,13 @@ def _committed(spark: SparkSession, root: str, label: str) -> dict[int, str]:
     return out
 
 
+def next_version(spark: SparkSession, root: str) -> int:
+    return max(_committed(spark, root, "v"), default=0) + 1
+
+
 def write_next(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
     """Write the next version and return its number. One writer at a time."""
-    version = max(_committed(df.sparkSession, root, "v"), default=0) + 1
+    version = next_version(df.sparkSession, root)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/v={version}")
     return version
 
@@ -79,12 +63,22 @@ def append_latest(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
         write_next(df, root, partition_by)
 
 
-def read_latest(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The newest version; an empty table if there is none."""
+def read_latest(spark: SparkSession, root: str, schema: T.StructType, defaults=None) -> DataFrame:
+    """The newest version; an empty table if there is none.
+
+    Columns that the files of an older table lack, or hold no value for, get their ``defaults``.
+    """
     found = _committed(spark, root, "v")
     if not found:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(found[max(found)]).select(*schema.names)
+    rows = spark.read.schema(schema).parquet(found[max(found)])
+    defaults = defaults or {}
+    return rows.select(
+        *[
+            F.coalesce(F.col(n), F.lit(defaults[n])).alias(n) if n in defaults else F.col(n)
+            for n in schema.names
+        ]
+    )
 
 
 def append_batch(df: DataFrame, root: str, batch: int) -> None:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,20 +25,24 @@ def targets_from(spark: SparkSession, config) -> DataFrame:
 
 
 def load_targets(spark: SparkSession, path: str) -> DataFrame:
-    """Targets of a YAML or JSON file; a missing file has none."""
-    if not os.path.exists(path):
+    """Targets of a YAML or JSON file in any store that Spark reads; a missing file has none."""
+    try:
+        text = spark.read.text(path, wholetext=True).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], TARGETS)
-    with open(path, encoding="utf-8") as f:
-        if path.endswith(".json"):
-            import json
-
-            config = json.load(f)
-        else:
-            try:
-                import yaml
-            except ImportError as e:
-                raise ImportError("YAML targets need PyYAML; use a JSON file instead") from e
-            config = yaml.safe_load(f)
+    text = text[0] if text else ""
+    if path.endswith(".json"):
+        import json
+
+        config = json.loads(text)
+    else:
+        try:
+            import yaml
+        except ImportError as e:
+            raise ImportError("YAML targets need PyYAML; use a JSON file instead") from e
+        config = yaml.safe_load(text)
     return targets_from(spark, config)
 
 
