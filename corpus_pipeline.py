@@ -9,8 +9,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from catalog import own_folder
 from winnow.llm import decontam, packing, pii, quality, simhash
-from winnow.llm.shared import shared_folder
+from winnow.sources.tables import shared_dir
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +53,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages from the documents table on."""
+    own_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = f"{shared_folder(spark)}-{name}"
+        path = f"{shared_dir(spark)}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -1,0 +1,62 @@
+"""The queries of this package against their SQL, and the pipeline against its stages' promises."""
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_point
+import corpus_pipeline
+from winnow.llm import decontam, pii, queries, simhash, topk
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    got = queries.QUERIES[name](spark, SF)
+    columns = sorted(got.columns)
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({queries.SQL[name]})").fetchall()
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want)
+
+
+def test_all_are_registered():
+    names = entry_point.queries()
+    assert [f"op{n}_" for n in range(1, 11)] == [next(q for q in names if q.startswith(f"op{n}_")).split("_")[0] + "_" for n in range(1, 11)]
+    assert "pipeline" in names
+
+
+@pytest.mark.parametrize("name", ["op3_simhash", "op4_pii", "op6_quality", "op8_token_counts", "op10_secrets"])
+def test_query_covers_the_table(spark, name):
+    rows = queries.QUERIES[name](spark, SF)
+    if name != "op8_token_counts":
+        assert rows.count() == 200
+    else:
+        assert rows.agg({"n_docs": "sum"}).first()[0] == 200
+
+
+def test_vectors_odd_rows(spark):
+    rows = [(0, [1.0, 2.0]), (1, [0.5, -0.3]), (2, None), (3, [1.0, None]), (4, [float("nan"), 1.0]), (20, [1.0, 2.0]), (20, [0.0, 0.1]), (None, [1.0, 1.0]), (5, [1.0]), (6, [])]
+    frame = spark.createDataFrame([(i, v, 0, 1) for i, v in rows], "vec_id long, embedding array<double>, rank int, shard int")
+    found = topk.top_k(frame, F.col("vec_id") == 0, k=3)
+    assert [tuple(r) for r in found.orderBy("rank").collect()] == [(0, 1, 20, 20480), (0, 2, 5, 4096), (0, 3, 20, 768)]
+    assert topk.top_k(frame.limit(0), F.col("vec_id") == 0, k=3).count() == 0
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    tables = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        tables.append(stage(spark, tables[-1], SF).cache())
+    good, single, clean, private, packed = tables[1:]
+    for table in (good, single, clean, private):
+        assert table.columns == docs.columns and table.count() > 100
+    components = simhash.near_duplicates(good).select("component_id").distinct()
+    assert {r.doc_id for r in single.collect()} == {r.component_id for r in components.collect()}
+    assert decontam.find_hits(clean, benchmark).where("n_hit > 0").count() == 0
+    assert pii.find_pii(private).where("size(spans) > 0").count() == 0
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in private.collect()}
+    assert corpus_pipeline.run(spark, SF).count() == packed.count()

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from winnow.llm.shared import shared_folder, text_bytes, texts_of
+from winnow.llm.shared import text_bytes, texts_of
 from winnow.llm.tokens import encoder
+from winnow.sources.tables import shared_dir
 
 BLOCK, PERCENTILE = 128, 95
 SEGMENT_IDS = 1 << 16
@@ -221,6 +222,6 @@ def _cores(spark: SparkSession) -> int:
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Write to a new shared folder, read back."""
     spark = docs.sparkSession
-    path = shared_folder(spark)
+    path = shared_dir(spark)
     write(docs, path, tokenizer, end_id)
     return read(spark, path)

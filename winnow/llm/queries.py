@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog import own_folder
 from winnow.llm import decontam, lengths, packing, pfor, pii, quality, secrets, simhash, substring, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +21,7 @@ def query(fn):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    own_folder(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

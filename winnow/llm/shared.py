@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster shares, which ``spark.checkpoint.dir`` names."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{root.rstrip('/')}/{uuid4().hex}"
+from winnow.sources.tables import shared_dir
 
 
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives executors."""
-    path = path or shared_folder(df.sparkSession)
+    path = path or shared_dir(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
