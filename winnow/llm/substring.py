@@ -1,6 +1,6 @@
 """Removal of passages that repeat across documents.
 
-Every window of ``WINDOW`` words gets a Rabin-Karp hash of 64 bits and a check of 15 more. Documents
+Every window of ``WINDOW`` words gets a Rabin-Karp hash of 64 bits and a check of 7 more. Documents
 are dealt into chunks by doc_id. A chunk sends each of its distinct windows once, with the least
 doc_id that holds it, to the bucket of its hash; the bucket finds windows that two documents share, and
 tells each chunk which of its windows are such and the least doc_id of all. The chunk then reads its
@@ -63,7 +63,7 @@ def _windows(texts: pa.ChunkedArray, window: int) -> Iterator[tuple]:
         at = np.flatnonzero(in_one_row(words.row, window))
         hashes = scramble(window_hashes(words.hash, window))[at]
         checks = window_hashes(scramble(words.hash, _SECOND), window, _THIRD)[at]
-        yield row, offsets, data, words, at, hashes, (scramble(checks) >> np.uint64(49)).astype(np.uint16)
+        yield row, offsets, data, words, at, hashes, (scramble(checks) >> np.uint64(57)).astype(np.uint8)
 
 
 def _ids(column: pa.ChunkedArray) -> np.ndarray:
@@ -73,7 +73,7 @@ def _ids(column: pa.ChunkedArray) -> np.ndarray:
 def _send(table: pa.Table, window: int, bits: int) -> pa.Table:
     """A chunk's distinct windows by bucket. The lowest bit of a check: two of its documents hold it."""
     chunk, ids = table["chunk"][0].as_py(), _ids(table["doc_id"])
-    hashes, checks, holders = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+    hashes, checks, holders = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
     for row, _, _, words, at, h, c in _windows(table["text"], window):
         hashes.append(h)
         checks.append(c)
@@ -90,7 +90,7 @@ def _send(table: pa.Table, window: int, bits: int) -> pa.Table:
     first = np.flatnonzero(new)
     if len(first):
         least, most = np.minimum.reduceat(holder, first), np.maximum.reduceat(holder, first)
-        h, c = h[first], (c[first] << np.uint16(1)) | (least < most).astype(np.uint16)
+        h, c = h[first], (c[first] << np.uint8(1)) | (least < most).astype(np.uint8)
     else:
         least = holder
     edges = np.searchsorted(h, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else []
@@ -107,11 +107,11 @@ def _tell(table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
     chunk = np.repeat(np.array([r["chunk"] for r in rows], np.int32), [r["n"] for r in rows])
     h = np.concatenate([np.cumsum(_expand(r["hashes"], r["n"], "<u8"), dtype=np.uint64) for r in rows])
-    c = np.concatenate([_expand(r["checks"], r["n"], "<u2") for r in rows])
+    c = np.concatenate([_expand(r["checks"], r["n"], "u1") for r in rows])
     holder = np.concatenate([_expand(r["doc_ids"], r["n"], "<i8") for r in rows])
     order = np.argsort(h)
     h, c, holder, chunk = h[order], c[order], holder[order], chunk[order]
-    mixed = c >> np.uint16(1)
+    mixed = c >> np.uint8(1)
     if ((h[1:] == h[:-1]) & (mixed[1:] != mixed[:-1])).any():
         order = np.lexsort((mixed, h))
         h, c, mixed, holder, chunk = h[order], c[order], mixed[order], holder[order], chunk[order]
@@ -121,7 +121,7 @@ def _tell(table: pa.Table) -> pa.Table:
     size = np.diff(np.append(first, len(h)))
     least = np.repeat(np.minimum.reduceat(holder, first), size)
     # A chunk that alone holds the window, in one document, or holds it first there, is told nothing.
-    tell = ((c & np.uint16(1)) == 1) | (least < holder)
+    tell = ((c & np.uint8(1)) == 1) | (least < holder)
     h, mixed, least, chunk = h[tell], mixed[tell], least[tell], chunk[tell]
     order = np.argsort(chunk, kind="stable")
     h, mixed, least, chunk = h[order], mixed[order], least[order], chunk[order]
@@ -138,7 +138,7 @@ def _mark(table: pa.Table, told: pa.Table, window: int) -> pa.Table:
     rows = told.to_pylist()
     none = np.zeros(0, np.uint64)
     h = np.concatenate([none, *(np.cumsum(_expand(r["hashes"], r["n"], "<u8"), dtype=np.uint64) for r in rows)])
-    c = np.concatenate([np.zeros(0, np.uint16), *(_expand(r["checks"], r["n"], "<u2") for r in rows)])
+    c = np.concatenate([np.zeros(0, np.uint8), *(_expand(r["checks"], r["n"], "u1") for r in rows)])
     least = np.concatenate([np.zeros(0, np.int64), *(_expand(r["doc_ids"], r["n"], "<i8") for r in rows)])
     order = np.lexsort((c, h))
     h, c, least = h[order], c[order], least[order]
