@@ -57,6 +57,7 @@ job AS (SELECT d.*, md5(CAST(d.doc_id AS VARCHAR)) AS id, 'Clerk ' || lang AS ti
   CASE country WHEN 'FR' THEN 'FR' ELSE 'EN' END AS l FROM documents d JOIN country USING (doc_id) WHERE source <> 'src6')"""
 
 
+# The wording of the prompt, as in winnow.defaults.
 @query(
     "build_prompt",
     rf"""WITH {_JOB_SQL}, p AS (SELECT id, l AS lang, '

@@ -14,6 +14,7 @@ from winnow.operators.documents import (
     response_errors,
 )
 from winnow.operators.state import mark_generated
+from winnow.operators.vocabulary import role_rules
 from winnow.sources.templates import render
 
 IDENTITY = {
@@ -21,16 +22,8 @@ IDENTITY = {
 }
 
 
-def python_object(raw):
-    """The rule in plain Python: first brace to last brace, strict JSON, not empty."""
-    start, end = raw.find("{"), raw.rfind("}")
-    try:
-        return json.loads(raw[start : end + 1]) or None
-    except ValueError:
-        return None
-
-
-RAWS = [
+# Reply keys are fixed values.
+USABLE = [
     'x {"cover_letter_body":["a ","b"]} tail',
     '{"cover_letter_body":{"paragraphs":["p1"," p2"]}}',
     '{"cover_letter_body":" s "}',
@@ -40,33 +33,35 @@ RAWS = [
     '{"cover_letter_body":null}',
     '{"cover_letter_body":[]}',
     '{"k":1}',
-    "{}", "{ \n}", "none", "{bad}", "", "}{", "}", "{",
+    '{"a":[{"x":1}]}',
+    '{"a":{"b":[1,{"c":2}\n]}}',
+    '[{"a":1}]',
+    '{"a":"}] {"}',
+    '{"a":"\\u00e9 \\" \\\\"}',
+]
+UNUSABLE = [
+    "{}", "{ \n}", "none", "{bad}", "", "}{", "}", "{", "{'a':1}",
     '{"a":1} and {"b":2}',
     '{"a":1}, {"b":2}',
     '{"a":1}, null, {"b":2}',
     '{"a":1}] x [{"b":1}',
-    '{"a":[{"x":1}]}',
     '{"a":[{"x":1}]}} {"b":1}',
-    '{"a":{"b":[1,{"c":2}\n]}}',
-    '[{"a":1}]',
-    '{"a":"}] {"}',
     '{"a":"x\ny"}',
-    '{"a":"\\u00e9 \\" \\\\"}',
-    "{'a':1}",
     '{"a":01}',
     '{"a":1,}',
 ]
 
 
 def test_reply_object(evaluate):
-    usable = evaluate([(r,) for r in RAWS], "raw string", R.reply_object(F.col("raw")).isNotNull())
-    assert usable == [python_object(r) is not None for r in RAWS]
+    usable = R.reply_object(F.col("raw")).isNotNull()
+    assert all(evaluate([(r,) for r in USABLE], "raw string", usable))
+    assert not any(evaluate([(r,) for r in UNUSABLE], "raw string", usable))
     assert evaluate([(None,)], "raw string", R.reply_object(F.col("raw")).isNull()) == [True]
 
 
 def test_cover_body(evaluate):
     body = R.cover_body(F.try_variant_get(R.reply_object(F.col("raw")), "$.cover_letter_body", "variant"))
-    got = evaluate([(r,) for r in RAWS[:9]], "raw string", body)
+    got = evaluate([(r,) for r in USABLE[:9]], "raw string", body)
     assert got == ["a\n\nb", "p1\n\np2", "s", "", "", "", "", "", ""]
     mixed = '{"cover_letter_body":[" a", 1, 1.5, ["x"], "b\\u00a0"]}'
     assert evaluate([(mixed,)], "raw string", body) == ['a\n\n1\n\n1.5\n\n["x"]\n\nb']
@@ -112,7 +107,7 @@ def responses(spark):
 def test_prompts(jobs):
     rows = {r.id: r for r in build_prompts(jobs, "ME").collect()}
     assert set(rows) == {"1", "2", "5"}
-    want = (
+    want = (  # fixed value: the wording of the prompt
         "\nYou are a professional recruiter and ATS resume writer.\n\nLANGUAGE: FRENCH\n\nJOB DESCRIPTION:\n"
         + "d" * 2500
         + "\n\nCANDIDATE PROFILE:\nME\n\nRETURN PURE JSON ONLY:\n{\n"
@@ -151,6 +146,19 @@ def test_payload_and_documents(jobs, responses):
     assert errors == {"5"} and parse_responses(responses).count() == 6
 
 
+def test_labels_win_and_one_reply_counts(spark, jobs, responses):
+    older = spark.createDataFrame([("1", '{"profile_summary":"zz"}'), ("1", "{bad}")], "id string, raw string")
+    payload = application_payload(jobs, responses.union(older), {**IDENTITY, "h_profile": "MINE"})
+    docs = {r.id: r.body for r in render_documents(payload, {"cv": "<< h_profile >> << profile_summary >>"}).collect()}
+    assert docs == {"1": "Profil zz", "2": "Profile 5"} and payload.count() == 2
+
+
+def test_empty_lists_match_nothing(spark):
+    rows = spark.createDataFrame([("FX TD",), (None,)], "title string")
+    found = role_rules(rows, "title", include=[], soft_exclude=[]).collect()
+    assert not any(r.role_included or r.role_soft_excluded for r in found)
+
+
 def test_replies_are_parsed_once(jobs, responses):
     plan = application_payload(jobs, responses, IDENTITY)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(?s)") == 1
