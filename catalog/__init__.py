@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.sources.tables import SHARED_DIR
+from winnow.sources.tables import SHARED_DIR, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,12 @@ def own_folder(spark: SparkSession) -> None:
         spark.conf.set(SHARED_DIR, tempfile.mkdtemp(prefix="winnow-"))
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new shared folder for a query that stores tables."""
+    own_folder(spark)
+    return shared_dir(spark)
+
+
 def load() -> None:
     """Import the modules that register queries."""
     from catalog import details, discovery, documents, layouts, logs, state, triage  # noqa: F401

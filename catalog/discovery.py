@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import query, table
+from catalog import query, scratch, table
 from winnow.functions import nodes as N
 from winnow.functions import urls
 from winnow.functions.text import classify, matches_role
@@ -18,7 +19,7 @@ from winnow.plans import stages
 from winnow.plans.discovery import detect_ats_join, discover, in_target_order
 from winnow.schemas import JOBS
 from winnow.sources.html import html_nodes
-from winnow.sources.tables import read_batches, shared_dir
+from winnow.sources.tables import read_latest
 from winnow.sources.targets import distinct_targets
 from winnow.streaming.discovery import read_pages, start_discovery, unique_listings
 
@@ -210,7 +211,7 @@ SELECT md5(url) AS id, title, 'Stockholm/Remote' AS location, url AS apply_url,
 )
 def stream_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page file as a stream, into a new table that is then read back."""
-    root = shared_dir(spark)
+    root = scratch(spark)
     pages = read_pages(spark, sf_dir, glob="pages.parquet")
     run = start_discovery(
         pages,
@@ -219,7 +220,7 @@ def stream_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
         **STREAM,
     )
     run.awaitTermination()
-    return read_batches(spark, f"{root}/jobs", JOBS).select(
+    return read_latest(spark, f"{root}/jobs", JOBS).select(
         "id", "title", "location", "apply_url", "status"
     )
 
@@ -241,7 +242,7 @@ def _landed(rows: DataFrame, root: str) -> DataFrame:
 def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each listing of the stream once, by state."""
     listings = discover(read_pages(spark, sf_dir, glob="pages.parquet"), **STREAM)
-    return _landed(unique_listings(listings).select("id", "url"), shared_dir(spark))
+    return _landed(unique_listings(listings).select("id", "url"), scratch(spark))
 
 
 @query(
@@ -255,7 +256,7 @@ def stream_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict is a function of the title, so it is the same on a stream."""
     listings = discover(read_pages(spark, sf_dir, glob="pages.parquet"), **STREAM)
     verdict = classify(F.col("title"), ("the", "then"), ("then", "when"))
-    return _landed(listings.select("page_id", "url", verdict["status"].alias("status")), shared_dir(spark))
+    return _landed(listings.select("page_id", "url", verdict["status"].alias("status")), scratch(spark))
 
 
 _SHORT_SQL = "coalesce(string_split(string_split({u}, '//')[2], '.')[CASE WHEN string_split(string_split({u}, '//')[2], '.')[1] = 'www' THEN 2 ELSE 1 END], 'unknown')"
@@ -273,7 +274,72 @@ SELECT company, parser, CAST(sum(f) AS BIGINT) AS found, CAST(sum(a) AS BIGINT)
 def run_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored stage, into a new table: what was found and added, zeros included."""
     pages = table(spark, sf_dir, "pages")
-    return stages.run_discovery(pages, f"{shared_dir(spark)}/jobs", **STREAM)
+    return stages.run_discovery(pages, f"{scratch(spark)}/jobs", **STREAM).counts
+
+
+@query(
+    "run_discovery_targets",
+    f"""WITH {_RELAXED_SQL}, visit AS (SELECT * FROM listing WHERE NOT contains(page, '#')),
+first AS (SELECT * FROM visit QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id DESC, n) = 1)
+SELECT md5(url) AS id, url AS apply_url, title, {_SHORT_SQL.format(u="page")} AS company, 'new' AS status FROM first""",
+)
+def run_discovery_by_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored stage with targets in the order against that of the pages: the last page wins."""
+    pages = table(spark, sf_dir, "pages")
+    targets = pages.select(F.lit("all").alias("group"), (-F.col("page_id")).alias("ord"), "url")
+    targets = distinct_targets(targets.where(~F.contains("url", F.lit("#"))))
+    root = f"{scratch(spark)}/jobs"
+    stages.run_discovery(pages, root, targets=targets, **STREAM)
+    return stages.jobs_table(spark, root).select("id", "apply_url", "title", "company", "status")
+
+
+@query(
+    "stream_then_stages",
+    f"""WITH {_RELAXED_SQL}, first AS (SELECT * FROM listing QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id, n) = 1),
+tok AS (SELECT *, length(title) % 2 = 0 AS hit, list_distinct(regexp_extract_all(lower(title), '[\\p{{L}}\\p{{N}}_]+')) AS ts FROM first)
+SELECT md5(url) AS id, CASE WHEN hit THEN title END AS description, CASE WHEN NOT hit THEN 'new'
+  WHEN len(list_intersect(ts, ['then', 'when'])) = 0 AND len(list_intersect(ts, ['the', 'then'])) > 0
+  THEN 'approved' ELSE 'ignored' END AS status FROM tok""",
+)
+def stream_then_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One jobs table: a stream fills it, batch discovery adds nothing, details and triage go on."""
+    root = scratch(spark)
+    jobs = f"{root}/jobs"
+    start_discovery(read_pages(spark, sf_dir, glob="pages.parquet"), jobs, f"{root}/progress", **STREAM).awaitTermination()
+    stages.run_discovery(table(spark, sf_dir, "pages"), jobs, **STREAM)
+    title = F.replace(F.replace("title", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    found = stages.jobs_table(spark, jobs).where(F.length("title") % 2 == 0)
+    details = found.select(
+        F.conv(F.substring("id", 1, 15), 16, 10).cast("bigint").alias("page_id"),
+        F.col("apply_url").alias("url"),
+        F.concat(F.lit("<p>"), title, F.lit("</p>")).alias("html"),
+    )
+    stages.run_details(details, jobs)
+    stages.run_triage(spark, jobs, positive=("the", "then"), negative=("then", "when"))
+    return stages.jobs_table(spark, jobs).select("id", "description", "status")
+
+
+@query(
+    "reset_and_bootstrap",
+    f"""WITH {_RELAXED_SQL} SELECT 'added' AS step, count(DISTINCT url) AS n FROM listing
+UNION ALL SELECT 'absent', 0 UNION ALL SELECT 'reset', 0 UNION ALL SELECT 'again', count(DISTINCT url) FROM listing""",
+)
+def reset_and_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table before there is one, filled, reset, and filled again."""
+    pages, jobs = table(spark, sf_dir, "pages"), f"{scratch(spark)}/jobs"
+    steps = []
+
+    def count(step: str) -> None:
+        steps.append(stages.jobs_table(spark, jobs).agg(F.lit(step).alias("step"), F.count("*").alias("n")))
+
+    count("absent")
+    stages.run_discovery(pages, jobs, **STREAM)
+    count("added")
+    stages.run_reset(spark, jobs)
+    count("reset")
+    stages.run_discovery(pages, jobs, **STREAM)
+    count("again")
+    return reduce(DataFrame.unionByName, steps)
 
 
 @query(

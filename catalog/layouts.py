@@ -15,6 +15,7 @@ from catalog import query, table
 from winnow.operators import profiles as P
 from winnow.operators.extract import extract
 from winnow.plans.discovery import discover
+from winnow.sources.html import html_nodes
 
 ROLES = ("widget", "gear", "rod", "red")
 ROLE_SQL = "regexp_matches(lower(title), 'widget|gear|rod|red')"
@@ -223,3 +224,79 @@ def discover_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover(part_pages(spark, sf_dir), profiles=TEST_PROFILES).select(
         "page_id", "title", "location", "url", "company", "parser", "ats_provider"
     )
+
+
+_DEEP_SQL = "1001 + p_partkey % 500"
+
+
+@query(
+    "deep_pages",
+    f"""SELECT p_partkey AS page_id, CAST({_DEEP_SQL} + 2 AS BIGINT) AS pos, p_name AS title, 'https://careers.smartrecruiters.com/' || p_partkey AS url,
+  CAST({_DEEP_SQL} + 1 AS BIGINT) AS depth FROM part""",
+)
+def deep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings more than a thousand elements deep, beside items that were closed before."""
+    levels = (F.col("p_partkey") % 500 + 1001).cast("int")
+    key = F.col("p_partkey").cast("string")
+    html = F.concat(
+        F.repeat(F.lit("<div>"), levels), F.lit('<section><ul><li class="opening-job"><a href="/'), key,
+        F.lit('"><h4>'), F.col("p_name"), F.lit('</h4></a></ul></section>'), F.repeat(F.lit("</div>"), levels),
+        F.lit('<li class="opening-job">'),
+    )
+    pages = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("page_id"), F.lit("https://x.io").alias("url"), html.alias("html")
+    )
+    profile = replace(P.SMARTRECRUITERS, roles=None)
+    found = extract(pages, profile, keep=("page_id",))
+    depths = html_nodes(pages, "page_id", attributes=()).select(
+        "page_id",
+        (F.array_max(F.transform("nodes", lambda n: n["depth"])) - 4).cast("bigint").alias("depth"),
+    )
+    return found.join(depths, "page_id").select("page_id", "pos", "title", "url", "depth")
+
+
+def _item_markup(item: Column) -> Column:
+    quantity = item["l_quantity"].cast("bigint").cast("string")
+    return F.concat(
+        F.lit("<LI class='a &amp; b'> Q"), quantity, F.lit(" &lt; <!-- x --><b>"), item["l_returnflag"], F.lit("</b><br>")
+    )
+
+
+@query(
+    "html_tree",
+    """WITH item AS (SELECT l_orderkey AS page_id, l_linenumber, l_quantity, mode, n, count(*) OVER (PARTITION BY l_orderkey) AS m FROM (
+  SELECT l_orderkey, l_linenumber, l_returnflag AS mode, CAST(l_quantity AS BIGINT) AS l_quantity,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS n FROM lineitem)),
+node AS (
+  SELECT DISTINCT page_id, 0 AS pre, -1 AS parent, 5 * m AS last, 0 AS depth, 'ul' AS tag, 'order=' || page_id AS attrs, NULL AS text FROM item
+  UNION ALL SELECT page_id, 5 * n + 1, 0, 5 * n + 5, 1, 'li', 'class=a & b', NULL FROM item
+  UNION ALL SELECT page_id, 5 * n + 2, 5 * n + 1, 5 * n + 2, 2, '#text', '', 'Q' || l_quantity || ' <' FROM item
+  UNION ALL SELECT page_id, 5 * n + 3, 5 * n + 1, 5 * n + 4, 2, 'b', '', NULL FROM item
+  UNION ALL SELECT page_id, 5 * n + 4, 5 * n + 3, 5 * n + 4, 3, '#text', '', mode FROM item
+  UNION ALL SELECT page_id, 5 * n + 5, 5 * n + 1, 5 * n + 5, 2, 'br', '', NULL FROM item)
+SELECT page_id, CAST(pre AS INTEGER) AS pre, CAST(parent AS INTEGER) AS parent, CAST(last AS INTEGER) AS last,
+  CAST(depth AS INTEGER) AS depth, tag, attrs, text FROM node""",
+)
+def html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of every node: orders as lists, whose items are closed by the next one."""
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    pages = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(F.sort_array(F.collect_list(F.struct(*order, "l_returnflag"))).alias("items"))
+        .select(
+            F.col("l_orderkey").alias("page_id"),
+            F.concat(
+                F.lit("<ul order="), F.col("l_orderkey").cast("string"), F.lit(">"),
+                F.array_join(F.transform("items", _item_markup), ""), F.lit("</ul>"),
+            ).alias("html"),
+        )
+    )
+    attrs = F.array_join(
+        F.transform(F.map_entries("n.attrs"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ","
+    )
+    fields = [F.col(f"n.{c}").alias(c) for c in ("pre", "parent", "last", "depth", "tag", "text")]
+    return (
+        html_nodes(pages, "page_id").select("page_id", F.explode("nodes").alias("n"))
+        .select("page_id", *fields, attrs.alias("attrs"))
+    )

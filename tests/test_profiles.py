@@ -3,7 +3,7 @@ from dataclasses import replace
 import pytest
 
 from winnow.operators import profiles as P
-from winnow.operators.extract import extract, page_errors
+from winnow.operators.extract import extract, may_list, page_errors
 from winnow.plans.discovery import discover
 
 FAR, STHLM = "Remote/Unknown", "Remote/Stockholm"
@@ -136,4 +136,21 @@ def test_extraction_runs_once_and_without_a_shuffle(spark):
     plan = discover(pages)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1
     assert "hashpartitioning" not in plan
-    assert plan.count("job|career|position|opening") == 1
+    # Once in the test of the markup before the scan, once in the extraction after it.
+    assert plan.count("job|career|position|opening") == 2
+
+
+def test_pages_that_cannot_list_are_not_scanned(spark):
+    """The test of the markup lets all pass that may hold a listing, however it is written."""
+    item = '<li class="{}"><a href="/1"><h4>Pipeline TD</h4></a></li>'
+    rows = [
+        (1, item.format("opening-job")), (2, item.format("opening&#45;job")), (3, item.format("&#x6f;pening-job")),
+        (4, item.format("other")), (5, None), (6, "<p>no links, AT&amp;T"), (7, item.format("x &amp; opening-job")),
+    ]
+    pages = spark.createDataFrame([(i, "https://x.io", h) for i, h in rows], "page_id long, url string, html string")
+    found = extract(pages, P.SMARTRECRUITERS, keep=("page_id",))
+    assert sorted(r.page_id for r in found.collect()) == [1, 2, 3, 7]
+    assert sorted(r.page_id for r in pages.where(may_list(P.SMARTRECRUITERS)).collect()) == [1, 2, 3, 7]
+    sols = spark.createDataFrame([(1, "https://x.io", '<a href="&sol;application/1">FX TD</a>')], pages.schema)
+    assert extract(sols, P.ASHBY, keep=("page_id",)).count() == 1
+    assert replace(P.SIMPLE, href_pattern="^/a$").hints() == [] and P.TEAMTAILOR.hints() == ["/jobs/"]

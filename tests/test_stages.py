@@ -1,8 +1,12 @@
 import json
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from winnow.operators import profiles as P
+from winnow.operators.extract import scan_errors
 from winnow.plans import stages
+from winnow.sources.targets import targets_from
 
 IDENTITY = {"first_name": "Ivo", "last_name": "Test"}
 
@@ -19,10 +23,10 @@ def test_from_pages_to_documents(spark, tmp_path):
         ],
         schema,
     )
-    counts = {(r.company, r.parser): (r.found, r.new) for r in stages.run_discovery(listings, root).collect()}
+    counts = {(r.company, r.parser): (r.found, r.new) for r in stages.run_discovery(listings, root).counts.collect()}
     assert counts[("boards", "Greenhouse")] == (2, 2) and counts[("acme", "Simple/HTML")] == (2, 2)
     assert counts[(None, None)] == (4, 4)
-    again = {(r.company, r.parser): r.new for r in stages.run_discovery(listings, root).collect()}
+    again = {(r.company, r.parser): r.new for r in stages.run_discovery(listings, root).counts.collect()}
     assert again[(None, None)] == 0
     jobs = {r.title: r for r in stages.jobs_table(spark, root).collect()}
     assert set(jobs) == {"Pipeline TD", "Lead Artist", "Tools Programmer", "TD"}
@@ -66,3 +70,39 @@ def test_from_pages_to_documents(spark, tmp_path):
     assert (line.kind, line.line, line.context) == ("error", "! Undefined", "l.5")
     stages.run_reset(spark, root)
     assert stages.jobs_table(spark, root).count() == 0
+
+
+def test_targets_and_failed_pages(spark, tmp_path, monkeypatch):
+    """A page that cannot be scanned is reported from the same scan; the first target wins."""
+    from winnow.sources import html
+
+    scan = html._NodeColumns._scan
+
+    def broken(self, page, base):
+        if "BROKEN" in page:
+            raise ValueError("cannot be read")
+        scan(self, page, base)
+
+    root = str(tmp_path / "jobs")
+    job = '<a href="https://x.io/1">TD job</a>'
+    pages = spark.createDataFrame(
+        [(1, "https://a.com", job), (2, "https://b.com", job), (3, "https://c.com", '<a href="/job">BROKEN TD</a>'), (4, "https://d.com", job)],
+        "page_id long, url string, html string",
+    )
+    options = dict(rules=(), fallback=("simple", "S"), profiles={"simple": replace(P.SIMPLE, href_pattern="x.io|job")})
+    listed = targets_from(spark, ["https://b.com", "https://c.com", "https://a.com"])
+    # Workers import the module anew, so the failing scan is handed over by name.
+    failing = scan_errors(spark.createDataFrame([(3, "ValueError: cannot be read"), (1, None)], "page_id long, error string"))
+    assert [tuple(r) for r in failing.collect()] == [("3", "scan", "ValueError: cannot be read")]
+    monkeypatch.setattr(html._NodeColumns, "_scan", broken)
+    columns = html._NodeColumns()
+    for r in pages.orderBy("page_id").collect():
+        columns.add_page(r.html)
+    nodes, failed = columns.arrays()
+    assert failed.to_pylist() == [None, None, "ValueError: cannot be read", None] and len(nodes[2]) == 0
+    monkeypatch.undo()
+    found = stages.run_discovery(pages, root, targets=listed, **options)
+    assert found.errors.count() == 0
+    counts = {r.company: (r.found, r.new) for r in found.counts.where("parser is null").collect()}
+    assert counts == {"a": (1, 0), "b": (1, 1), "c": (1, 1), None: (3, 2)}
+    assert {(r.apply_url, r.company) for r in stages.jobs_table(spark, root).collect()} == {("https://x.io/1", "b"), ("https://c.com/job", "c")}

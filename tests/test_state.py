@@ -218,40 +218,53 @@ def test_versions(spark, tmp_path):
     root = str(tmp_path / "jobs")
     assert tables.read_latest(spark, root, JOBS).count() == 0
     first = jobs_of(spark, {"apply_url": "1", "status": "scraped", "title": "TD"})
-    assert tables.write_next(first, root) == 1
+    assert tables.write_next(first, root)[0] == 1
     # the newest version can be read while the next is written
-    assert tables.write_next(apply_triage(tables.read_latest(spark, root, JOBS)), root) == 2
+    assert tables.write_next(apply_triage(tables.read_latest(spark, root, JOBS)), root)[0] == 2
     assert [r.status for r in tables.read_latest(spark, root, JOBS).collect()] == ["approved"]
     (tmp_path / "jobs" / "v=3").mkdir()  # a write that never finished
     assert [r.status for r in tables.read_latest(spark, root, JOBS).collect()] == ["approved"]
-    assert tables.write_next(empty_jobs(spark), root) == 3
+    assert tables.write_next(empty_jobs(spark), root)[0] == 3
     assert tables.read_latest(spark, root, JOBS).count() == 0
 
 
-def test_rows_added_to_a_version(spark, tmp_path):
+def test_rows_that_land_beside_a_version(spark, tmp_path):
     root = str(tmp_path / "jobs")
-    tables.append_latest(jobs_of(spark, {"apply_url": "1", "status": "new", "title": "TD"}, {"apply_url": "0"}), root, ["status"])
-    before = tables.read_latest(spark, root, JOBS)
-    tables.append_latest(jobs_of(spark, {"apply_url": "2", "status": "new"}), root, ["status"])
-    after = tables.read_latest(spark, root, JOBS)
-    assert after.schema.names == JOBS.names and before.count() == 2
-    assert {(r.apply_url, r.status) for r in after.collect()} == {("0", None), ("1", "new"), ("2", "new")}
-    assert [p.name for p in (tmp_path / "jobs").iterdir()] == ["v=1"]
-    plan = after.where("status = 'new'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(status" in plan
-    tables.write_next(empty_jobs(spark), root, ["status"])
-    assert tables.read_latest(spark, root, JOBS).count() == 0
-    tables.append_latest(before.where("status = 'new'"), root, ["status"])
-    assert [r.title for r in tables.read_latest(spark, root, JOBS).collect()] == ["TD"]
-
 
-def test_batches(spark, tmp_path):
-    root = str(tmp_path / "jobs")
-    for n in (0, 1, 2, 1):  # the second is written again
-        tables.append_batch(jobs_of(spark, {"apply_url": str(n)}), root, n)
-    assert {r.apply_url for r in tables.read_batches(spark, root, JOBS).collect()} == {"0", "1", "2"}
-    assert {r.apply_url for r in tables.read_batches(spark, root, JOBS, before=1).collect()} == {"0"}
-    assert tables.read_batches(spark, root, JOBS, before=0).count() == 0
+    def rows(*urls, status="new"):
+        return jobs_of(spark, *({"apply_url": u, "status": status} for u in urls))
+
+    def urls():
+        return sorted(r.apply_url for r in tables.read_latest(spark, root, JOBS).collect())
+
+    tables.land(rows("0", "1"), root)
+    before = tables.newest(spark, root)
+    tables.land(rows("2"), root)
+    assert urls() == ["0", "1", "2"] and tables.newest(spark, root).number == 0
+    # A version made of what was seen before the last batch landed: that one still counts beside it.
+    made = tables.read_version(spark, before, JOBS).withColumn("status", F.lit("scraped"))
+    assert tables.write_next(made, root, ["status"], before)[0] == 1
+    assert urls() == ["0", "1", "2"] and tables.newest(spark, root).last_batch == 2
+    jobs = tables.read_latest(spark, root, JOBS)
+    assert {(r.apply_url, r.status) for r in jobs.collect()} == {("0", "scraped"), ("1", "scraped"), ("2", "new")}
+    plan = jobs.where("status = 'new'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(status" in plan
+    (tmp_path / "jobs" / "batch=3").mkdir()  # a write that never finished: its number is not used again
+    assert tables.land(rows("4"), root).endswith("batch=4") and urls() == ["0", "1", "2", "4"]
+    assert stages.run_compaction(spark, root) == 2
+    assert urls() == ["0", "1", "2", "4"] and not tables.newest(spark, root).batches
+    assert stages.run_reset(spark, root) == 3 and urls() == []
+    assert tables.land(rows("5"), root).endswith("batch=5") and urls() == ["5"]
+
+
+def test_markup_is_not_shuffled(spark):
+    """Few pages are wanted: their numbers are broadcast and the markup is read where it lies."""
+    jobs = jobs_of(spark, {"apply_url": "/1", "status": "new"})
+    pages = spark.range(1000).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("/"), F.col("id")).alias("url"), F.lit("<p>x").alias("html")
+    )
+    plan = fetched_pages(jobs, pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
 def test_the_shared_folder_must_be_named(spark, monkeypatch):

@@ -7,9 +7,10 @@ from winnow import defaults
 from winnow.functions.text import classify
 from winnow.operators import profiles as P
 from winnow.operators.state import empty_jobs
+from winnow.plans import stages
 from winnow.plans.discovery import discover, discover_new
 from winnow.schemas import JOBS
-from winnow.sources.tables import read_batches
+from winnow.sources.tables import read_latest
 from winnow.streaming.discovery import read_pages, start_discovery, unique_listings
 
 RELAXED = replace(P.SIMPLE_RELAXED, title_skip=("er",), roles=("th", "en"), role_hrefs=())
@@ -35,7 +36,7 @@ def batch_result(spark, landed):
 def run(spark, landed, root, files_per_batch=1):
     pages = read_pages(spark, landed, files_per_batch=files_per_batch)
     start_discovery(pages, f"{root}/jobs", f"{root}/progress", **OPTIONS).awaitTermination()
-    return read_batches(spark, f"{root}/jobs", JOBS)
+    return read_latest(spark, f"{root}/jobs", JOBS)
 
 
 def test_stream_equals_batch(spark, landed, tmp_path):
@@ -56,6 +57,22 @@ def test_a_replayed_batch_inserts_once(spark, landed, tmp_path):
     assert sorted(r.id for r in run(spark, landed, tmp_path).collect()) == before
 
 
+def test_stream_and_batch_share_a_table(spark, landed, tmp_path):
+    """Rows that a batch run added are known to the stream, those of the stream to the stages."""
+    root = f"{tmp_path}/jobs"
+    pages = spark.read.parquet(landed)
+    stages.run_discovery(pages.where("page_id < 100"), root, **OPTIONS)
+    assert stages.run_compaction(spark, root) == 1
+    ids = [r.id for r in run(spark, landed, tmp_path).collect()]
+    assert len(ids) == len(set(ids)) and set(ids) == batch_result(spark, landed)
+    counts = stages.run_discovery(pages, root, **OPTIONS).counts
+    assert counts.agg(F.sum("new")).first()[0] == 0
+    # A new checkpoint counts batches from 0 again: nothing is lost or doubled.
+    start_discovery(read_pages(spark, landed), root, f"{tmp_path}/other", **OPTIONS).awaitTermination()
+    stages.run_compaction(spark, root)
+    assert sorted(r.id for r in stages.jobs_table(spark, root).collect()) == sorted(ids)
+
+
 def test_unique_listings_by_state(spark, landed, tmp_path):
     listings = discover(read_pages(spark, landed, files_per_batch=2), **OPTIONS)
     query = (

@@ -183,7 +183,7 @@ def write_documents(documents: DataFrame, path: str) -> str:
     All runs together are the table ``path``; of equal folders and kinds the greatest ``v``
     is the current one.
     """
-    return f"{path}/v={write_next(documents, path, ['kind'])}"
+    return write_next(documents, path, ['kind'])[1]
 
 
 def folder_collisions(payload: DataFrame) -> DataFrame:

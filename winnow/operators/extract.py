@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from winnow.functions import nodes as N
 from winnow.functions import urls
 from winnow.functions.text import WHITESPACE, contains_any, let, matches_role
-from winnow.operators.profiles import LIVE_PROFILES, Profile
+from winnow.operators.profiles import LIVE_PROFILES, REFERENCE, Profile
 from winnow.sources.html import html_nodes
 
 _LISTING_FIELDS = "array<struct<pos:bigint,title:string,location:string,url:string,ats_provider:string>>"
@@ -176,18 +176,28 @@ def listings_of(profile: Profile) -> Column:
     return F.transform(rows, listing).cast(_LISTING_FIELDS)
 
 
+def may_list(profile: Profile) -> Column:
+    """Whether a page's markup may hold a listing: quick to test, and never wrong on a no."""
+    html, hints = F.col("html"), profile.hints()
+    every = reduce(lambda a, b: a & b, (html.rlike(h) for h in hints), html.isNotNull())
+    return every | html.rlike(REFERENCE) if hints else every
+
+
 def extract(
     pages: DataFrame,
     profiles: Mapping[str, Profile] | Profile = LIVE_PROFILES,
     *,
     profile: Column | None = None,
     keep: tuple[str, ...] = ("page_id", "url", "company"),
+    errors: bool = False,
 ) -> DataFrame:
     """Listings of all pages in one pass: ``keep`` columns (``url`` as ``page_url``) + listing.
 
     ``pages`` needs ``url`` and ``html``, and with several profiles the ``profile`` column
     or expression naming the one to use. A page that cannot be scanned yields no rows
-    (``page_errors`` lists them).
+    (``page_errors`` lists them); with ``errors`` it is one row with its message in ``error``,
+    and without a ``url`` (``scan_errors``). Pages whose markup lacks what every listing of their
+    profile holds are left out before the scan.
     """
     single = isinstance(profiles, Profile)
     kept = list(keep)
@@ -196,6 +206,11 @@ def extract(
         if "profile" not in kept:
             kept.append("profile")
     used = [profiles] if single else profiles.values()
+    if single:
+        pages = pages.where(may_list(profiles))
+    else:
+        tests = [F.when(F.col("profile") == name, may_list(p)) for name, p in profiles.items()]
+        pages = pages.where(F.coalesce(*tests))
     scanned = html_nodes(pages, *kept, attributes=set().union(*(p.attributes() for p in used)))
     if single:
         found = listings_of(profiles)
@@ -207,17 +222,21 @@ def extract(
     shown = [F.col(c).alias("page_url") if c == "url" else F.col(c) for c in keep]
     # Outer, as the plain form makes the optimizer test the array's size first and
     # so evaluate the whole extraction twice.
-    return scanned.select(*shown, F.inline_outer(found)).where(F.col("url").isNotNull())
+    listed = F.col("url").isNotNull()
+    if not errors:
+        return scanned.select(*shown, F.inline_outer(found)).where(listed)
+    return scanned.select(*shown, "error", F.inline_outer(found)).where(listed | F.col("error").isNotNull())
 
 
 def page_errors(pages: DataFrame) -> DataFrame:
     """``(id, stage, message)`` of the pages that could not be scanned."""
-    return (
-        html_nodes(pages, "page_id", attributes=())
-        .where(F.col("error").isNotNull())
-        .select(
-            F.col("page_id").cast("string").alias("id"),
-            F.lit("scan").alias("stage"),
-            F.col("error").alias("message"),
-        )
+    return scan_errors(html_nodes(pages, "page_id", attributes=()))
+
+
+def scan_errors(scanned: DataFrame) -> DataFrame:
+    """The same of rows with ``page_id`` and ``error``, as ``html_nodes`` and ``extract`` give them."""
+    return scanned.where(F.col("error").isNotNull()).select(
+        F.col("page_id").cast("string").alias("id"),
+        F.lit("scan").alias("stage"),
+        F.col("error").alias("message"),
     )

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
 
 from winnow import defaults
 from winnow.functions.nodes import Select
 
 
+# Patterns that are alternatives of plain text, so that a value that matches shows in the markup, and
+# how that text can be written otherwise: by number, or by the names of letters and marks in it.
+_PLAIN = re.compile(r"(?:\(\?[iu]+\))?[A-Za-z0-9/_|-]+")
+REFERENCE = "&(?:#|sol|lowbar|UnderBar|imath|inodot|fjlig)"
+
+
 @dataclass(frozen=True)
 class Profile:
     """How listings are read off one page layout.
@@ -61,6 +68,17 @@ class Profile:
         selects += [*self.title, *self.place, *self.place_for_link_items]
         return {"href"}.union(*(s.attributes() for s in selects if s is not None))
 
+    def hints(self) -> list[str]:
+        """Patterns that the markup of a page with listings matches, where no reference hides a letter.
+
+        They come from what items and addresses must hold, as far as that is plain text.
+        """
+        needed = [self.href_pattern]
+        if self.items_fallback is None:
+            token, value = self.items.class_token, (self.items.attr or (None, None))[1]
+            needed += [token, self.items.class_pattern, value]
+        return [p for p in needed if p and _PLAIN.fullmatch(p)]
+
 
 # The tags, classes, attributes, addresses and default places of each layout.
 ANCHOR = Select(tags=("a",), has_attr="href")

@@ -14,6 +14,7 @@ from winnow.functions.text import raw_filename
 from winnow.functions.urls import job_id
 from winnow.schemas import JOBS
 from winnow.sources.html import html_nodes
+from winnow.sources.tables import stored
 
 
 def empty_jobs(spark: SparkSession) -> DataFrame:
@@ -117,7 +118,9 @@ def fetched_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
     """The page of each pending address: its first copy, by ``page_id``.
 
     Copies are settled on two narrow columns, and many rows that point at one page are
-    folded first; the markup is read once, for pages in use.
+    folded first; the markup is read once, for pages in use. Their numbers are stored, so that
+    Spark knows their size before it reads any markup: few enough are broadcast, and the markup
+    is scanned where it lies; more are matched in one shuffle.
     """
     wanted = pending_details(jobs).select(F.col("apply_url").alias("url")).distinct()
     firsts = (
@@ -125,7 +128,8 @@ def fetched_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
         .agg(F.min("page_id").alias("page_id"))
         .join(wanted, "url", "left_semi")
     )
-    return pages.join(firsts.select("page_id"), "page_id", "left_semi").where(F.col("html").isNotNull())
+    firsts = stored(firsts.select("page_id"))
+    return pages.join(firsts, "page_id", "left_semi").where(F.col("html").isNotNull())
 
 
 def apply_details(jobs: DataFrame, pages: DataFrame, raw_dir: str = "data/raw_jobs") -> DataFrame:

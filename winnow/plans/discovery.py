@@ -12,6 +12,7 @@ from winnow.functions import urls
 from winnow.operators.extract import extract
 from winnow.operators.profiles import LIVE_PROFILES, Profile
 from winnow.operators.state import insert_new
+from winnow.sources.tables import stored
 
 
 def detect_ats_join(pages: DataFrame, rules: DataFrame, fallback=defaults.FALLBACK_RULE) -> DataFrame:
@@ -19,7 +20,8 @@ def detect_ats_join(pages: DataFrame, rules: DataFrame, fallback=defaults.FALLBA
 
     "Occurs in the host" is made an equi-join: each distinct host is cut into its pieces that are as
     long as some rule's text, of which only the distinct lengths come to the driver. There are far
-    fewer hosts than pages, and one that holds a third of the pages is cut up once.
+    fewer hosts than pages, and one that holds a third of the pages is cut up once. The hosts that
+    a rule names are stored, so that their size is known when they are matched with the pages.
     """
     lengths = rules.select(F.length("domain")).where(F.col("domain").isNotNull()).distinct()
     sizes = [r[0] for r in lengths.collect()]
@@ -40,6 +42,7 @@ def detect_ats_join(pages: DataFrame, rules: DataFrame, fallback=defaults.FALLBA
         .groupBy("host")
         .agg(F.min_by(F.struct("profile", "label"), "priority").alias("rule"))
     )
+    first = stored(first)
     return (
         pages.withColumn("host", urls.host(F.col("url")))
         .join(first, "host", "left")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from winnow.operators.documents import build_prompts, write_documents
-from winnow.operators.extract import extract
+from winnow.operators.extract import extract, scan_errors
 from winnow.operators.logdigest import digest_files
 from winnow.operators.profiles import LIVE_PROFILES
 from winnow.operators.state import (
@@ -22,10 +24,10 @@ from winnow.operators.state import (
 )
 from winnow.operators.triage import apply_triage, triage, triage_summary
 from winnow.plans.application import ingest_responses
-from winnow.plans.discovery import discovery_metrics, dispatch
+from winnow.plans.discovery import discovery_metrics, dispatch, in_target_order
 from winnow.schemas import JOBS
 from winnow.sources.logs import read_logs
-from winnow.sources.tables import append_latest, next_version, read_latest, shared_dir, write_next
+from winnow.sources.tables import Version, land, newest, read_latest, read_version, stored, write_next
 
 # Stages look at few statuses; as partitions the others are not read.
 LAYOUT = ("status",)
@@ -35,26 +37,45 @@ def jobs_table(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, root, JOBS, LATE_COLUMNS)
 
 
-def run_discovery(
-    pages: DataFrame, root: str, *, profiles=LIVE_PROFILES, as_of=None, **options
-) -> DataFrame:
-    """Add the pages' new listings; returns the counts per company and parser.
+def _seen(spark: SparkSession, root: str) -> tuple[Version, DataFrame]:
+    seen = newest(spark, root)
+    return seen, read_version(spark, seen, JOBS, LATE_COLUMNS)
+
+
+@dataclass(frozen=True)
+class Discovered:
+    counts: DataFrame  # found and new per company and parser
+    errors: DataFrame  # id, stage, message of the pages that could not be scanned
+
 
-    The listings are written first: they are needed three times, and reading them back is
-    cheaper, and safer when executors are lost, than scanning the pages again. Of the jobs
-    only the ids are read, and only the added rows are written.
+def run_discovery(
+    pages: DataFrame,
+    root: str,
+    *,
+    targets: DataFrame | None = None,
+    profiles=LIVE_PROFILES,
+    as_of=None,
+    **options,
+) -> Discovered:
+    """Add the pages' new listings, which land beside the newest version.
+
+    With ``targets`` (``distinct_targets``) only their pages are visited, and the first listing of an
+    id is that of the first target; else that of the first page. The listings are written first:
+    they are needed four times, and reading them back is cheaper, and safer when executors are lost,
+    than scanning the pages again. Of the jobs only the ids are read.
     """
     spark = pages.sparkSession
-    scratch = shared_dir(spark)
-    visited = dispatch(pages, **options)
-    keep = ("page_id", "url", "company", "parser")
-    extract(visited, profiles, keep=keep).write.parquet(f"{scratch}/listings")
-    listings = spark.read.parquet(f"{scratch}/listings")
-    new = insert_new(jobs_table(spark, root), listings, as_of=as_of, extra=["parser"])
-    new.write.parquet(f"{scratch}/added")
-    added = spark.read.parquet(f"{scratch}/added")
-    append_latest(added.drop("parser"), root, LAYOUT)
-    return discovery_metrics(listings, added, visited=visited)
+    visited = dispatch(pages if targets is None else in_target_order(pages, targets), **options)
+    first = () if targets is None else ("ord",)
+    keep = (*first, "page_id", "url", "company", "parser")
+    scanned = stored(extract(visited, profiles, keep=keep, errors=True))
+    listings = scanned.where(F.col("url").isNotNull())
+    new = insert_new(
+        jobs_table(spark, root), listings, order=(*first, "page_id", "pos"), as_of=as_of, extra=["parser"]
+    )
+    added = stored(new)
+    land(added.drop("parser"), root)
+    return Discovered(discovery_metrics(listings, added, visited=visited), scan_errors(scanned))
 
 
 def run_details(pages: DataFrame, root: str, raw: str | None = None) -> int:
@@ -63,22 +84,19 @@ def run_details(pages: DataFrame, root: str, raw: str | None = None) -> int:
     The markup is written first: a run that is cut off leaves its rows pending, and the next one
     writes the markup of the same version anew. Rows are stored before that, so pages are scanned once.
     """
-    spark = pages.sparkSession
-    jobs = jobs_table(spark, root)
+    seen, jobs = _seen(pages.sparkSession, root)
     if raw is None:
-        return write_next(apply_details(jobs, pages), root, LAYOUT)
-    scratch = shared_dir(spark)
-    apply_details(jobs, pages).write.parquet(scratch)
-    done = spark.read.schema(JOBS).parquet(scratch)
+        return write_next(apply_details(jobs, pages), root, LAYOUT, seen)[0]
+    done = stored(apply_details(jobs, pages))
     now = done.join(pending_details(jobs).select("id"), "id", "left_semi")
-    write_raw_pages(raw_pages(now, pages), f"{raw}/version={next_version(spark, root)}")
-    return write_next(done, root, LAYOUT)
+    write_raw_pages(raw_pages(now, pages), f"{raw}/version={seen.number + 1}")
+    return write_next(done, root, LAYOUT, seen)[0]
 
 
 def run_triage(spark: SparkSession, root: str, **keywords) -> DataFrame:
     """Judge the scraped rows; returns how many were approved and ignored."""
-    jobs = jobs_table(spark, root)
-    write_next(apply_triage(jobs, **keywords), root, LAYOUT)
+    seen, jobs = _seen(spark, root)
+    write_next(apply_triage(jobs, **keywords), root, LAYOUT, seen)
     return triage_summary(triage(jobs, **keywords))
 
 
@@ -95,10 +113,10 @@ def run_generation(
     ``generated`` without its documents.
     """
     spark = responses.sparkSession
-    jobs = jobs_table(spark, root)
+    seen, jobs = _seen(spark, root)
     done = ingest_responses(jobs, responses, identity, templates, **options)
     written = spark.read.schema(done.documents.schema).parquet(write_documents(done.documents, path))
-    write_next(mark_generated(jobs, written), root, LAYOUT)
+    write_next(mark_generated(jobs, written), root, LAYOUT, seen)
     return done.errors
 
 
@@ -108,4 +126,11 @@ def run_log_digest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_reset(spark: SparkSession, root: str) -> int:
-    return write_next(empty_jobs(spark), root, LAYOUT)
+    """An empty version; what has landed so far goes as well. On no table yet it makes one."""
+    return write_next(empty_jobs(spark), root, LAYOUT, newest(spark, root))[0]
+
+
+def run_compaction(spark: SparkSession, root: str) -> int:
+    """A version of the rows as they are: takes in the batches that a stream has landed."""
+    seen, jobs = _seen(spark, root)
+    return write_next(jobs, root, LAYOUT, seen)[0]

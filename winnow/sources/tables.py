@@ -1,10 +1,13 @@
 """Versioned Parquet tables: every stage writes a new directory, none is overwritten
-while it is read. A directory counts once its write has been committed."""
+while it is read. A directory counts once its write has been committed. Rows that are only
+added land in batches beside the newest version, and the next one takes them in."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,77 +27,113 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid4().hex}"
 
 
-def _committed(spark: SparkSession, root: str, label: str) -> dict[int, str]:
-    """Numbers and paths of the committed ``label=N`` directories below ``root``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return {}
-    out = {}
-    for status in fs.listStatus(path):
-        m = re.fullmatch(rf"{label}=(\d+)", status.getPath().getName())
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if m and fs.exists(done):
-            out[int(m[1])] = status.getPath().toString()
-    return out
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder and read it back: its size is known, its lineage cut."""
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def next_version(spark: SparkSession, root: str) -> int:
-    return max(_committed(spark, root, "v"), default=0) + 1
+@dataclass(frozen=True)
+class Version:
+    """What a reader sees: a committed version, 0 if there is none, and the batches landed since."""
+
+    number: int = 0
+    path: str | None = None
+    folded: int = 0  # batches up to this number are part of the version
+    batches: Mapping[int, str] = field(default_factory=dict)
 
+    @property
+    def last_batch(self) -> int:
+        return max(self.batches, default=self.folded)
 
-def write_next(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
-    """Write the next version and return its number. One writer at a time."""
-    version = next_version(df.sparkSession, root)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/v={version}")
-    return version
+
+def _numbered(spark: SparkSession, root: str) -> tuple[dict[tuple[int, int], str], dict[int, str]]:
+    """Paths of the versions, by number and last batch in them, and of the batches, by number."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    versions, batches = {}, {}
+    for status in fs.listStatus(path) if fs.exists(path) else ():
+        name, at = status.getPath().getName(), status.getPath().toString()
+        if m := re.fullmatch(r"v=(\d+)(?:\.b(\d+))?", name):
+            versions[int(m[1]), int(m[2] or 0)] = at
+        elif m := re.fullmatch(r"batch=(\d+)", name):
+            batches[int(m[1])] = at
+    return versions, batches
 
 
-def append_latest(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> None:
-    """Add rows to the newest version, at the cost of those rows alone.
+def _is_committed(spark: SparkSession, path: str) -> bool:
+    done = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
 
-    Readers that began before do not see them. For rows that are inserted only if absent:
-    should the write be cut off, a second run adds just what is missing.
+
+def newest(spark: SparkSession, root: str) -> Version:
+    """The newest committed version and the committed batches that are not part of it.
+
+    Only those are looked into, so the work does not grow with what older versions hold.
     """
-    found = _committed(df.sparkSession, root, "v")
-    if found:
-        df.write.mode("append").partitionBy(*partition_by).parquet(found[max(found)])
-    else:
-        write_next(df, root, partition_by)
+    versions, batches = _numbered(spark, root)
+    number, folded, path = 0, 0, None
+    for (n, b), at in sorted(versions.items(), reverse=True):
+        if _is_committed(spark, at):
+            number, folded, path = n, b, at
+            break
+    since = {n: at for n, at in sorted(batches.items()) if n > folded and _is_committed(spark, at)}
+    return Version(number, path, folded, since)
 
 
-def read_latest(spark: SparkSession, root: str, schema: T.StructType, defaults=None) -> DataFrame:
-    """The newest version; an empty table if there is none.
+def read_version(spark: SparkSession, version: Version, schema: T.StructType, defaults=None) -> DataFrame:
+    """Rows of a version and of the batches landed since; an empty table if there are none.
 
     Columns that the files of an older table lack, or hold no value for, get their ``defaults``.
     """
-    found = _committed(spark, root, "v")
+    read = spark.read.schema(schema).parquet
+    found = [read(version.path)] if version.path else []
+    if version.batches:
+        found.append(read(*version.batches.values()))
     if not found:
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(found[max(found)])
     defaults = defaults or {}
-    return rows.select(
-        *[
-            F.coalesce(F.col(n), F.lit(defaults[n])).alias(n) if n in defaults else F.col(n)
-            for n in schema.names
-        ]
-    )
-
-
-def append_batch(df: DataFrame, root: str, batch: int) -> None:
-    """Write the rows one micro-batch adds. Writing a batch again replaces just its rows."""
-    df.write.mode("overwrite").parquet(f"{root}/batch={batch}")
-
-
-def read_batches(
-    spark: SparkSession, root: str, schema: T.StructType, before: int | None = None
-) -> DataFrame:
-    """Rows of all batches, or of those ``before`` a number (what a replay must see)."""
-    paths = [
-        path
-        for n, path in sorted(_committed(spark, root, "batch").items())
-        if before is None or n < before
+    columns = [
+        F.coalesce(F.col(n), F.lit(defaults[n])).alias(n) if n in defaults else F.col(n)
+        for n in schema.names
     ]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
+    return reduce(DataFrame.unionByName, [rows.select(*columns) for rows in found])
+
+
+def read_latest(spark: SparkSession, root: str, schema: T.StructType, defaults=None) -> DataFrame:
+    return read_version(spark, newest(spark, root), schema, defaults)
+
+
+def next_version(spark: SparkSession, root: str) -> int:
+    return newest(spark, root).number + 1
+
+
+def write_next(
+    df: DataFrame, root: str, partition_by: Sequence[str] = (), seen: Version | None = None
+) -> tuple[int, str]:
+    """Write the next version; returns its number and path. One writer of versions at a time.
+
+    ``seen`` is the version that ``df`` was made from: batches that were part of it then are part of the
+    next one, those that landed meanwhile still count beside it. Without ``seen`` all batches do.
+    """
+    spark = df.sparkSession
+    folded = seen.last_batch if seen else newest(spark, root).folded
+    number = (seen.number if seen else newest(spark, root).number) + 1
+    path = f"{root}/v={number}" + (f".b{folded}" if folded else "")
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return number, path
+
+
+def land(df: DataFrame, root: str) -> str:
+    """Add rows beside the newest version, at the cost of those rows alone; returns their path.
+
+    For rows that are inserted only if absent: once they are committed a second run finds them, and what
+    a run that was cut off left behind is never read. One writer of batches at a time; a second one of
+    the same number fails. Versions may be written meanwhile.
+    """
+    versions, batches = _numbered(df.sparkSession, root)
+    last = max([0, *batches, *(b for _, b in versions)])
+    path = f"{root}/batch={last + 1}"
+    df.write.parquet(path)
+    return path

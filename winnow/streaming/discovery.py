@@ -10,7 +10,7 @@ from winnow.functions.urls import job_id
 from winnow.operators.state import insert_new
 from winnow.plans.discovery import discover
 from winnow.schemas import JOBS, PAGES
-from winnow.sources.tables import append_batch, read_batches
+from winnow.sources.tables import land, read_latest
 
 
 def read_pages(spark: SparkSession, path: str, *, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -28,18 +28,19 @@ def start_discovery(
 
     Stops when all input is read, or looks for more ``every`` so often (``"1 minute"``).
 
-    A batch sees only what earlier batches wrote and owns its directory, so running it again
-    after a failure writes the same rows again and never inserts twice.
+    ``table`` is the one the stages read. Rows land beside its newest version, so a stage that writes
+    the next one may run meanwhile; batch discovery may not, as it lands rows too. What a run committed
+    is known to the next, so a batch that is run again after a failure never inserts twice.
     """
 
-    def insert(batch: DataFrame, number: int) -> None:
+    def insert(batch: DataFrame, _: int) -> None:
         found = discover(batch, **options).persist()
         # The table outgrows every batch. Cut to the batch's own ids first, it is scanned
         # where it lies as long as those are few enough to be broadcast.
         ids = found.select(job_id(F.col("url")).alias("id")).distinct()
-        known = read_batches(batch.sparkSession, table, JOBS, before=number).select("id")
+        known = read_latest(batch.sparkSession, table, JOBS).select("id")
         known = known.join(ids, "id", "left_semi")
-        append_batch(insert_new(known, found, as_of=as_of), table, number)
+        land(insert_new(known, found, as_of=as_of), table)
         found.unpersist()
 
     when = {"processingTime": every} if every else {"availableNow": True}
