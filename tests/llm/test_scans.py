@@ -106,14 +106,17 @@ def brute_components(rows):
     return {i: least[label[fp]] for i, fp in rows}
 
 
-def test_links_and_components(spark):
+@pytest.mark.parametrize("shard", [simhash.SHARD, 3])
+def test_links_and_components(spark, shard):
     draw = random.Random(9)
     fps = [draw.getrandbits(64) for _ in range(15)]
     for _ in range(250):
         fps.append(draw.choice(fps) ^ (1 << draw.randrange(64)) ^ (1 << draw.randrange(64)))
+    fps += [fps[0] ^ draw.getrandbits(8) ^ (draw.getrandbits(5) << 40) for _ in range(150)]
     rows = [(i, fp) for i, fp in enumerate(fps)]
     signed = [(int(np.uint64(fp).astype(np.int64)),) for fp in set(fps)]
-    found = components.components(simhash.links(spark.createDataFrame(signed, "fp long"))).collect()
+    # A template: fingerprints that share most blocks, so that their shards are split.
+    found = components.components(simhash.links(spark.createDataFrame(signed, "fp long"), shard=shard)).collect()
     label = {r.node: r.label for r in found}
     groups = {}
     for i, fp in rows:

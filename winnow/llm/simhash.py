@@ -3,10 +3,13 @@
 A fingerprint is 64 majority bits of the hashes of a text's shingles. Equal fingerprints are one node.
 Nodes that differ in no more than ``radius`` bits share at least two of ``radius + 2`` blocks of bits,
 so each node goes to one shard per pair of blocks, named by their values; a pair within the radius meets
-in at least one shard. A shard is small at any size of the corpus: it shares 32 bits of 64 if the
-radius is 2. Its distinct fingerprints form a BK-tree: a child hangs at the edge of its Hamming distance
-to the parent, and a search follows only edges whose distance is within the radius of its own. Links
-inside a shard are united there, so a shard sends at most one edge per member, however dense it is.
+in at least one shard. A shard shares 32 bits of 64 if the radius is 2. One that holds more than
+``SHARD`` nodes all the same, as texts from one template may make it, is split by pairs of blocks of the
+bits that its nodes need not share, in the same way: such a part shares 48 bits, so it has 65,536 nodes
+at most at any size of the corpus. The distinct fingerprints of a shard form a BK-tree: a child hangs at
+the edge of its Hamming distance to the parent, and a search follows only edges whose distance is within
+the radius of its own. Links inside a shard are united there, so a shard sends at most one edge per
+member, however dense it is.
 
 Trees are not broadcast: all fingerprints would have to be. They are shuffled to their shards instead.
 """
@@ -26,6 +29,8 @@ from winnow.llm.components import components
 from winnow.llm.shared import fresh, stored, texts_of
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
+#: Nodes of a shard that is searched as it is; larger ones are split.
+SHARD = 1 << 16
 #: Shingle hashes that are unpacked to bits at once.
 _STEP = 1 << 16
 #: Stands for a missing doc_id, which comes after all others.
@@ -59,20 +64,26 @@ def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
     return of.asNondeterministic()(text)
 
 
-def _shard_keys(fp: Column, radius: int) -> Column:
-    """One key per pair of blocks: the number of the pair above the blocks' bits."""
+def _shard_keys(bits: Column, width: int, radius: int) -> tuple[Column, int]:
+    """One key per pair of blocks of the ``width`` low bits: the pair's number, the values of its
+    blocks, and the bits of the others put together; and how many those are, at most."""
     blocks = radius + 2
-    edges = [64 * i // blocks for i in range(blocks + 1)]
+    edges = [width * i // blocks for i in range(blocks + 1)]
+    widths = [b - a for a, b in zip(edges, edges[1:], strict=False)]
 
     def value(i: int) -> Column:
-        width = edges[i + 1] - edges[i]
-        return F.shiftrightunsigned(fp, edges[i]).bitwiseAND(F.lit((1 << width) - 1))
+        return F.shiftrightunsigned(bits, edges[i]).bitwiseAND(F.lit((1 << widths[i]) - 1))
 
-    keys = [
-        F.struct(F.lit(p).alias("pair"), value(i).alias("one"), value(j).alias("two"))
-        for p, (i, j) in enumerate(combinations(range(blocks), 2))
-    ]
-    return F.array(*keys)
+    keys, most = [], 0
+    for p, pair in enumerate(combinations(range(blocks), 2)):
+        rest, used = F.lit(0).cast("long"), 0
+        for k in range(blocks):
+            if k not in pair:
+                rest, used = rest.bitwiseOR(F.shiftleft(value(k), used)), used + widths[k]
+        one, two = (value(i).alias(name) for i, name in zip(pair, ("one", "two"), strict=True))
+        keys.append(F.struct(F.lit(p).alias("pair"), one, two, rest.alias("rest")))
+        most = max(most, used)
+    return F.array(*keys), most
 
 
 class BKTree:
@@ -133,8 +144,11 @@ def shard_links(values: list[int], radius: int) -> list[tuple[int, int]]:
     return [(values[i], values[root(i)]) for i in range(len(values)) if root(i) != i]
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges (a, b) that connect all distinct ``fp`` of ``nodes`` within the radius of each other."""
+def links(nodes: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """Edges (a, b) that connect all distinct ``fp`` of ``nodes`` within the radius of each other.
+
+    Shards of more than ``shard`` nodes are split, which changes the edges but not what they connect.
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[int] = []
@@ -148,8 +162,8 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            columns = [batch.column(i).to_numpy() for i in range(3)]
-            fps = batch.column(3).to_numpy().view(np.uint64)
+            columns = [batch.column(i).to_numpy() for i in range(len(key_names))]
+            fps = batch.column(len(key_names)).to_numpy().view(np.uint64)
             changes = np.zeros(len(batch), bool)
             for c in columns:
                 changes[1:] |= c[1:] != c[:-1]
@@ -172,12 +186,27 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         if len(held) > 1:
             yield edges(shard_links(held, radius))
 
-    keyed = nodes.select("fp", F.explode(_shard_keys(F.col("fp"), radius)).alias("key"))
-    keyed = keyed.select("key.pair", "key.one", "key.two", "fp")
-    dealt = keyed.repartition("pair", "one", "two").sortWithinPartitions("pair", "one", "two", "fp")
+    keys, width = _shard_keys(F.col("fp"), 64, radius)
+    keyed = nodes.select("fp", F.explode(keys).alias("key")).select("key.*", "fp")
+    name = ["pair", "one", "two"]
+    large = keyed.groupBy(*name).agg(F.count("*").alias("n")).where(F.col("n") > shard)
+    large = stored(large.select(*name, F.lit(True).alias("large")))
+    parts, _ = _shard_keys(F.col("rest"), width, radius)
+    whole = F.array(F.struct(*(F.lit(-1).cast(t).alias(c) for c, t in _PART)))
+    parts = F.transform(parts, lambda k: F.struct(*(k[c].cast(t).alias(c) for c, t in _PART)))
+    split = keyed.join(large, name, "left").select(
+        *name, "fp", F.explode(F.when(F.col("large"), parts).otherwise(whole)).alias("part")
+    )
+    key_names = [*name, *(f"part_{c}" for c, _ in _PART)]
+    split = split.select(*name, *(F.col(f"part.{c}").alias(f"part_{c}") for c, _ in _PART), "fp")
+    dealt = split.repartition(*key_names).sortWithinPartitions(*key_names, "fp")
     return dealt.mapInArrow(search, "a long, b long")
 
 
+#: What names a part of a shard; all -1 for a shard that is not split.
+_PART = (("pair", "int"), ("one", "long"), ("two", "long"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Every row of ``docs`` as doc_id, fp and component_id.
 

@@ -180,9 +180,10 @@ def search(index: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) ->
 
     ``queries`` has vec_id and vector; a query is no candidate of its own, by vec_id. Queries are dealt
     into blocks; each block meets each shard of the index in a task of its own, so neither side is ever
-    whole in one place. Repeated queries give their rows once. With fewer candidates, all are returned.
+    whole in one place. A vec_id asks once: of several vectors with it the least one counts. With fewer
+    candidates, all are returned.
     """
-    queries = queries.dropDuplicates(["vec_id"])
+    queries = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     blocks = max(1, -(-queries.count() // block))
     shards = [r.shard for r in index.where("level = -1").select("shard").distinct().collect()]
     dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
