@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from winnow.operators.logdigest import digest_files, digest_lines
 from winnow.sources.logs import log_lines, read_logs
 
@@ -55,7 +57,14 @@ def test_lines_of_one_hot_file(spark):
     assert digests(digest_lines(lines)) == {f: expected(lines) for f, lines in files.items()}
 
 
-def test_tail_is_limited_before_the_shuffle(spark):
-    lines = spark.createDataFrame([("f", 1, "x")], "file string, line_no long, line string")
-    plan = digest_lines(lines)._jdf.queryExecution().executedPlan().toString()
-    assert "row_number(), 10, Partial" in plan
+def test_lines_are_looked_up_without_a_window(spark):
+    """Files of many lines: what is wanted is found by number, in one reading of the text."""
+    lines = spark.range(0, 40_000, 1, 8).select(
+        (F.col("id") % 2).alias("file"), (F.col("id") / 2).cast("long").alias("line_no"),
+        F.when((F.col("id") % 2 == 0) & (F.col("id") % 10_000 == 9_998), "! bad").otherwise(F.col("id").cast("string")).alias("line"),
+    )
+    found = digest_lines(lines)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = sorted((r.file, r.line_no, r.kind, r.line, r.context) for r in found.collect())
+    assert rows[:4] == [(0, n, "error", "! bad", str(2 * n + 2) if n < 19_999 else None) for n in (4999, 9999, 14999, 19999)]
+    assert rows[4:] == [(1, n, "tail", str(2 * n + 1), None) for n in range(19_990, 20_000)]

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions.text import let, strip
 from winnow.sources.logs import lines_of
+from winnow.sources.tables import stored
 
 TAIL = 10
 _ROW = "array<struct<line_no:bigint,kind:string,line:string,context:string>>"
@@ -43,35 +44,30 @@ def digest_files(files: DataFrame, tail: int = TAIL) -> DataFrame:
 
 
 def digest_lines(lines: DataFrame, tail: int = TAIL) -> DataFrame:
-    """Digest of ``(file, line_no, line)`` rows, numbered without gaps.
+    """Digest of ``(file, line_no, line)`` rows, numbered from 0 without gaps.
 
-    Made for files of any length: the following line is found by an equi-join on file and
-    number, which spreads one file over all tasks, and the tail by a row limit per file
-    that is applied before the shuffle.
+    Made for files of any length: as lines are numbered, the places of what is wanted beside the errors,
+    the lines after them and the last lines of files without any, follow from the errors and from the
+    length of each file. They are stored, so that their size is known, and looked up in one reading:
+    few of them are broadcast, and no text is shuffled; more are matched in one shuffle.
     """
-    errors = lines.where(F.startswith(F.col("line"), F.lit("!")))
     at = ["file", "line_no"]
-    following = lines.select("file", (F.col("line_no") - 1).alias("line_no"), F.col("line").alias("next"))
-    # Errors are rare: with few of them this join is a broadcast and no line is shuffled.
-    following = following.join(errors.select(*at), at, "left_semi")
+    errors = stored(lines.where(F.startswith(F.col("line"), F.lit("!"))).select(*at, "line"))
+    ends = lines.groupBy("file").agg(F.max("line_no").alias("end"))
+    clean = ends.join(errors.select("file").distinct(), "file", "left_anti")
+    last = F.sequence(F.greatest(F.col("end") - (tail - 1), F.lit(0)), F.col("end"))
+    after = errors.select("file", (F.col("line_no") + 1).alias("line_no"), F.lit("after").alias("as"))
+    wanted = after.unionByName(
+        clean.select("file", F.explode(last).alias("line_no"), F.lit("tail").alias("as"))
+    )
+    found = stored(lines.select(*at, "line").join(stored(wanted), at))
+    following = found.where(F.col("as") == "after").select(
+        "file", (F.col("line_no") - 1).alias("line_no"), F.col("line").alias("next")
+    )
     hits = errors.join(following, at, "left").select(
-        "file",
-        "line_no",
-        F.lit("error").alias("kind"),
-        strip(F.col("line")).alias("line"),
-        strip(F.col("next")).alias("context"),
+        *at, F.lit("error").alias("kind"), strip(F.col("line")).alias("line"), strip(F.col("next")).alias("context")
     )
-    latest = Window.partitionBy("file").orderBy(F.col("line_no").desc())
-    tails = (
-        lines.withColumn("back", F.row_number().over(latest))
-        .where(F.col("back") <= tail)
-        .join(errors.select("file").distinct(), "file", "left_anti")
-        .select(
-            "file",
-            "line_no",
-            F.lit("tail").alias("kind"),
-            strip(F.col("line")).alias("line"),
-            F.lit(None).cast("string").alias("context"),
-        )
+    tails = found.where(F.col("as") == "tail").select(
+        *at, F.lit("tail").alias("kind"), strip(F.col("line")).alias("line"), F.lit(None).cast("string").alias("context")
     )
     return hits.unionByName(tails)
