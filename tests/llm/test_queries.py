@@ -1,5 +1,7 @@
 """The queries of this package against their SQL, and the pipeline against its stages' promises."""
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +47,21 @@ def test_vectors_odd_rows(spark):
     assert topk.top_k(frame.limit(0), F.col("vec_id") == 0, k=3).count() == 0
 
 
+@pytest.mark.parametrize("n, k, shard", [(5, 20, 16_384), (21, 20, 16_384), (60, 8, 4)])
+def test_fewer_vectors_than_k_over_several_levels(spark, n, k, shard):
+    draw = random.Random(n)
+    vectors = [[draw.choice([-1, 1]) * draw.randint(0, 4 ** draw.randint(0, 4)) for _ in range(6)] for _ in range(n)]
+    vectors[0] = vectors[1] = [64, 128, 0, 0, 0, 0]
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = topk.top_k(frame, F.col("vec_id") % 3 == 0, k=k, scale=1, shard=shard)
+    want = []
+    for q in range(0, n, 3):
+        scores = sorted((-sum(a * b for a, b in zip(vectors[q], v, strict=True)), i) for i, v in enumerate(vectors) if i != q)
+        want += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scores[:k])]
+    assert (0, 20480) in {(q, s) for q, _, i, s in want if i == 1}
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")

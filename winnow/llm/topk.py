@@ -139,8 +139,10 @@ class _Shard:
             scores += q @ part.T
             rest -= (part * part).sum(axis=1)
             slack = norms[:, None] * np.sqrt(np.maximum(rest, 0))[None, :] * (1 + 1e-9)
-            if n <= k + 1 or i + 1 == len(self.layers):
+            if i + 1 == len(self.layers):
                 break
+            if n <= k + 1:  # hardly more than k candidates: nothing to prove, but every level counts
+                continue
             certain = np.where(own, -np.inf, scores - slack)
             bound = np.partition(certain, n - k, axis=1)[:, n - k]
             possible = (scores + slack >= bound[:, None]) & ~own
