@@ -277,3 +277,28 @@ def test_battery_tells_keys_from_names(make_docs):
     found = {r.doc_id: len(r.random) for r in secrets.find_secrets(make_docs(*keys, *names)).collect()}
     assert sum(found[i] for i, _ in keys) >= 36
     assert sum(found[i] for i, _ in names) <= 2
+
+
+def test_battery_finds_keys_of_each_encoding(make_docs):
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    letters = upper + upper.lower()
+    kinds = {
+        "digits": (digits, 23, 20), "hex": (digits + "abcdef", 23, 20), "upper_hex": (digits + "ABCDEF", 40, 54),
+        "lower": (upper.lower(), 64, 50), "base32": (upper + "234567", 64, 54), "letters": (letters, 40, 54),
+        "alnum": (letters + digits, 40, 54), "base64": (letters + digits + "+/", 40, 54),
+    }
+    draw, rows, kind_of = random.Random(8), [], {}
+    for kind, (alphabet, n, _) in kinds.items():
+        for _ in range(60):
+            kind_of[len(rows)] = kind
+            rows.append((len(rows), f"key {''.join(draw.choices(alphabet, k=n))} end"))
+    words = ["Internal", "Service", "Configuration", "Document", "Reader", "Factory", "Request", "Handler"]
+    for mark in ("", "_", "/"):
+        for _ in range(60):
+            kind_of[len(rows)] = "name"
+            rows.append((len(rows), f"see {mark.join(draw.choices(words, k=4))} end"))
+    found = dict.fromkeys([*kinds, "name"], 0)
+    for r in secrets.find_secrets(make_docs(*rows)).collect():
+        found[kind_of[r.doc_id]] += len(r.random)
+    assert {k: found[k] for k, (_, _, least) in kinds.items() if found[k] < least} == {}
+    assert found["name"] <= 5

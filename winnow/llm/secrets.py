@@ -4,7 +4,8 @@ Three kinds have a form of their own: ``assign`` (a value after a key word), ``a
 ``hex`` (long runs of hexadecimal digits). Beyond those, every run of 20 or more characters that keys
 are made of is a candidate, and a battery of randomness tests tells keys from names and prose:
 
-- its encoding is inferred, the smallest alphabet that holds it: hex, base32, letters and digits, base64;
+- its encoding is inferred, the smallest alphabet that holds it: digits, hex in either case, small letters,
+  base32, letters and digits, base64;
 - chi-squared of its characters against the uniform distribution over that alphabet;
 - the number of runs of symbols above and below the middle of the alphabet (Wald-Wolfowitz);
 - the serial correlation of neighbouring symbols.
@@ -43,7 +44,10 @@ _QUICK = {
 CANDIDATE, LEAST = "[A-Za-z0-9+/_=-]+", 20
 #: name, alphabet, share of pairs of characters that are equal in text written in it.
 ENCODINGS = (
+    ("digits", "0123456789", 0.2),
     ("hex", "0123456789abcdef", 0.125),
+    ("upper_hex", "0123456789ABCDEF", 0.125),
+    ("lower", "abcdefghijklmnopqrstuvwxyz", 0.065),
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.065),
     ("alnum", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 0.055),
     ("base64", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_=", 0.055),
@@ -141,8 +145,7 @@ def _statistics(value: Column) -> Column:
         return 4 * _normal(-F.greatest(runs, serial)) < F.lit(LEVEL)
 
     refuted = F.aggregate(codes, start, walk, judge)
-    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    return F.struct(name.alias("encoding"), p.alias("p"), (mixed & ~refuted).alias("chance"))
+    return F.struct(name.alias("encoding"), p.alias("p"), (~refuted).alias("chance"))
 
 
 def _length_class(length: Column) -> Column:
@@ -213,7 +216,7 @@ def discoveries(candidates: DataFrame, rate: float = RATE) -> dict[str, int]:
     """The least bin of p-values that is a discovery, for each group of encoding and length with one.
 
     Benjamini and Hochberg: the largest p with p * candidates <= rate * candidates of that p or less. A
-    bin counts as its largest p. There are at most 4 times 21 groups, so the result is small.
+    bin counts as its largest p. There are at most 7 times 21 groups, so the result is small.
     """
     group = F.concat_ws("/", "c.test.encoding", _length_class(F.col("c.length")).cast("string"))
     counts = candidates.groupBy(group.alias("group"), _bin(F.col("c.test.p")).alias("bin")).agg(F.count("*").alias("n"))
