@@ -302,3 +302,34 @@ def test_battery_finds_keys_of_each_encoding(make_docs):
         found[kind_of[r.doc_id]] += len(r.random)
     assert {k: found[k] for k, (_, _, least) in kinds.items() if found[k] < least} == {}
     assert found["name"] <= 5
+
+
+def test_quality_keeps_rare_words_apart(spark, make_docs):
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    marks = [[word() for _ in range(200)] for _ in range(2)]
+    rows = []
+    for i in range(1600):
+        words = [word() for _ in range(240)]
+        for mark in draw.sample(marks[i % 2], 5):
+            words.insert(draw.randrange(len(words)), mark)
+        rows.append((i, " ".join(words)))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    docs = make_docs(*rows).repartition(4)
+    weight = {r.doc_id: r.log_weight for r in quality.weigh(docs, labels).collect()}
+    good, bad = ([weight[i] for i in range(600 + k, 1600, 2)] for k in (1, 0))
+    above = sum(g > b for g in good for b in bad) / len(good) / len(bad)
+    assert above >= 0.9
+
+
+def test_quality_does_not_depend_on_chunks(spark, documents):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    want = {r.doc_id: (r.log_weight, r.keep) for r in quality.weigh(documents, labels).collect()}
+    got = {r.doc_id: (r.log_weight, r.keep) for r in quality.weigh(documents, labels, chunk_bytes=20_000, bucket_keys=500).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[i][0] - want[i][0]) < 1e-6 and got[i][1] == want[i][1] for i in want)
+    stay = quality.resample(documents, labels, chunk_bytes=20_000, bucket_keys=500)
+    keep = [r.doc_id for r in documents.select("doc_id").collect() if want[r.doc_id][1]]
+    whole = documents.where(documents.doc_id.isin(keep))
+    assert sorted(map(str, stay.collect())) == sorted(map(str, whole.collect())) and stay.schema.names == documents.schema.names
+    assert [quality.key_bits(n) for n in (1, 4096, 4097, 1 << 30)] == [3, 15, 16, 33]

@@ -1,31 +1,38 @@
 """Quality by importance resampling with hashed n-gram models.
 
-A text is a bag of n-grams in hashed buckets: words and pairs of words, and runs of one to three word
-shapes (letter case, digits, marks, length, and whether the word repeats the one before). Counts of all
-texts give the raw model, counts of labelled good ones the target model. A text's log weight is the sum
-over its n-grams of log(target / raw): how much likelier the target model makes it. Documents are drawn
+A text is a bag of hashed n-grams: words and pairs of words, and runs of one to three word shapes
+(letter case, digits, marks, length, and whether the word repeats the one before). Counts of all texts
+give the raw model, counts of labelled good ones the target model. A text's log weight is the sum over
+its n-grams of log(target / raw), how much likelier the target model makes it, where raw is the count to
+be expected in the target and both counts leave the text itself out. Documents are drawn
 without replacement by Gumbel top-k: noise that depends on the doc_id alone is added to the log weights
 and the k largest stay. k is the number of documents whose log weight reaches the cut that best parts
 the labelled rows.
+
+The key space of either sort of n-grams is the least power of two from eight times the number of distinct
+ones on, as a sketch of least hashes estimates it, so it grows with the corpus. No model is held whole:
+texts are dealt into chunks, a chunk sends its distinct keys with their counts to the bucket of their
+range, the bucket sums them and answers each chunk, and the chunk weighs its texts with the answers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnow.llm.arrays import blocks, scramble, white_space_words, words_of
-from winnow.llm.shared import fresh, stored, texts_of
+from winnow.llm.shared import fresh, shuffle_partitions, stored, text_bytes, texts_of
 
-#: Buckets of word n-grams and of shape n-grams: the size of a model, whatever the corpus.
-WORD_BUCKETS, SHAPE_BUCKETS = 1 << 13, 1 << 12
-BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
+#: Text of a chunk, and keys of a bucket, about. Both stay in one task's memory.
+CHUNK_BYTES, BUCKET_KEYS = 8 << 20, 4_000_000
+#: Least hashes that the number of distinct n-grams is estimated from.
+SKETCH = 4096
 #: Labelled rows of either class that are looked at, at most: those with the least hash of the doc_id.
 FIT_ROWS = 20_000
 #: Added to every count, and the largest weight of one n-gram.
@@ -38,11 +45,11 @@ _KIND[0x21:0x7F] = 4
 _KIND[0x41:0x5B], _KIND[0x61:0x7B], _KIND[0x30:0x3A], _KIND[0x80:] = 1, 2, 3, 5
 
 
-def _buckets(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and bucket of every n-gram of a block."""
+def _grams(offsets: np.ndarray, data: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Row and hash of every word n-gram of a block, and of every shape n-gram."""
     words = words_of(offsets, data, _MEMBER)
     if not len(words.row):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return [(np.zeros(0, np.int64), np.zeros(0, np.uint64))] * 2
     row, hashes = words.row, words.hash
     kinds = _KIND[data]
     shape = np.zeros(len(row), np.uint64)
@@ -64,20 +71,11 @@ def _buckets(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndar
     pair = scramble(hashes[:-1] * np.uint64(3) + hashes[1:])[inside]
     two = scramble(shape[:-1] * np.uint64(3) + shape[1:])[inside]
     three = scramble((shape[:-2] * np.uint64(3) + shape[1:-1]) * np.uint64(3) + shape[2:])[inside2]
-    rows = [row, row[:-1][inside], row, row[:-1][inside], row[:-2][inside2]]
-    buckets = [
-        *(x >> np.uint64(51) for x in (hashes, pair)),
-        *((x >> np.uint64(52)) + np.uint64(WORD_BUCKETS) for x in (shape, two, three)),
+    one, both = row[:-1][inside], row[:-2][inside2]
+    return [
+        (np.concatenate([row, one]), np.concatenate([hashes, pair])),
+        (np.concatenate([row, one, both]), np.concatenate([shape, two, three])),
     ]
-    return np.concatenate(rows), np.concatenate(buckets).astype(np.int64)
-
-
-@dataclass(frozen=True)
-class Model:
-    """weights: log(target / raw) of each bucket; cut: the log weight that parts the labelled rows."""
-
-    weights: np.ndarray
-    cut: float
 
 
 def labelled_ids(labels: DataFrame, fit_rows: int = FIT_ROWS, quality: str = "quality") -> dict[int, list[int]]:
@@ -91,91 +89,178 @@ def labelled_ids(labels: DataFrame, fit_rows: int = FIT_ROWS, quality: str = "qu
     return out
 
 
-def _counts(docs: DataFrame, good: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams per bucket in all texts and in the labelled good ones."""
+def _measured(docs: DataFrame, good: list[int], sketch: int = SKETCH) -> list[tuple[int, int, int]]:
+    """Per sort of n-grams: distinct ones, about, all, and those in the labelled good texts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = np.array(sorted(good), np.int64)
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        least, raw, target = [np.zeros(0, np.uint64)] * 2, [0, 0], [0, 0]
         for batch in batches:
-            doc_ids = batch.column(0).fill_null(-(1 << 62)).to_numpy(zero_copy_only=False)
-            is_good = np.isin(doc_ids, ids)
+            is_good = _is_one_of(batch.column(0), ids)
             for first, offsets, data in blocks(batch.column(1)):
-                row, bucket = _buckets(offsets, data)
-                raw += np.bincount(bucket, minlength=BUCKETS)
-                target += np.bincount(bucket[is_good[first + row]], minlength=BUCKETS)
-        used = np.flatnonzero(raw)
-        arrays = [pa.array(x) for x in (used, raw[used], target[used])]
-        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "raw", "target"])
+                for part, (row, code) in enumerate(_grams(offsets, data)):
+                    raw[part] += len(row)
+                    target[part] += int(is_good[first + row].sum())
+                    if len(least[part]) == sketch:
+                        code = code[code < least[part][-1]]
+                    least[part] = np.unique(np.concatenate([least[part], code]))[:sketch]
+        for part in (0, 1):
+            codes = np.append((least[part] >> np.uint64(1)).astype(np.int64), -1)
+            zeros = np.zeros(len(codes) - 1, np.int64)
+            arrays = [np.full(len(codes), part, np.int32), codes, np.append(zeros, raw[part]), np.append(zeros, target[part])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["part", "code", "raw", "target"])
 
     rows = texts_of(docs).select(F.col("doc_id").cast("long"), "text")
-    sums = rows.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")
-    )
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in sums.collect():  # a row per bucket
-        raw[r.bucket], target[r.bucket] = r.raw, r.target
-    return raw, target
-
-
-def _weights(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    out = np.zeros(BUCKETS)
-    for part in (slice(0, WORD_BUCKETS), slice(WORD_BUCKETS, BUCKETS)):
-        p = (target[part] + SMOOTHING) / (target[part].sum() + SMOOTHING * len(target[part]))
-        q = (raw[part] + SMOOTHING) / (raw[part].sum() + SMOOTHING * len(raw[part]))
-        out[part] = np.clip(np.log(p / q), -CLIP, CLIP)
+    told = stored(rows.mapInArrow(measure, "part int, code long, raw long, target long"))
+    out = []
+    for part in (0, 1):
+        own = told.where(F.col("part") == part)
+        raw, target = own.agg(F.sum("raw"), F.sum("target")).first()
+        codes = own.where("code >= 0").select("code").distinct().orderBy("code").limit(sketch).collect()
+        n = len(codes) if len(codes) < sketch else int((sketch - 1) * 2.0**63 / (codes[-1].code + 1))
+        out.append((n, raw or 0, target or 0))
     return out
 
 
-def _sums(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(texts))
-    for first, offsets, data in blocks(texts):
-        row, bucket = _buckets(offsets, data)
-        out[first : first + len(offsets) - 1] = np.bincount(
-            row, weights=weights[bucket], minlength=len(offsets) - 1
-        )
-    return out
+def key_bits(distinct: int) -> int:
+    """Bits of the key space for so many distinct n-grams: eight keys or more for each."""
+    return max(1, (8 * distinct - 1).bit_length())
 
 
-def log_weight(text: Column, weights: np.ndarray) -> Column:
-    """Sum of the weights of a text's n-grams; 0 if it has none, as a null."""
+def _is_one_of(doc_ids: pa.Array | pa.ChunkedArray, ids: np.ndarray) -> np.ndarray:
+    return np.isin(doc_ids.fill_null(-(1 << 62)).to_numpy(zero_copy_only=False), ids) & ~np.asarray(doc_ids.is_null())
 
-    @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        return pa.array(_sums(texts, weights))
 
-    return score.asNondeterministic()(text)
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts, a column each."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model | None:
-    """Models of all texts and of the labelled good ones, and the cut between labelled rows.
+def _chunk_keys(table: pa.Table, bits: list[int], good: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per sort of n-grams: a chunk's distinct keys, and how often they are in all and in good texts."""
+    is_good = _is_one_of(table[_ID], good)
+    found: list[list] = [[(np.zeros(0, np.uint64), np.zeros((0, 2), np.int64))] for _ in bits]
+    for first, offsets, data in blocks(table[_TEXT]):
+        for part, (row, code) in enumerate(_grams(offsets, data)):
+            ones = np.ones((len(row), 2), np.int64)
+            ones[:, 1] = is_good[first + row]
+            found[part].append(_summed(code >> np.uint64(64 - bits[part]), ones))
+    return [_summed(np.concatenate([k for k, _ in f]), np.concatenate([n for _, n in f])) for f in found]
 
-    None if no document is labelled good. Without one labelled bad, the cut lets all pass.
-    """
-    ids = labelled_ids(labels, fit_rows)
-    if not ids[1]:
-        return None
-    raw, target = _counts(docs, ids[1])
-    if not target.any():
-        return None
-    weights = _weights(raw, target)
-    scores = _scores_of(docs, ids[0] + ids[1], weights).collect()
-    bad = set(ids[0])
-    return Model(weights, _best_cut([(r.score, r.doc_id not in bad) for r in scores]))
 
+_ID, _TEXT, _CHUNK = "id of the row", "text of the row", "chunk of the row"
+_SENT = "bucket int, chunk int, n int, keys binary, counts binary"
+_TOLD = "chunk int, bucket int, counts binary"
 
-def _scores_of(docs: DataFrame, ids: list[int], weights: np.ndarray) -> DataFrame:
-    """doc_id and score of the rows with one of a bounded number of ids."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = pa.array(ids, pa.int64())
-        for batch in batches:
-            own = batch.filter(pc.is_in(batch.column(0), value_set=wanted))
-            scores = pa.array(_sums(own.column(1), weights))
-            yield pa.RecordBatch.from_arrays([own.column(0), scores], names=["doc_id", "score"])
+def _shrink(values: np.ndarray) -> bytes:
+    """Bytes of 64-bit integers, all lowest bytes first, packed."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _expand(data: bytes, kind: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(kind).reshape(-1)
+
+
+def _send(table: pa.Table, bits: list[int], good: np.ndarray, split: int) -> pa.Table:
+    """A chunk's distinct keys and their counts, by bucket: 2**split ranges of either sort's keys."""
+    out: list[tuple] = []
+    for part, (keys, counts) in enumerate(_chunk_keys(table, bits, good)):
+        step = min(split, bits[part])
+        edges = np.searchsorted(keys >> np.uint64(bits[part] - step), np.arange((1 << step) + 1, dtype=np.uint64))
+        for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+            if b > a:
+                steps = np.diff(keys[a:b], prepend=np.uint64(0))
+                out.append(((part << split) + i, table[_CHUNK][0].as_py(), b - a, _shrink(steps), _shrink(counts[a:b])))
+    return _rows(out, ("bucket", pa.int32()), ("chunk", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()))
+
+
+def _rows(rows: list[tuple], *columns: tuple[str, pa.DataType]) -> pa.Table:
+    values = list(zip(*rows, strict=True)) or [()] * len(columns)
+    return pa.table([pa.array(list(v), kind) for v, (_, kind) in zip(values, columns, strict=True)], names=[c for c, _ in columns])
 
-    rows = texts_of(docs).select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(score, "doc_id long, score double")
+
+def _tell(table: pa.Table) -> pa.Table:
+    """The counts over all chunks of the keys of a bucket, to each chunk in the order it sent them."""
+    rows = table.to_pylist()
+    keys = np.concatenate([np.cumsum(_expand(r["keys"], "<u8"), dtype=np.uint64) for r in rows])
+    counts = np.concatenate([_expand(r["counts"], "<i8").reshape(-1, 2) for r in rows])
+    distinct, sums = _summed(keys, counts)
+    del counts
+    out, at = [], 0
+    for r in rows:
+        own = sums[np.searchsorted(distinct, keys[at : at + r["n"]])]
+        out.append((r["chunk"], r["bucket"], _shrink(own)))
+        at += r["n"]
+    return _rows(out, ("chunk", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()))
+
+
+def _weigh(table: pa.Table, told: pa.Table, bits: list[int], totals: list, good: np.ndarray, split: int) -> np.ndarray:
+    """Log weights of a chunk's texts, each against the counts without itself."""
+    is_good, out = _is_one_of(table[_ID], good), np.zeros(table.num_rows)
+    answers = sorted(told.to_pylist(), key=lambda r: r["bucket"])
+    none = np.zeros((0, 2), np.int64)
+    sums = [
+        np.concatenate([none, *(_expand(r["counts"], "<i8").reshape(-1, 2) for r in answers if r["bucket"] >> split == part)])
+        for part in range(len(bits))
+    ]
+    distinct = [keys for keys, _ in _chunk_keys(table, bits, good)]
+    for first, offsets, data in blocks(table[_TEXT]):
+        rows = len(offsets) - 1
+        for part, (row, code) in enumerate(_grams(offsets, data)):
+            if not len(row):
+                continue
+            place = np.searchsorted(distinct[part], code >> np.uint64(64 - bits[part]))
+            own, n = np.unique(row * len(distinct[part]) + place, return_counts=True)
+            row_of, key = np.divmod(own, len(distinct[part]))
+            mine = is_good[first + row_of]
+            size = np.bincount(row, minlength=rows)[row_of]
+            raw, target = sums[part][key, 0] - n, sums[part][key, 1] - n * mine
+            all_raw, all_target = totals[part][0] - size, totals[part][1] - size * mine
+            expected = raw * (all_target / np.maximum(all_raw, 1))
+            weight = np.clip(np.log((target + SMOOTHING) / (expected + SMOOTHING)), -CLIP, CLIP)
+            out[first : first + rows] += np.bincount(row_of, weights=weight * n, minlength=rows)
+    return out
+
+
+def _scored(docs: DataFrame, good: list[int], columns: list[str], chunk_bytes: int, bucket_keys: int) -> DataFrame | None:
+    """``columns`` of every row, and log_weight; None if no text is labelled good.
+
+    A text without n-grams weighs 0. Rows are dealt by doc_id and text.
+    """
+    measured = _measured(docs, good)
+    if not any(target for _, _, target in measured):
+        return None
+    bits, totals = [key_bits(n) for n, _, _ in measured], [m[1:] for m in measured]
+    size = text_bytes(docs)
+    chunks = max(shuffle_partitions(docs.sparkSession), -(-size // chunk_bytes))
+    # A chunk's distinct keys are fewer than half its bytes; a bucket has at least 64 of them.
+    buckets = min(max(shuffle_partitions(docs.sparkSession), size // 2 // bucket_keys), max(1, chunk_bytes // 128))
+    split, ids = max(0, buckets - 1).bit_length(), np.array(sorted(good), np.int64)
+    deal = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
+    extra = [F.col("doc_id").cast("long").alias(_ID), F.col("text").alias(_TEXT), deal.alias(_CHUNK)]
+    # The same columns for both readings, so that texts are shuffled once.
+    others = [c for c in columns if c != "text"]
+    dealt = docs.select(F.struct(*others).alias("carried"), *extra)
+    (weight,) = fresh(docs.select(*columns), "log_weight")
+    fields = [("carried", dealt.schema["carried"].dataType), (_TEXT, T.StringType()), (weight, T.DoubleType())]
+    kept = fields if "text" in columns else [fields[0], fields[2]]
+
+    def weigh(left: pa.Table, right: pa.Table) -> pa.Table:
+        weights = pa.array(_weigh(left, right, bits, totals, ids, split))
+        return left.append_column(weight, weights).select([name for name, _ in kept])
+
+    sent = dealt.groupBy(_CHUNK).applyInArrow(lambda t: _send(t, bits, ids, split), _SENT)
+    told = sent.groupBy("bucket").applyInArrow(_tell, _TOLD)
+    found = dealt.groupBy(_CHUNK).cogroup(told.groupBy("chunk")).applyInArrow(
+        weigh, T.StructType([T.StructField(name, kind) for name, kind in kept])
+    )
+    return found.select(*(F.col(_TEXT).alias(c) if c == "text" else F.col(f"carried.{c}") for c in columns), weight)
 
 
 def _best_cut(scored: list[tuple[float, bool]]) -> float:
@@ -235,33 +320,51 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
     return low
 
 
-def weigh(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def _keys(
+    docs: DataFrame, labels: DataFrame, fit_rows: int, columns: list[str], chunk_bytes: int, bucket_keys: int
+) -> tuple[DataFrame, str, str, float] | None:
+    """Rows with their log weight and key, the names of these two columns, and the least key that stays."""
+    ids = labelled_ids(labels, fit_rows)
+    scored = _scored(docs, ids[1], columns, chunk_bytes, bucket_keys) if ids[1] else None
+    if scored is None:
+        return None
+    weight = scored.columns[-1]
+    (key,) = fresh(scored, "gumbel_key")
+    rows = stored(scored.withColumn(key, F.col(weight) + gumbel(F.col("doc_id"))))
+    k = rows.where(F.col(weight) >= _cut(rows, weight, ids)).count()
+    return rows, weight, key, kth_largest(rows, key, k)
+
+
+def _cut(rows: DataFrame, weight: str, ids: dict[int, list[int]]) -> float:
+    """The log weight that parts the labelled rows. Without one labelled bad, all pass."""
+    spark, bad = rows.sparkSession, set(ids[0])
+    wanted = spark.createDataFrame([(i,) for i in sorted(bad | set(ids[1]))], "id long")
+    own = rows.select(F.col("doc_id").cast("long").alias("id"), F.col(weight).alias("score")).join(wanted, "id")
+    return _best_cut([(r.score, r.id not in bad) for r in own.collect()])
+
+
+def weigh(
+    docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, chunk_bytes: int = CHUNK_BYTES, bucket_keys: int = BUCKET_KEYS
+) -> DataFrame:
     """Every row of ``docs`` as doc_id, log_weight, gumbel_key and keep.
 
     Texts without words, null ones too, weigh 0. Rows that share a doc_id share their noise; rows that
     tie with the last one kept stay too. Without a labelled good document all rows are kept, unweighed.
     """
-    model = fit(docs, labels, fit_rows)
-    if model is None:
+    found = _keys(docs, labels, fit_rows, ["doc_id"], chunk_bytes, bucket_keys)
+    if found is None:
         none = F.lit(None).cast("double")
         return docs.select("doc_id", none.alias("log_weight"), none.alias("gumbel_key"), F.lit(True).alias("keep"))
-    scored, least = _keys(docs, model)
-    return scored.select("doc_id", "log_weight", "gumbel_key", (F.col("gumbel_key") >= least).alias("keep"))
-
-
-def _keys(docs: DataFrame, model: Model) -> tuple[DataFrame, float]:
-    rows = texts_of(docs).select("doc_id", log_weight(F.col("text"), model.weights).alias("log_weight"))
-    rows = stored(rows.withColumn("gumbel_key", F.col("log_weight") + gumbel(F.col("doc_id"))))
-    k = rows.where(F.col("log_weight") >= model.cut).count()
-    return rows, kth_largest(rows, "gumbel_key", k)
+    rows, weight, key, least = found
+    return rows.select("doc_id", weight, key, (F.col(key) >= least).alias("keep"))
 
 
-def resample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def resample(
+    docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, chunk_bytes: int = CHUNK_BYTES, bucket_keys: int = BUCKET_KEYS
+) -> DataFrame:
     """``docs`` without the rows that the Gumbel top-k leaves out; all columns are kept."""
-    model = fit(docs, labels, fit_rows)
-    if model is None:
+    found = _keys(docs, labels, fit_rows, docs.columns, chunk_bytes, bucket_keys)
+    if found is None:
         return docs
-    _, least = _keys(docs, model)
-    (key,) = fresh(docs, "gumbel_key")
-    out = texts_of(docs).withColumn(key, log_weight(F.col("text"), model.weights) + gumbel(F.col("doc_id")))
-    return out.where(F.col(key) >= least).select(*docs.columns)
+    rows, _, key, least = found
+    return rows.where(F.col(key) >= least).select(*docs.columns)
