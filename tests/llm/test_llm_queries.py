@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "embeddings"):
+    for table in ("documents", "benchmark", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
@@ -26,7 +26,7 @@ def test_query(spark, name):
 
 def test_all_are_registered():
     names = entry_point.queries()
-    assert [f"op{n}_" for n in range(1, 11)] == [next(q for q in names if q.startswith(f"op{n}_")).split("_")[0] + "_" for n in range(1, 11)]
+    assert [f"op{n}_" for n in range(1, 14)] == [next(q for q in names if q.startswith(f"op{n}_")).split("_")[0] + "_" for n in range(1, 14)]
     assert "pipeline" in names
 
 

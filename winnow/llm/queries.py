@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import own_folder
-from winnow.llm import decontam, lengths, packing, pfor, pii, quality, secrets, simhash, substring, topk
+from winnow.llm import decontam, filter_audit, lengths, packing, pfor, pii, quality, secrets, simhash, substring, target_sampling
+from winnow.llm import topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -110,6 +111,22 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
+
+
+@query
+def op12_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 SQL["op2_decontamination"] = r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -170,3 +187,78 @@ ranked AS (
     vec_id, score FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+SQL["op12_target_sampling"] = r"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+raw_words AS (SELECT place, unnest(w) AS word FROM doc_words),
+target_words AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+bytes AS (
+  SELECT word, [CAST('0x' || substr(hex(word), 2 * k - 1, 2) AS BIGINT) FOR k IN range(1, length(hex(word)) // 2 + 1)] AS b
+  FROM (SELECT word FROM raw_words UNION SELECT word FROM target_words)),
+crcs AS (
+  SELECT word, xor(list_reduce(b, lambda c, x: list_reduce(range(8), lambda y, k:
+      CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END, xor(c, x)), 4294967295), 4294967295) % 10000 AS bucket
+  FROM bytes),
+counts AS (
+  SELECT bucket, sum(s) AS s, sum(t) AS t FROM (
+    SELECT word, count(*) AS s, 0 AS t FROM raw_words GROUP BY word
+    UNION ALL SELECT word, 0, count(*) FROM target_words GROUP BY word) JOIN crcs USING (word) GROUP BY bucket),
+totals AS (SELECT CAST(coalesce(sum(s), 0) AS DOUBLE) AS s, CAST(coalesce(sum(t), 0) AS DOUBLE) AS t FROM counts),
+gains AS (
+  SELECT bucket, floor(1000 * ln((CAST(c.t AS DOUBLE) + 1) * (a.s + 10000) / ((CAST(c.s AS DOUBLE) + 1) * (a.t + 10000)))) AS gain
+  FROM counts c, totals a),
+weights AS (
+  SELECT place, CAST(sum(gain) AS BIGINT) AS weight FROM raw_words JOIN crcs USING (word) JOIN gains USING (bucket) GROUP BY place),
+scored AS (
+  SELECT place, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST(CAST('0x' || left(sha256('2024:' || CAST(doc_id AS VARCHAR)), 8) AS BIGINT) AS DOUBLE) + CAST(0.5 AS DOUBLE)) / 4294967296.0))) AS BIGINT) AS score
+  FROM doc_words LEFT JOIN weights USING (place)),
+drawn AS (
+  SELECT place, row_number() OVER (ORDER BY score DESC, doc_id, place) AS rank, 10 * count(*) OVER () // 100 AS n
+  FROM scored WHERE n_features >= 20 AND doc_id IS NOT NULL)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= n THEN rank END AS rank
+FROM scored LEFT JOIN drawn USING (place)
+"""
+
+SQL["op13_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+flags AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+least AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+masks AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, CAST(len(w) < 200 AS INTEGER)
+    + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INTEGER)
+    + 4 * CAST(100 * len(regexp_extract_all(d.t, '[A-Z]')) > 2 * length(d.t) AS INTEGER)
+    + 8 * CAST(regexp_matches(d.t, '[#$%&*|]') AS INTEGER)
+    + 16 * CAST(coalesce(d.doc_id > first, false) AS INTEGER) AS mask
+  FROM d JOIN least ON d.t = least.t LEFT JOIN flags ON d.doc_id = flags.doc_id),
+cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM masks GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT o, i, CAST(coalesce(list_sum([1 << (ascii(o[j]) - 65) FOR j IN range(1, i)]), 0) AS INTEGER) AS prior,
+    1 << (ascii(o[i]) - 65) AS own FROM orders, (SELECT unnest(range(1, 6)) AS i)),
+counted AS (
+  SELECT part, o, i, own,
+    coalesce(sum(n) FILTER (mask & (prior | own) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & prior = 0 AND mask & own <> 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & prior <> 0 AND mask & own <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = own), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & prior = 0 AND mask & own <> 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & prior = 0 AND mask & own <> 0), 0) AS toxic_lost
+  FROM cells, steps GROUP BY part, o, i, own)
+SELECT part, o AS filter_order, CAST(i AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
