@@ -20,8 +20,8 @@ SF = "/root/testdata/sf0.01"
 
 
 def plain_audit(docs, labels):
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     rows = []
     for i, text, source in docs:
         text = text or ""

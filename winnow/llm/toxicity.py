@@ -2,7 +2,7 @@
 
 A word's weight is its log-odds ratio between texts labelled toxic and clean, under Dirichlet priors in
 the proportions of the words of all documents, drawn in by ``CAUTION`` standard errors; every word costs
-``DRIFT``, so that passages end. A linear-time scan finds all maximal-scoring segments of a text: no part
+``DRIFT``, so that passages end. For the ratio a word counts once a text, as texts repeat their words. A linear-time scan finds all maximal-scoring segments of a text: no part
 of one scores more, and no two can be joined for more.
 
 The best segment of n words that are not toxic follows an extreme-value law: it reaches x by chance
@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.arrays import alphanumeric_words, blocks, lower_ascii, words_of
+from winnow.llm.arrays import Words, alphanumeric_words, blocks, lower_ascii, words_of
 from winnow.llm.shared import stored, texts_of
 
 #: Labelled texts looked at, at most: those with the least hash of the doc_id, of each class; and their bytes.
 #: A text has fewer than half as many words as bytes, so there are FIT_BYTES weights of 12 bytes at most.
 FIT_ROWS, FIT_BYTES = 20_000, 16 << 20
 #: Weight of the prior, against a class's own counts; standard errors that a log-odds ratio is drawn in by.
-PRIOR, CAUTION = 1.0, 1.0
+PRIOR, CAUTION = 0.1, 2.0
 #: What each word costs, and the unit of all weights. Weights are whole numbers of units, so sums are exact.
 DRIFT, UNIT = 0.1, 0.001
 FOLDS, HELD_OUT, CURVE_FOLD = 5, 0, 4
@@ -160,18 +160,25 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, fit_rows: int, fit_b
     return found.join(docs.sparkSession.createDataFrame(taken, "doc_id long"), "doc_id", "left_semi")
 
 
+def _once(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of the distinct words of each row."""
+    order = np.lexsort((words.hash, words.row))
+    row, hashes = words.row[order], words.hash[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
+    return row[new], hashes[new]
+
+
 def _word_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of the sample's texts for the weights, and their counts in clean and toxic ones."""
+    """Hashes of the words of the sample's texts for the weights, and how many clean and toxic ones hold them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = batch.column(0).to_numpy()
             for first, offsets, data in blocks(batch.column(1)):
-                words = words_of(offsets, data, _MEMBER, _LOWER)
-                distinct, place = np.unique(words.hash, return_inverse=True)
-                sums = [
-                    np.bincount(place[toxic[first + words.row] == c], minlength=len(distinct)).astype(np.int64) for c in (0, 1)
-                ]
+                row, hashes = _once(words_of(offsets, data, _MEMBER, _LOWER))
+                distinct, place = np.unique(hashes, return_inverse=True)
+                sums = [np.bincount(place[toxic[first + row] == c], minlength=len(distinct)).astype(np.int64) for c in (0, 1)]
                 yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), *map(pa.array, sums)], names=["word", "clean", "toxic"])
 
     rows = texts_of(sample.where("not curve")).select("toxic", "text")
@@ -182,26 +189,28 @@ def _word_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return words[order], np.stack([table[c].to_numpy()[order] for c in ("clean", "toxic")], axis=1)
 
 
-def _prior_counts(docs: DataFrame, words: np.ndarray) -> tuple[np.ndarray, int]:
-    """How often each of ``words`` is in all documents, and the number of all their words."""
+def _prior_counts(docs: DataFrame, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each of ``words``, and all other words, occur in all documents, and in how many texts, summed over words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(words) + 1, np.int64)
+        counts = np.zeros((len(words) + 1, 2), np.int64)
         for batch in batches:
             for _, offsets, data in blocks(batch.column(0)):
-                hashes = words_of(offsets, data, _MEMBER, _LOWER).hash
-                at = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
-                known = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
-                counts[:-1] += np.bincount(at[known], minlength=len(words))
-                counts[-1] += len(hashes)
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["place", "n"])
-
-    rows = texts_of(docs).select(F.col("text").cast("string").alias("text")).mapInArrow(count, "place long, n long")
-    table = rows.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(words) + 1, np.int64)
-    out[table["place"].to_numpy()] = table["n"].to_numpy()
-    return out[:-1], int(out[-1])
+                found = words_of(offsets, data, _MEMBER, _LOWER)
+                for column, hashes in enumerate((found.hash, _once(found)[1])):
+                    at = np.searchsorted(words, hashes)
+                    known = np.append(words, np.uint64(0))[at] == hashes
+                    at[~known | (at == len(words))] = len(words)
+                    counts[:, column] += np.bincount(at, minlength=len(words) + 1)
+        some = np.flatnonzero(counts[:, 0])
+        arrays = [pa.array(some), pa.array(counts[some, 0]), pa.array(counts[some, 1])]
+        yield pa.RecordBatch.from_arrays(arrays, names=["place", "n", "texts"])
+
+    rows = texts_of(docs).select(F.col("text").cast("string").alias("text")).mapInArrow(count, "place long, n long, texts long")
+    table = rows.groupBy("place").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")).toArrow()
+    out = np.zeros((len(words) + 1, 2), np.int64)
+    out[table["place"].to_numpy()] = np.stack([table["n"].to_numpy(), table["texts"].to_numpy()], axis=1)
+    return out[:, 0], out[:, 1]
 
 
 def log_odds(own: np.ndarray, prior: np.ndarray, words: int) -> np.ndarray:
@@ -279,12 +288,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
     """
     sample = _sample(docs, labels, label, fit_rows, fit_bytes)
     words, own = _word_counts(sample)
-    prior, total = _prior_counts(docs, words)
-    ratio = log_odds(own, prior, total) if own.sum(axis=0).all() else np.zeros(len(words))
+    n, texts = _prior_counts(docs, words)
+    ratio = log_odds(own, texts[:-1], int(texts.sum())) if own.sum(axis=0).all() else np.zeros(len(words))
     units = np.rint((ratio - DRIFT) / UNIT).astype(np.int64)
     listed = units != -round(DRIFT / UNIT)
-    shares = np.append(prior, total - prior.sum()) / max(total, 1)
-    rate = extreme_rate(np.append(units * UNIT, -DRIFT), shares)
+    rate = extreme_rate(np.append(units * UNIT, -DRIFT), n / max(int(n.sum()), 1))
     model = Model(words[listed], units[listed], rate)
 
     seen = _judged(sample, model)
