@@ -148,7 +148,8 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, fit_rows: int, fit_b
     near = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [ids.where(F.col("toxic") == c).orderBy(*near).limit(fit_rows) for c in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(chosen[0].unionByName(chosen[1]), "doc_id").groupBy("doc_id").agg(
+    # Ids and classes of 2 * fit_rows rows at most: broadcast, so that no other text is shuffled.
+    texts = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"), F.min(F.coalesce("text", F.lit(""))).alias("text")
     )
     found = stored(texts.withColumn("curve", fold(F.col("doc_id")) == CURVE_FOLD))
@@ -157,7 +158,7 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, fit_rows: int, fit_b
         left[r.toxic] -= r.size
         if left[r.toxic] >= 0:
             taken.append((r.doc_id,))
-    return found.join(docs.sparkSession.createDataFrame(taken, "doc_id long"), "doc_id", "left_semi")
+    return found.join(F.broadcast(docs.sparkSession.createDataFrame(taken, "doc_id long")), "doc_id", "left_semi")
 
 
 def _once(words: Words) -> tuple[np.ndarray, np.ndarray]:
