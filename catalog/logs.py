@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import query, table
+from catalog import query, scratch, table
 from winnow.operators.logdigest import digest_files, digest_lines
+from winnow.plans import stages
+from winnow.sources.logs import read_log_lines
+from winnow.sources.tables import stored
 
 
 def turn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,3 +53,73 @@ def files_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_replace("text", r"(^|\n)(Th|E)", "$1! $2").alias("value"),
     )
     return digest_files(files)
+
+
+_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+_RANGE_BYTES = 64_000  # so that logs of any scale are read in many ranges
+
+
+def written_logs(spark: SparkSession, sf_dir: str) -> str:
+    """Order lines as three log files, each in the order of its lines; large ones of two are errors."""
+    is_error = (F.col("l_quantity") >= 49) & (F.col("l_suppkey") % 3 != 2)
+    line = F.concat_ws(" ", *[F.col(c).cast("bigint").cast("string") for c in _ORDER])
+    path = f"{scratch(spark)}/logs"
+    (
+        table(spark, sf_dir, "lineitem")
+        .withColumn("file", F.col("l_suppkey") % 3)
+        .repartition(3, "file")
+        .sortWithinPartitions("file", *_ORDER)
+        .select("file", F.when(is_error, F.concat(F.lit("! "), line)).otherwise(line).alias("value"))
+        .write.partitionBy("file")
+        .text(path)
+    )
+    return path
+
+
+_WRITTEN_SQL = f"""l AS (SELECT l_suppkey % 3 AS file, row_number() OVER (PARTITION BY l_suppkey % 3 ORDER BY {", ".join(_ORDER)}) - 1 AS line_no,
+  CASE WHEN l_quantity >= 49 AND l_suppkey % 3 <> 2 THEN '! ' ELSE '' END
+    || concat_ws(' ', {", ".join(f"CAST(trunc({c}) AS BIGINT)" for c in _ORDER)}) AS line FROM lineitem),
+line AS (SELECT CAST(file AS BIGINT) AS file, line_no, line FROM l)"""
+
+
+def _in_ranges(spark: SparkSession, make):
+    """What ``make`` reads is read in small ranges; it must not leave the reading for later."""
+    conf = {"spark.sql.files.maxPartitionBytes": str(_RANGE_BYTES), "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return make()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _file() -> Column:
+    return F.regexp_extract("file", r"/file=(\d+)/", 1).cast("bigint").alias("file")
+
+
+@query("log_errors_ranges", digest_sql(f"WITH {_WRITTEN_SQL}"))
+def ranges_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of log files that are read in byte ranges, by many tasks each."""
+    path = written_logs(spark, sf_dir)
+    found = _in_ranges(spark, lambda: stages.run_log_digest(spark, path, glob="*.txt"))
+    return found.select(_file(), "line_no", "kind", "line", "context")
+
+
+@query(
+    "log_lines_ranges",
+    f"WITH {_WRITTEN_SQL} SELECT file, count(*) AS n, max(line_no) AS last, CAST(sum(line_no * length(line)) AS BIGINT) AS digest FROM line GROUP BY file",
+)
+def ranges_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line's number, summed up by file."""
+    path = written_logs(spark, sf_dir)
+
+    def make() -> DataFrame:
+        lines = read_log_lines(spark, path, glob="*.txt")
+        summed = lines.groupBy(_file()).agg(
+            F.count("*").alias("n"), F.max("line_no").alias("last"), F.sum(F.col("line_no") * F.length("line")).alias("digest")
+        )
+        return stored(summed)
+
+    return _in_ranges(spark, make)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog import query, table
+from catalog import query, scratch, table
 from winnow.functions.urls import job_id
 from winnow.operators.state import (
     evolve,
@@ -15,7 +15,10 @@ from winnow.operators.state import (
     status_counts,
     update_by_key,
 )
+from winnow.plans import stages
 from winnow.plans.discovery import discovery_metrics
+from winnow.schemas import JOBS
+from winnow.sources.tables import land
 
 _ORDER = ("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
 
@@ -129,6 +132,56 @@ def update(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def in_buckets(spark: SparkSession, rows: DataFrame, buckets: int) -> str:
+    """A stored jobs table of the rows, dealt into buckets; columns that they lack are null."""
+    root = f"{scratch(spark)}/jobs"
+    whole = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in JOBS])
+    land(whole, root, "id")
+    stages.run_compaction(spark, root, buckets)
+    return root
+
+
+@query(
+    "update_buckets",
+    f"""WITH {_JOBS_SQL}, u AS (SELECT l_orderkey,
+  arg_max(l_returnflag, (l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag)) AS flag
+  FROM lineitem WHERE l_quantity >= 45 GROUP BY 1),
+first AS (SELECT id, CASE WHEN l_orderkey IS NOT NULL THEN 'seen' ELSE status END AS status,
+  CASE WHEN l_orderkey IS NOT NULL THEN nullif(flag, 'N') ELSE description END AS description FROM jobs LEFT JOIN u ON l_orderkey = o_orderkey),
+dear AS (SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_totalprice = (SELECT max(o_totalprice) FROM orders))
+SELECT id, CASE WHEN dear.id IS NOT NULL THEN 'dear' ELSE status END AS status, description FROM first LEFT JOIN dear USING (id)""",
+)
+def update_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table after two updates of the buckets they touch: one of many rows, one of the dearest order."""
+    root = in_buckets(spark, order_jobs(spark, sf_dir), 16)
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+    many = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= 45).select(
+        F.col("l_orderkey").cast("string").alias("id"), F.lit("seen").alias("status"),
+        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("description"), *order,
+    )
+    stages.run_update(many, root, ["status", "description"], order=order)
+    orders = table(spark, sf_dir, "orders")
+    dearest = orders.join(orders.agg(F.max("o_totalprice").alias("o_totalprice")), "o_totalprice")
+    one = dearest.select(F.col("o_orderkey").cast("string").alias("id"), F.lit("dear").alias("status"))
+    stages.run_update(one, root, ["status"])
+    return stages.jobs_table(spark, root).select("id", "status", "description")
+
+
+@query(
+    "insert_buckets",
+    f"""WITH {_FIRST_SQL}
+SELECT md5('https://jobs.example/' || l_partkey) AS id, l_returnflag AS company, 'order ' || l_orderkey AS title,
+  'https://jobs.example/' || l_partkey AS apply_url, 'new' AS status FROM added""",
+)
+def insert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that listings add to a stored table, whose ids are looked up in their buckets."""
+    root = in_buckets(spark, known_parts(spark, sf_dir), 16)
+    listings = line_listings(spark, sf_dir)
+    known, _ = stages.known_ids(spark, root, listings)
+    added = insert_new(known, listings, order=_ORDER)
+    return added.select("id", "company", "title", "apply_url", "status")
+
+
 @query(
     "schema_evolve",
     """SELECT p_partkey, p_name, p_size AS relevance_score, p_type AS decision_reason FROM part WHERE p_size > 25

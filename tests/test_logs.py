@@ -1,9 +1,13 @@
 import random
+import re
+from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 from winnow.operators.logdigest import digest_files, digest_lines
-from winnow.sources.logs import log_lines, read_logs
+from winnow.plans import stages
+from winnow.sources.logs import log_lines, read_log_lines, read_logs
 
 
 def expected(lines):
@@ -68,3 +72,65 @@ def test_lines_are_looked_up_without_a_window(spark):
     rows = sorted((r.file, r.line_no, r.kind, r.line, r.context) for r in found.collect())
     assert rows[:4] == [(0, n, "error", "! bad", str(2 * n + 2) if n < 19_999 else None) for n in (4999, 9999, 14999, 19999)]
     assert rows[4:] == [(1, n, "tail", str(2 * n + 1), None) for n in range(19_990, 20_000)]
+
+
+@contextmanager
+def ranges_of(spark, size):
+    """Files are read in ranges of so many bytes."""
+    conf = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def plain_lines(data):
+    lines = re.split(rb"\r\n|\r|\n", data)
+    return [x.decode("utf-8", "replace") for x in (lines[:-1] if lines[-1] == b"" else lines)]
+
+
+@pytest.mark.parametrize("size", [3, 7, 40])
+def test_lines_of_ranges(spark, tmp_path, size):
+    """Every kind of break, byte and character at the edge of a range, files without a last break, empty ones."""
+    draw = random.Random(size)
+    marks = [b"!", b"! e", b" x ", b"\r", b"\n", b"\r\n", b"\n\n", b"\xff", "é".encode(), b"long " * 5]
+    data = {f"{i}.log": b"".join(draw.choices(marks, k=draw.randrange(60))) for i in range(12)}
+    data |= {"none.log": b"", "break.log": b"\n", "one.log": b"! one", "cr.log": b"a\r" * 30, "crlf.log": b"\r\n" * 30, "edge.log": b"ab\r\n" * 20}
+    for name, body in data.items():
+        (tmp_path / name).write_bytes(body)
+    with ranges_of(spark, size):
+        lines = read_log_lines(spark, str(tmp_path))
+        found = {}
+        for r in lines.orderBy("line_no").collect():
+            found.setdefault(r.file.rsplit("/", 1)[1], []).append((r.line_no, r.line))
+        assert lines.rdd.getNumPartitions() > 20 or size > 7
+        errors = {k.rsplit("/", 1)[1]: v for k, v in digests(stages.run_log_digest(spark, str(tmp_path))).items()}
+    want = {name: plain_lines(body) for name, body in data.items()}
+    assert found == {name: list(enumerate(lines)) for name, lines in want.items() if lines}
+    assert errors == {name: sorted(expected(lines)) for name, lines in want.items() if lines}
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    with open(tmp_path / "hot.log", "w") as f:
+        f.writelines(f"! error {i}\n" if i % 50_000 == 49_999 else f"line {i}\n" for i in range(300_000))
+    (tmp_path / "calm.log").write_text("a\nb")
+    with ranges_of(spark, 100_000):
+        lines = read_log_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 30
+        assert lines.where("line != concat(if(line like '!%', '! error ', 'line '), line_no) and file like '%hot.log'").count() == 0
+        found = stages.run_log_digest(spark, str(tmp_path))
+        rows = sorted((r.line_no, r.kind, r.line, r.context) for r in found.where("file like '%hot.log'").collect())
+        assert found.where("file like '%calm.log' and kind = 'tail'").count() == 2
+    assert rows == [(n, "error", f"! error {n}", f"line {n + 1}" if n + 1 < 300_000 else None) for n in range(49_999, 300_000, 50_000)]
+
+
+def test_lines_are_joined_to_ranges_by_broadcast(spark, tmp_path):
+    """No text is shuffled to be numbered: the table of ranges is small and its size known."""
+    (tmp_path / "a.log").write_text("x\n" * 50_000)
+    with ranges_of(spark, 5_000):
+        plan = read_log_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

@@ -132,6 +132,12 @@ def fetched_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
     return pages.join(firsts, "page_id", "left_semi").where(F.col("html").isNotNull())
 
 
+def pending_with_page(jobs: DataFrame, pages: DataFrame) -> DataFrame:
+    """Ids of the pending rows whose page may have arrived; no markup is read but for its presence."""
+    arrived = pages.where(F.col("html").isNotNull()).select(F.col("url").alias("apply_url"))
+    return pending_details(jobs).select("id", "apply_url").join(arrived, "apply_url", "left_semi").select("id")
+
+
 def apply_details(jobs: DataFrame, pages: DataFrame, raw_dir: str = "data/raw_jobs") -> DataFrame:
     """Pending rows whose page has arrived get its text and become ``scraped``.
 

@@ -1,10 +1,12 @@
-"""Log files as rows, one file per row."""
+"""Log files as rows: a file per row, or, for files of any size, a line per row."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from winnow.sources.tables import stored
+
 
 def read_logs(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
     """``(file, value)``; bytes that are not UTF-8 are replaced."""
@@ -29,3 +31,31 @@ def log_lines(files: DataFrame) -> DataFrame:
     return files.select("file", F.posexplode_outer(lines_of(F.col("value"))).alias("line_no", "line")).where(
         F.col("line_no").isNotNull()
     )
+
+
+def read_log_lines(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
+    """``(file, line_no, line)`` of log files of any size, numbered from 0; each is read in byte ranges.
+
+    Lines end in a line feed, a carriage return or both; one that crosses the end of a range belongs to the
+    range it starts in. Bytes that are not UTF-8 are replaced, a byte order mark is dropped. A file without
+    any line has no row.
+
+    Ranges are counted first: a row for each, whose running sum over its file tells the number of a range's
+    first line. That table is stored, so its size is known: joined to the lines it is broadcast,
+    unless there are so many ranges that Spark shuffles instead. No text is counted twice or kept.
+    """
+    lines = (
+        spark.read.text(path, pathGlobFilter=glob, recursiveFileLookup=True)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("range"),
+            F.make_valid_utf8("value").alias("line"),
+        )
+        # A range is read in order by one task, so its lines have consecutive places.
+        .withColumn("place", F.monotonically_increasing_id())
+    )
+    ranges = lines.groupBy("file", "range").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
+    shifts = stored(ranges.select("file", "range", shift.alias("shift")))
+    return lines.join(shifts, ["file", "range"]).select("file", (F.col("place") + F.col("shift")).alias("line_no"), "line")

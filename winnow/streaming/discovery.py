@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from winnow.functions.urls import job_id
 from winnow.operators.state import insert_new
 from winnow.plans.discovery import discover
-from winnow.schemas import JOBS, PAGES
-from winnow.sources.tables import land, read_latest
+from winnow.plans.stages import known_ids
+from winnow.schemas import PAGES
+from winnow.sources.tables import land
 
 
 def read_pages(spark: SparkSession, path: str, *, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -35,12 +36,12 @@ def start_discovery(
 
     def insert(batch: DataFrame, _: int) -> None:
         found = discover(batch, **options).persist()
-        # The table outgrows every batch. Cut to the batch's own ids first, it is scanned
-        # where it lies as long as those are few enough to be broadcast.
+        # The table outgrows every batch. Of the buckets that the batch's ids fall into it is cut to
+        # those ids first, where it lies as long as they are few enough to be broadcast.
         ids = found.select(job_id(F.col("url")).alias("id")).distinct()
-        known = read_latest(batch.sparkSession, table, JOBS).select("id")
+        known, n = known_ids(batch.sparkSession, table, found)
         known = known.join(ids, "id", "left_semi")
-        land(insert_new(known, found, as_of=as_of), table)
+        land(insert_new(known, found, as_of=as_of), table, "id", n)
         found.unpersist()
 
     when = {"processingTime": every} if every else {"availableNow": True}
