@@ -1,4 +1,6 @@
+import random
 import time
+from dataclasses import replace
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 
 from winnow.functions import nodes as N
 from winnow.operators import profiles as P
+from winnow.operators.extract import extract
+from winnow.sources import html
 from winnow.sources.html import _NodeColumns, html_nodes
 
 
@@ -204,3 +208,106 @@ def test_large_batches_are_cut(spark):
         rows = html_nodes(df, "page_id").select("page_id", N.page_text(F.col("nodes")).alias("t")).collect()
         assert len({r.page_id for r in rows}) == 60
         assert all(r.t.endswith(str(r.page_id)) for r in rows)
+
+
+@pytest.mark.parametrize("unit", ["<p><button>", "<ul><li><ul>", "<table><tr><td><table>", "<select><option><select>"])
+def test_implied_ends_take_linear_time(unit):
+    """Open elements that none of the next ends: their tags' levels are looked at, not they themselves."""
+
+    def seconds(n):
+        page = unit + "<div>" * n + "</td></li>" * n
+        start = time.perf_counter()
+        (nodes,), (error,) = scan(page)
+        assert error is None and len(nodes) == n + unit.count("<")
+        return time.perf_counter() - start
+
+    seconds(1000)
+    few, many = min(seconds(5_000) for _ in range(3)), min(seconds(40_000) for _ in range(3))
+    assert many < 24 * few and many < 4
+
+
+def plain_parents(tags):
+    """Parents of the elements, found by walking up from the innermost open one."""
+    open_, parents = [], []
+
+    def close(ends, shield):
+        for i in range(len(open_) - 1, -1, -1):
+            if open_[i][0] in ends:
+                del open_[i:]
+                return
+            if open_[i][0] in shield:
+                return
+
+    for tag in tags:
+        if tag.startswith("/"):
+            if open_ and open_[-1][0] == tag[1:]:
+                open_.pop()
+            elif any(t == tag[1:] for t, _ in open_):
+                close((tag[1:],), () if tag[1:] in html._TABLE_ENDS else html._CELLS)
+            continue
+        for ends, shield in html._IMPLIED_ENDS.get(tag, ()):
+            close(ends, shield)
+        if tag in html._HEADINGS and open_ and open_[-1][0] in html._HEADINGS:
+            open_.pop()
+        parents.append(open_[-1][1] if open_ else -1)
+        open_.append((tag, len(parents) - 1))
+    return parents
+
+
+def test_implied_ends_equal_a_walk_over_open_elements():
+    draw = random.Random(6)
+    names = "p div ul li dl dd dt a b button table tr td th tbody thead caption select option optgroup h1 h2 object template".split()
+    for _ in range(1500):
+        tags = [draw.choice(["", "", "/"]) + draw.choice(names) for _ in range(draw.randrange(25))]
+        (nodes,), _ = scan("".join(f"<{t}>" for t in tags))
+        assert [n["parent"] for n in nodes] == plain_parents(tags), tags
+
+
+def plain_nearest(nodes, tag):
+    out = []
+    for n in nodes:
+        at = n["parent"]
+        while at >= 0 and nodes[at]["tag"] != tag:
+            at = nodes[at]["parent"]
+        out.append(at)
+    return out
+
+
+def test_nearest_ancestors_and_next_matches(spark):
+    draw = random.Random(7)
+    pages = ["".join(draw.choice(["<li>", "<div>", "</div>", "</li>", "<ul>", "x<b>", "</ul>", "</b>"]) for _ in range(draw.randrange(40))) for _ in range(60)]
+    pages += ["", "<li>" + "<div>" * 300 + "x", "<div>" * 257, "<li>"]
+    rows = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")
+    select = N.Select(tags=("b",))
+    found = html_nodes(rows, "page_id").select(
+        "page_id", N.enclosing(F.col("nodes"), "li").alias("up"), N.next_match(F.col("nodes"), select).alias("next"),
+        F.transform("nodes", lambda n: N.first_below(F.col("nodes"), n, [N.next_match(F.col("nodes"), select)])["pre"]).alias("below"),
+    )
+    for r in found.collect():
+        (nodes,), _ = scan(pages[r.page_id])
+        hits = [n["pre"] for n in nodes if n["tag"] == "b"]
+        assert r.up == plain_nearest(nodes, "li")
+        assert r.next == [next((h for h in hits if h >= i), -1) for i in range(len(nodes))]
+        assert r.below == [next((h for h in hits if n["pre"] < h <= n["last"]), None) for n in nodes]
+
+
+def test_rows_of_many_links_take_linear_time(spark):
+    """Links thousands of elements deep, all in one row or each in a row of its own within the last."""
+    link = '<a data-automation-id="jobTitle" href="/{}">TD {}</a>'
+
+    def page(n, nested):
+        if nested:
+            return "".join("<ul><li>" + link.format(i, i) for i in range(n)) + '<dd data-automation-id="locations">Lyon</dd>'
+        return '<li><dl><dd data-automation-id="locations">Lyon</dd></dl>' + "<div>" * n + "".join(link.format(i, i) for i in range(n))
+
+    def seconds(n, nested):
+        rows = spark.createDataFrame([(1, "https://x.io", page(n, nested))], "page_id long, url string, html string")
+        start = time.perf_counter()
+        found = extract(rows, replace(P.WORKDAY, roles=None), keep=("page_id", "url")).collect()
+        assert len(found) == n and {r.location for r in found} == {"Lyon"}
+        return time.perf_counter() - start
+
+    for nested in (False, True):
+        seconds(100, nested)
+        few, many = seconds(2_500, nested), seconds(10_000, nested)
+        assert many < 8 * few + 1, (nested, few, many)

@@ -6,7 +6,7 @@ slice, so its cost is its own size and not that of the page.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -79,17 +79,56 @@ def find_any(nodes: Column, node: Column, selects: tuple[Select, ...]) -> Column
     )
 
 
-def ancestor(nodes: Column, node: Column, tag: str) -> Column:
-    """Nearest ancestor with this tag, or null: walks the parents, one step per level."""
+def _followed(pointers: Column, stops: Column, longest: Column) -> Column:
+    """Per position, the first stop on the way along ``pointers``, -1 if there is none.
 
-    def step(at: Column, _: Column) -> Column:
-        here = F.get(nodes, at)
-        return F.when((at < 0) | (here["tag"] == tag), at).otherwise(here["parent"])
+    ``stops`` tells of each position whether it is one, ``longest`` bounds the ways' lengths. Every round
+    replaces a pointer by that of its target and so doubles its reach: n log n for all positions.
+    """
 
-    found = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(node["depth"], F.lit(1))), node["parent"], step
+    def leap(at: Column, _: Column) -> Column:
+        return F.transform(at, lambda p: F.when((p < 0) | F.get(stops, p), p).otherwise(F.get(at, p)))
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(F.bin(longest))), pointers, leap)
+
+
+def enclosing(nodes: Column, tag: str) -> Column:
+    """Per node the position of its nearest ancestor with this tag, -1 if it has none."""
+    return let(
+        F.transform(nodes, lambda n: n["tag"] == tag),
+        lambda stops: _followed(
+            F.transform(nodes, lambda n: n["parent"]),
+            stops,
+            F.coalesce(F.array_max(F.transform(nodes, lambda n: n["depth"])), F.lit(0)),
+        ),
+    )
+
+
+def next_match(nodes: Column, select: Select) -> Column:
+    """Per position that of the first node from there on that passes, -1 if there is none."""
+    return let(
+        F.transform(nodes, lambda n: F.coalesce(select.test(n), F.lit(False))),
+        lambda stops: _followed(
+            F.transform(
+                stops, lambda hit, i: F.when(hit, i).when(i + 1 < F.size(stops), i + 1).otherwise(F.lit(-1))
+            ),
+            stops,
+            F.size(stops),
+        ),
     )
-    return let(found, lambda at: F.when(F.get(nodes, at)["tag"] == tag, F.get(nodes, at)))
+
+
+def first_below(nodes: Column, node: Column, matches: Iterable[Column]) -> Column:
+    """First descendant of ``node`` for the first of ``matches`` (``next_match``) that has one, or null.
+
+    Two look-ups each, whatever the size of the subtree.
+    """
+
+    def within(match: Column) -> Column:
+        at = F.get(match, node["pre"] + 1)
+        return F.when((at >= 0) & (at <= node["last"]), F.get(nodes, at))
+
+    return F.coalesce(*[within(m) for m in matches])
 
 
 def pieces(array: Column) -> Column:

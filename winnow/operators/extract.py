@@ -69,7 +69,15 @@ def _title(profile: Profile, nodes: Column, row: Column) -> Column:
     )
 
 
-def _place(profile: Profile, nodes: Column, row: Column) -> Column:
+def _marks(profile: Profile, nodes: Column) -> Column:
+    """What the places of all links of a page are looked up in: worked out once a page."""
+    return F.struct(
+        N.enclosing(nodes, profile.row_tag).alias("row"),
+        *[N.next_match(nodes, s).alias(f"match{i}") for i, s in enumerate(profile.place)],
+    )
+
+
+def _place(profile: Profile, nodes: Column, row: Column, marks: Column | None) -> Column:
     default = F.lit(profile.place_default)
     if not profile.place:
         return default
@@ -78,11 +86,11 @@ def _place(profile: Profile, nodes: Column, row: Column) -> Column:
         return F.when(tag.isNotNull(), N.text(nodes, tag)).otherwise(default)
 
     if profile.place_in == "row":
+        matches = [marks[f"match{i}"] for i in range(len(profile.place))]
+        at = F.get(marks["row"], row["link"]["pre"])
         return let(
-            N.ancestor(nodes, row["link"], profile.row_tag),
-            lambda near: F.when(near.isNull(), default).otherwise(
-                let(N.find_any(nodes, near, profile.place), text_of)
-            ),
+            F.when(at >= 0, F.get(nodes, at)),
+            lambda near: let(N.first_below(nodes, near, matches), text_of),
         )
     within = row["link"] if profile.place_in == "link" else row["item"]
     found = N.find_any(nodes, within, profile.place)
@@ -153,11 +161,11 @@ def listings_of(profile: Profile) -> Column:
             _title(profile, nodes, row).alias("title"),
         )
 
-    def listing(row: Column) -> Column:
+    def listing(row: Column, marks: Column | None = None) -> Column:
         return F.struct(
             row["item"]["pre"].cast("bigint").alias("pos"),
             row["title"].alias("title"),
-            _place(profile, nodes, row).alias("location"),
+            _place(profile, nodes, row, marks).alias("location"),
             _url(profile, row["href"], page_url).alias("url"),
             F.lit(profile.provider).alias("ats_provider"),
         )
@@ -173,7 +181,9 @@ def listings_of(profile: Profile) -> Column:
         rows = N.keep_first(rows, lambda r: r["href"])
     elif profile.dedupe == "url":
         rows = N.keep_first(rows, lambda r: _url(profile, r["href"], page_url))
-    return F.transform(rows, listing).cast(_LISTING_FIELDS)
+    if profile.place and profile.place_in == "row":
+        return let(_marks(profile, nodes), lambda m: F.transform(rows, lambda r: listing(r, m))).cast(_LISTING_FIELDS)
+    return F.transform(rows, lambda r: listing(r)).cast(_LISTING_FIELDS)
 
 
 def may_list(profile: Profile) -> Column:

@@ -117,7 +117,7 @@ class _NodeColumns:
         add_tag, add_text, add_attr_end = self.tag.append, self.text.append, self.attr_ends.append
         names: list[str] = []  # open elements
         pres: list[int] = [-1]  # their positions, below them the page itself
-        open_count: dict[str, int] = {}
+        open_at: dict[str, list[int]] = {}  # levels of the open elements of a tag
         silent = 0  # open elements whose text does not count
         chars: list[str] = []  # text since the last piece of markup
         at = 0  # position of the next node
@@ -146,19 +146,19 @@ class _NodeColumns:
                 flush()
             while len(names) > level:
                 name = names.pop()
-                open_count[name] -= 1
+                open_at[name].pop()
                 if name in _SILENT:
                     silent -= 1
                 last[base + pres.pop()] = at - 1
 
+        def innermost(tags) -> int:
+            return max([levels[-1] for t in tags if (levels := open_at.get(t))], default=-1)
+
         def close_open(ends, shield) -> None:
-            """Close the innermost of ``ends`` that ``shield`` does not protect."""
-            for i in range(len(names) - 1, -1, -1):
-                if names[i] in ends:
-                    close_to(i)
-                    return
-                if names[i] in shield:
-                    return
+            """Close the innermost of ``ends`` that ``shield`` does not protect; looks at no other element."""
+            level = innermost(ends)
+            if level >= 0 and level >= innermost(shield):
+                close_to(level)
 
         pos, size, search = 0, len(page), _MARKUP.search
         while pos < size:
@@ -181,16 +181,13 @@ class _NodeColumns:
             if end:
                 if names and names[-1] == tag:
                     close_to(len(names) - 1)
-                elif open_count.get(tag):
+                elif open_at.get(tag):
                     close_open((tag,), () if tag in _TABLE_ENDS else _CELLS)
                 continue
 
             if tag in _IMPLIED_ENDS:
                 for ends, shield in _IMPLIED_ENDS[tag]:
-                    for t in ends:
-                        if open_count.get(t):
-                            close_open(ends, shield)
-                            break
+                    close_open(ends, shield)
                 if tag in _HEADINGS and names and names[-1] in _HEADINGS:
                     close_to(len(names) - 1)
             if chars:
@@ -210,7 +207,10 @@ class _NodeColumns:
                 continue
             names.append(tag)
             pres.append(at - 1)
-            open_count[tag] = open_count.get(tag, 0) + 1
+            if tag in open_at:
+                open_at[tag].append(len(names) - 1)
+            else:
+                open_at[tag] = [len(names) - 1]
             if tag in _SILENT:
                 silent += 1
             if tag in _RAW_END:  # no markup inside: take the text up to the end tag
