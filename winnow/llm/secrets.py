@@ -19,10 +19,13 @@ procedure of Benjamini and Hochberg, over counts of binned p-values.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from winnow.functions.text import let
 from winnow.llm.shared import stored
 
 #: The kinds with a form of their own: pattern, the group whose length counts, and its least length.
@@ -66,6 +69,16 @@ def _normal(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-1.5976) * z - F.lit(0.07056) * z * z * z))
 
 
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running sums (or other combinations) of an array, doubling the reach each round: n log n."""
+
+    def widen(at: Column, k: Column) -> Column:
+        reach = F.pow(F.lit(2), k).cast("int")
+        return F.transform(at, lambda x, i: F.when(i >= reach, combine(x, F.get(at, i - reach))).otherwise(x))
+
+    return F.aggregate(F.sequence(F.lit(0), F.length(F.bin(F.size(values)))), values, widen)
+
+
 def _matches(text: Column, pattern: str, group: int, least: int, quick: str) -> Column:
     """Leftmost matches that do not overlap: start, end in code points, whether long enough, value.
 
@@ -74,78 +87,123 @@ def _matches(text: Column, pattern: str, group: int, least: int, quick: str) ->
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     rows = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit"), values.alias("value"))
+    # The last gap has no match after it.
+    sized = F.transform(
+        F.filter(rows, lambda r: r["hit"].isNotNull()),
+        lambda r: F.struct(
+            F.length(r["gap"]).cast("long").alias("gap"), F.length(r["hit"]).cast("long").alias("hit"), r["value"].alias("value")
+        ),
+    )
 
-    def step(state: Column, row: Column) -> Column:
-        start = state["at"] + F.length(row["gap"])
-        end = start + F.length(row["hit"])
-        span = F.struct(
-            start.cast("long").alias("start"), end.cast("long").alias("end"),
-            (F.length(row["value"]) >= least).alias("valid"), row["value"].alias("value"),
+    def placed(sized: Column) -> Column:
+        steps = F.transform(sized, lambda r: r["gap"] + r["hit"])
+        spans = let(
+            _running(steps, lambda x, y: x + y),
+            lambda ends: F.transform(
+                sized,
+                lambda r, i: F.struct(
+                    (F.get(ends, i) - r["hit"]).alias("start"), F.get(ends, i).alias("end"),
+                    (F.length(r["value"]) >= least).alias("valid"), r["value"].alias("value"),
+                ),
+            ),
         )
-        # The last gap has no match after it.
-        keep = row["hit"].isNotNull() & (F.length(row["value"]) >= least)
-        out = F.when(keep, F.concat(state["out"], F.array(span))).otherwise(state["out"])
-        return F.struct(F.coalesce(end, start).cast("long").alias("at"), out.alias("out"))
+        return F.filter(spans, lambda s: s["valid"])
 
     none = F.array().cast(f"array<{_SPAN}>")
-    state = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
-    found = F.aggregate(rows, state, step)["out"]
+    found = let(sized, placed).cast(f"array<{_SPAN}>")
     return F.when(F.coalesce(text.rlike(quick), F.lit(False)), found).otherwise(none)
 
 
+def _clear_of(candidates: Column, base: Column) -> Column:
+    """The candidates that overlap no span of ``base``, which is in the order of starts.
+
+    A candidate overlaps one if, of the spans that start before its end, the greatest end lies behind its
+    start; how many start there is found by bisection.
+    """
+
+    def clear(reach: Column) -> Column:
+        def before(end: Column) -> Column:
+            def halve(n: Column, k: Column) -> Column:
+                more = n + F.pow(F.lit(2), k).cast("int")
+                return F.when((more <= F.size(base)) & (F.get(base, more - 1)["start"] < end), more).otherwise(n)
+
+            return F.aggregate(F.sequence(F.length(F.bin(F.size(base))), F.lit(0), F.lit(-1)), F.lit(0), halve)
+
+        return F.filter(candidates, lambda c: F.coalesce(F.get(reach, before(c["end"]) - 1) <= c["start"], F.lit(True)))
+
+    ends = F.transform(base, lambda b: b["end"])
+    return F.when(F.size(base) == 0, candidates).otherwise(let(_running(ends, F.greatest), clear))
+
+
 def _statistics(value: Column) -> Column:
-    """Encoding, length, p-value of being text, and whether runs or serial correlation refute chance."""
-    chars = F.split(value, "")
-    n = F.length(value).cast("double")
-    alphabet, size, equal, name = F.lit(""), F.lit(0.0), F.lit(0.0), F.lit("none")
-    for label, letters, share in reversed(ENCODINGS):
-        inside = value.rlike(f"^[{letters.replace('-', '')}{'-' * ('-' in letters)}]+$")
-        alphabet = F.when(inside, F.lit(letters)).otherwise(alphabet)
-        size = F.when(inside, F.lit(float(len(letters)))).otherwise(size)
-        equal = F.when(inside, F.lit(share)).otherwise(equal)
-        name = F.when(inside, F.lit(label)).otherwise(name)
-    squares = F.aggregate(
-        F.array_distinct(chars),
-        F.lit(0.0),
-        lambda s, c: s + F.pow(n - F.length(F.replace(value, c, F.lit(""))), F.lit(2.0)),
-    )
-    chi = squares * size / n - n
-    # Text: non-central, each symbol as often as the share of equal pairs says.
-    extra = size * equal - 1
-    mean = size * (1 + (n - 1) * equal) - n
-    sd = F.sqrt(2 * (size - 1) + 4 * n * F.greatest(extra, F.lit(0.1)))
-    p = _normal((chi - mean) / sd)
-    codes = F.transform(chars, lambda c: F.instr(alphabet, c).cast("double"))
-    middle = F.aggregate(codes, F.lit(0.0), lambda s, c: s + c) / n
-
-    def walk(state: Column, c: Column) -> Column:
-        high = (c > middle).cast("double")
-        d = c - middle
-        return F.struct(
-            F.lit(False).alias("first"), high.alias("high"), d.alias("d"),
-            (state["runs"] + F.when(state["first"] | (state["high"] != high), 1.0).otherwise(0.0)).alias("runs"),
-            (state["highs"] + high).alias("highs"),
-            (state["cross"] + F.when(state["first"], 0.0).otherwise(state["d"] * d)).alias("cross"),
-            (state["power"] + d * d).alias("power"),
-        )
+    """Encoding, length, p-value of being text, and whether runs or serial correlation refute chance.
 
+    Each step takes the values of the last one, worked out once for the candidate and not for each of its characters.
+    """
+    encoding = None
+    for label, letters, share in (*ENCODINGS, ("none", "", 0.0)):
+        found = F.struct(
+            F.lit(label).alias("name"), F.lit(letters).alias("letters"), F.lit(float(len(letters))).alias("size"), F.lit(share).alias("equal")
+        )
+        if not letters:
+            encoding = encoding.otherwise(found)
+            continue
+        inside = value.rlike(f"^[{letters.replace('-', '')}{'-' * ('-' in letters)}]+$")
+        encoding = F.when(inside, found) if encoding is None else encoding.when(inside, found)
     zero = F.lit(0.0)
     start = F.struct(
         F.lit(True).alias("first"), zero.alias("high"), zero.alias("d"), zero.alias("runs"),
         zero.alias("highs"), zero.alias("cross"), zero.alias("power"),
     )
 
-    def judge(s: Column) -> Column:
-        a, b = s["highs"], n - s["highs"]
-        expected = 2 * a * b / n + 1
-        spread = F.sqrt(F.greatest((expected - 1) * (expected - 2) / (n - 1), F.lit(1e-9)))
-        runs = F.abs(s["runs"] - expected) / spread
-        serial = F.when(s["power"] > 0, F.abs(s["cross"] / s["power"]) * F.sqrt(n)).otherwise(F.lit(99.0))
-        # Two tests, each on both sides.
-        return 4 * _normal(-F.greatest(runs, serial)) < F.lit(LEVEL)
+    def counted(of: Column) -> Column:
+        """The codes of the characters, their mean and the sum of the squares of their counts."""
+        squares = F.aggregate(
+            F.array_distinct(of["chars"]),
+            F.lit(0.0),
+            lambda s, c: s + F.pow(of["n"] - F.length(F.replace(value, c, F.lit(""))), F.lit(2.0)),
+        )
+        codes = F.transform(of["chars"], lambda c: F.instr(of["encoding"]["letters"], c).cast("double"))
+        return let(
+            F.struct(codes.alias("codes"), squares.alias("squares")),
+            lambda w: let(F.aggregate(w["codes"], F.lit(0.0), lambda s, c: s + c) / of["n"], lambda middle: judged(of, w, middle)),
+        )
 
-    refuted = F.aggregate(codes, start, walk, judge)
-    return F.struct(name.alias("encoding"), p.alias("p"), (~refuted).alias("chance"))
+    def judged(of: Column, w: Column, middle: Column) -> Column:
+        n, size, equal = of["n"], of["encoding"]["size"], of["encoding"]["equal"]
+        chi = w["squares"] * size / n - n
+        # Text: non-central, each symbol as often as the share of equal pairs says.
+        extra = size * equal - 1
+        mean = size * (1 + (n - 1) * equal) - n
+        sd = F.sqrt(2 * (size - 1) + 4 * n * F.greatest(extra, F.lit(0.1)))
+
+        def walk(state: Column, c: Column) -> Column:
+            high = (c > middle).cast("double")
+            d = c - middle
+            return F.struct(
+                F.lit(False).alias("first"), high.alias("high"), d.alias("d"),
+                (state["runs"] + F.when(state["first"] | (state["high"] != high), 1.0).otherwise(0.0)).alias("runs"),
+                (state["highs"] + high).alias("highs"),
+                (state["cross"] + F.when(state["first"], 0.0).otherwise(state["d"] * d)).alias("cross"),
+                (state["power"] + d * d).alias("power"),
+            )
+
+        def refuted(s: Column) -> Column:
+            a, b = s["highs"], n - s["highs"]
+            expected = 2 * a * b / n + 1
+            spread = F.sqrt(F.greatest((expected - 1) * (expected - 2) / (n - 1), F.lit(1e-9)))
+            runs = F.abs(s["runs"] - expected) / spread
+            serial = F.when(s["power"] > 0, F.abs(s["cross"] / s["power"]) * F.sqrt(n)).otherwise(F.lit(99.0))
+            # Two tests, each on both sides.
+            return 4 * _normal(-F.greatest(runs, serial)) < F.lit(LEVEL)
+
+        return F.struct(
+            of["encoding"]["name"].alias("encoding"), _normal((chi - mean) / sd).alias("p"),
+            (~F.aggregate(w["codes"], start, walk, refuted)).alias("chance"),
+        )
+
+    of = F.struct(F.split(value, "").alias("chars"), F.length(value).cast("double").alias("n"), encoding.alias("encoding"))
+    return let(of, counted)
 
 
 def _length_class(length: Column) -> Column:
@@ -187,12 +245,8 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
     base = F.sort_array(F.concat(none, *spans))
     candidates = _matches(text, CANDIDATE, 0, LEAST, _QUICK["random"])
     rows = docs.select("doc_id", base.alias("base"), candidates.alias("candidates"))
-    clear = F.filter(
-        "candidates",
-        lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-    )
     judged = F.transform(
-        clear,
+        _clear_of(F.col("candidates"), F.col("base")),
         lambda c: F.struct(
             c["start"].alias("start"), c["end"].alias("end"),
             (c["end"] - c["start"]).alias("length"), _statistics(c["value"]).alias("test"),
