@@ -55,3 +55,48 @@ def test_candidates_clear_of_spans(spark):
         _, candidates, spans = rows[r.i]
         want = [c for c in candidates if not any(s[0] < c[1] and c[0] < s[1] for s in spans)]
         assert [tuple(c) for c in r.clear] == want
+
+
+def twins(head="x", tail="y"):
+    """Two long words whose sums of powers modulo 2**64 are equal for every odd base."""
+    bits = [0]
+    while len(bits) < 2048:
+        bits += [1 - b for b in bits]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    return (f"{head * 8}{w}{tail * 8}" for w in (one, two))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_long_pieces_that_sums_of_powers_confuse(name):
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from winnow.llm.tokens import encoder
+
+    path, texts = public_tokenizers.path(name), list(twins())
+    whole = Tokenizer.from_file(path)
+    for batch in (texts, texts[::-1], [" ".join(texts)]):
+        got = [(int(n), i.tolist()) for _, counts, i in encoder(path).encode(pa.array(batch)) for n in counts]
+        ids = [whole.encode(t, add_special_tokens=False).ids for t in batch]
+        assert [n for n, _ in got] == [len(i) for i in ids] and got[0][1] == sum(ids, [])
+
+
+def test_windows_that_sums_of_powers_confuse(make_docs):
+    from winnow.llm import substring
+
+    one, two = twins()
+    same = " ".join(f"w{i}" for i in range(12))
+    docs = make_docs((1, f"{one} {same}"), (2, f"{two} {same}"), (3, f"{one} {same} more"))
+    found = {r.doc_id: (r.n_words, r.n_removed) for r in substring.repeated_passages(docs).collect()}
+    assert found == {1: (13, 0), 2: (13, 0), 3: (14, 13)}
+
+
+def test_long_words_are_told_apart():
+    import numpy as np
+
+    from winnow.llm.arrays import white_space_words, words_of
+
+    data = np.frombuffer(" ".join(twins()).encode(), np.uint8)
+    words = words_of(np.array([0, len(data)]), data, white_space_words())
+    assert len(set(words.hash.tolist())) == 2

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # multiplier of the hash of a word's bytes
@@ -72,6 +73,19 @@ def _power(kind: str, n: int) -> np.ndarray:
     return have[:n]
 
 
+#: Words of more bytes have a hash of another kind, as sums of powers modulo 2**64 coincide for some long strings.
+LONG = 64
+
+
+def _long_hashes(code: np.ndarray, body: np.ndarray, start: np.ndarray, end: np.ndarray, longest: int) -> None:
+    """Set the hashes of the ranges that are longer than ``longest`` anew."""
+    rows = np.flatnonzero(end - start > longest)
+    if len(rows):
+        data = memoryview(np.ascontiguousarray(body))
+        places = zip(start[rows].tolist(), end[rows].tolist(), strict=True)
+        code[rows] = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in places]
+
+
 @dataclass
 class Words:
     """Words in text order: the row of the block, byte range and 64-bit hash of each."""
@@ -111,14 +125,16 @@ def words_of(
     np.cumsum((body.astype(np.uint64) + np.uint64(1)) * _power("up", n), out=sums[1:])
     code = (sums[end] - sums[start]) * _power("down", n)[start] + (end - start).astype(np.uint64)
     row = np.searchsorted(offsets, start, "right") - 1
-    return Words(row, start, end, scramble(code), body, rows)
+    code = scramble(code)
+    _long_hashes(code, body, start, end, LONG)
+    return Words(row, start, end, code, body, rows)
 
 
 def word_codes(body: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Two 64-bit values that tell byte strings of ``body`` apart, for ranges in ascending order.
 
-    The first is a hash; the second mixes the length with the first and last eight bytes, all there
-    is of strings of up to sixteen.
+    The first is a hash, of another kind for strings of more than sixteen bytes; the second mixes the
+    length with the first and last eight bytes, all there is of shorter ones.
     """
     low = int(start[0]) if len(start) else 0
     body = body[low : int(end[-1]) if len(end) else 0]
@@ -129,6 +145,7 @@ def word_codes(body: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     length = end - start
     out = np.empty((len(start), 2), np.uint64)
     out[:, 0] = scramble((sums[end] - sums[start]) * _power("down", n + 1)[start] + length.astype(np.uint64))
+    _long_hashes(out[:, 0], body, start, end, 16)
     padded = np.concatenate([np.zeros(8, np.uint8), body, np.zeros(8, np.uint8)])
     eights = np.ndarray(len(padded) - 7, np.dtype("<u8"), padded.tobytes(), 0, (1,))
     spare = (8 * (8 - np.minimum(length, 8))).astype(np.uint64)
