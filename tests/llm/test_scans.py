@@ -27,6 +27,7 @@ TEXTS = [
     (1, "x ONE two, three-four five six seven eight nine ten y"), (2, "a short; item b short item"), (3, None),
     (4, ""), (None, "é 7 é 7"), (5, "É 7"), (6, "one two three four five six seven eight nine"),
     (7, "short one two three four five six seven eight nine ten eleven item end"), (7, "short item"), (7, "short item"),
+    (8, "ZERO and more"),
 ]
 
 
@@ -35,7 +36,7 @@ def hits(texts, items, window=10):
     for item, text in items:
         words = WORD.findall(lower(text))
         n = min(window, len(words))
-        for i in range(len(words) - n + 1 if n and item is not None else 0):
+        for i in range(len(words) - n + 1 if n else 0):
             grams.setdefault(tuple(words[i : i + n]), set()).add(item)
     out = []
     for doc_id, text in texts:
@@ -44,7 +45,7 @@ def hits(texts, items, window=10):
             for i in range(len(words) - n + 1):
                 if own := grams.get(tuple(words[i : i + n])):
                     hit |= set(range(i, i + n))
-                    found |= own
+                    found |= own - {None}
         out.append((str(doc_id), len(words), len(hit), sorted(found)))
     return sorted(out)
 
@@ -60,7 +61,7 @@ def test_contamination(spark, make_docs, max_windows):
     # Of the seventh, cutting the long item lets the words of the short one meet.
     assert kept == {
         (1, "x  y", 4), (2, "a  b ", 5), (3, None, None), (4, "", 0), (5, "É 7", 3),
-        (6, "one two three four five six seven eight nine", 44), (7, " end", 4),
+        (6, "one two three four five six seven eight nine", 44), (7, " end", 4), (8, " and more", 9),
     }
     assert decontam.find_hits(clean, items).where("n_hit > 0").count() == 0
     assert decontam.find_hits(docs, benchmark(spark)).where("n_hit > 0").count() == 0

@@ -23,8 +23,8 @@ from winnow.llm.arrays import (
 from winnow.llm.shared import fresh, stored, texts_of
 
 WINDOW = 10
-#: Distinct benchmark windows that are broadcast at once, at most: some 40 MB in a worker.
-MAX_WINDOWS = 200_000
+#: Distinct benchmark windows that are broadcast at once, at most, some 40 MB in a worker, and bytes of them and their items.
+MAX_WINDOWS, MAX_BYTES = 200_000, 64 << 20
 
 _MEMBER, _LOWER = alphanumeric_words(), lower_ascii()
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -38,7 +38,8 @@ def _words(offsets: np.ndarray, data: np.ndarray) -> Words:
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """words (joined by a space), length, items: each distinct window and the items that hold it.
 
-    ``benchmark`` has item_id and text. Items without an item_id or without words have no windows.
+    ``benchmark`` has item_id and text. Items without words have no windows; those of an item without an
+    item_id are windows like any other, but no item is listed for them.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,11 +55,18 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=["words", "length", "item_id"])
 
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null")
+    rows = benchmark.select(F.col("item_id").cast("long"), "text")
     found = rows.mapInArrow(cut, "words string, length int, item_id long")
     return found.groupBy("words", "length").agg(F.collect_set("item_id").alias("items"))
 
 
+def _blocks(windows: DataFrame, max_windows: int) -> int:
+    """Into how many blocks stored windows are cut: by their number, and by their bytes with those of their items."""
+    size = F.octet_length("words") + 8 * F.size("items") + 64
+    n, total = windows.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return max(1, -(-n // max_windows), -(-total // MAX_BYTES))
+
+
 class _Set:
     """Windows by length and hash, with a bit set in front that most texts' windows do not pass."""
 
@@ -148,7 +156,7 @@ def find_hits(
     words; an empty benchmark hits none. Rows are kept as they are, repeated ones too.
     """
     windows = stored(benchmark_windows(benchmark, window))
-    parts = max(1, -(-windows.count() // max_windows))
+    parts = _blocks(windows, max_windows)
     rows = texts_of(docs).select("doc_id", "text")
     if parts == 1:
         find = _finder([tuple(r) for r in windows.collect()])
@@ -219,8 +227,9 @@ def remove_hits(
     its words goes with its row; texts without hits stay as they are, null and empty ones too. All
     columns and all other rows are kept.
     """
-    windows = stored(benchmark_windows(benchmark, window))
-    parts = max(1, -(-windows.count() // max_windows))
+    windows = benchmark_windows(benchmark, window).withColumn("items", F.array().cast("array<long>"))
+    windows = stored(windows)
+    parts = _blocks(windows, max_windows)
     if parts == 1:
         cut = _cutter([tuple(r) for r in windows.collect()])
         return _replaced(texts_of(docs), lambda out: cut("text"))

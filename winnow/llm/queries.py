@@ -130,7 +130,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op2_decontamination"] = r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
 windows AS (
   SELECT DISTINCT item_id, least(10, len(w)) AS size, unnest([array_to_string(w[i:i + least(10, len(w)) - 1], ' ')
     FOR i IN range(1, greatest(2, len(w) - 8))]) AS words FROM item_words WHERE len(w) > 0),
@@ -147,7 +147,7 @@ hit_words AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS i FROM hits)
 n_hits AS (SELECT doc_id, count(*) AS n FROM hit_words GROUP BY doc_id),
 n_items AS (
   SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
-  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(x.n, 0) AS BIGINT) AS n_items, sha256(coalesce(x.ids, '')) AS items_sha256,
   coalesce(h.n, 0) > 0 AS contaminated
