@@ -11,8 +11,9 @@ the labelled rows.
 
 The key space of either sort of n-grams is the least power of two from eight times the number of distinct
 ones on, as a sketch of least hashes estimates it, so it grows with the corpus. No model is held whole:
-texts are dealt into chunks, a chunk sends its distinct keys with their counts to the bucket of their
-range, the bucket sums them and answers each chunk, and the chunk weighs its texts with the answers.
+texts are packed into chunks as they are read, a chunk sends its distinct keys with their counts to the bucket of
+their range, the bucket sums them and answers each chunk, and the chunk weighs its texts with the answers. A key of
+one text alone weighs nothing, as its counts leave that text out, so no answer is sent for it.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from pyspark.sql import types as T
 from winnow.llm.arrays import blocks, scramble, white_space_words, words_of
 from winnow.llm.shared import fresh, shuffle_partitions, stored, text_bytes, texts_of
 
-#: Text of a chunk, and keys of a bucket, about. Both stay in one task's memory.
-CHUNK_BYTES, BUCKET_KEYS = 8 << 20, 4_000_000
+#: Text of a chunk, its rows, and keys of a bucket, about. All stay in one task's memory.
+CHUNK_BYTES, CHUNK_ROWS, BUCKET_KEYS = 8 << 20, 1 << 15, 4_000_000
 #: Least hashes that the number of distinct n-grams is estimated from.
 SKETCH = 4096
 #: Labelled rows of either class that are looked at, at most: those with the least hash of the doc_id.
@@ -131,29 +132,9 @@ def _is_one_of(doc_ids: pa.Array | pa.ChunkedArray, ids: np.ndarray) -> np.ndarr
     return np.isin(doc_ids.fill_null(-(1 << 62)).to_numpy(zero_copy_only=False), ids) & ~np.asarray(doc_ids.is_null())
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, ascending, and the sums of their counts, a column each."""
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
-
-
-def _chunk_keys(table: pa.Table, bits: list[int], good: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per sort of n-grams: a chunk's distinct keys, and how often they are in all and in good texts."""
-    is_good = _is_one_of(table[_ID], good)
-    found: list[list] = [[(np.zeros(0, np.uint64), np.zeros((0, 2), np.int64))] for _ in bits]
-    for first, offsets, data in blocks(table[_TEXT]):
-        for part, (row, code) in enumerate(_grams(offsets, data)):
-            ones = np.ones((len(row), 2), np.int64)
-            ones[:, 1] = is_good[first + row]
-            found[part].append(_summed(code >> np.uint64(64 - bits[part]), ones))
-    return [_summed(np.concatenate([k for k, _ in f]), np.concatenate([n for _, n in f])) for f in found]
-
-
-_ID, _TEXT, _CHUNK = "id of the row", "text of the row", "chunk of the row"
-_SENT = "bucket int, chunk int, n int, keys binary, counts binary"
-_TOLD = "chunk int, bucket int, counts binary"
+_ID, _TEXT = "id of the row", "text of the row"
+_SENT = "bucket int, chunk long, n int, keys binary, counts binary"
+_TOLD = "chunk long, bucket int, n int, keys binary, counts binary"
 
 
 def _shrink(values: np.ndarray) -> bytes:
@@ -167,17 +148,91 @@ def _expand(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(8, -1).T).view(kind).reshape(-1)
 
 
+def _chunks(rows: DataFrame, chunk_bytes: int) -> DataFrame:
+    """Rows as they are read, packed: a chunk is some rows in a row of a partition, about ``chunk_bytes`` of them.
+
+    So rows that share an id or a text lie in many chunks, and texts travel compressed.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def close() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for batch in held:
+                    out.write_batch(batch)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["rows"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.nbytes for b in held) >= chunk_bytes or sum(b.num_rows for b in held) >= CHUNK_ROWS:
+                yield close()
+        if held:
+            yield close()
+
+    packed = rows.mapInArrow(pack, "rows binary")
+    return packed.select(F.monotonically_increasing_id().alias("chunk"), "rows")
+
+
+def _unpacked(table: pa.Table) -> pa.Table:
+    (rows,) = table["rows"].to_pylist()
+    return pa.ipc.open_stream(rows).read_all()
+
+
+def _counted(table: pa.Table, bits: list[int]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per sort of n-grams: key, row and count of each key in each text of a chunk, by key and then by row.
+
+    Key and row are sorted as one number.
+    """
+    room = max(1, (table.num_rows - 1).bit_length())
+    if max(bits) + room > 64:
+        raise ValueError("keys and rows of a chunk do not fit 64 bits")
+    found: list[list[np.ndarray]] = [[] for _ in bits]
+    for first, offsets, data in blocks(table[_TEXT]):
+        for part, (row, code) in enumerate(_grams(offsets, data)):
+            keys = code >> np.uint64(64 - bits[part])
+            found[part].append((keys << np.uint64(room)) | (first + row).astype(np.uint64))
+    out = []
+    for own in found:
+        both = np.concatenate([np.zeros(0, np.uint64), *own])
+        own.clear()
+        both.sort()
+        at = np.flatnonzero(np.append(True, both[1:] != both[:-1])) if len(both) else np.zeros(0, np.int64)
+        n = np.diff(np.append(at, len(both)))
+        both = both[at]
+        out.append((both >> np.uint64(room), (both & np.uint64((1 << room) - 1)).astype(np.int64), n))
+    return out
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+
+
 def _send(table: pa.Table, bits: list[int], good: np.ndarray, split: int) -> pa.Table:
-    """A chunk's distinct keys and their counts, by bucket: 2**split ranges of either sort's keys."""
-    out: list[tuple] = []
-    for part, (keys, counts) in enumerate(_chunk_keys(table, bits, good)):
+    """A chunk's distinct keys and their counts, by bucket: 2**split ranges of either sort's keys.
+
+    The lowest bit of a key's count in all texts tells that one text alone holds it here.
+    """
+    chunk, table = table["chunk"][0].as_py(), _unpacked(table)
+    is_good, out = _is_one_of(table[_ID], good), []
+    for part, (keys, row, n) in enumerate(_counted(table, bits)):
+        first = _firsts(keys)
+        counts = np.zeros((len(first), 2), np.int64)
+        if len(first):
+            alone = np.diff(np.append(first, len(keys))) == 1
+            counts[:, 0] = 2 * np.add.reduceat(n, first) + alone
+            counts[:, 1] = np.add.reduceat(n * is_good[row], first)
+        keys = keys[first]
         step = min(split, bits[part])
         edges = np.searchsorted(keys >> np.uint64(bits[part] - step), np.arange((1 << step) + 1, dtype=np.uint64))
         for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
             if b > a:
                 steps = np.diff(keys[a:b], prepend=np.uint64(0))
-                out.append(((part << split) + i, table[_CHUNK][0].as_py(), b - a, _shrink(steps), _shrink(counts[a:b])))
-    return _rows(out, ("bucket", pa.int32()), ("chunk", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()))
+                out.append(((part << split) + i, chunk, b - a, _shrink(steps), _shrink(counts[a:b])))
+    return _rows(out, ("bucket", pa.int32()), ("chunk", pa.int64()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()))
 
 
 def _rows(rows: list[tuple], *columns: tuple[str, pa.DataType]) -> pa.Table:
@@ -186,78 +241,82 @@ def _rows(rows: list[tuple], *columns: tuple[str, pa.DataType]) -> pa.Table:
 
 
 def _tell(table: pa.Table) -> pa.Table:
-    """The counts over all chunks of the keys of a bucket, to each chunk in the order it sent them."""
+    """The counts over all chunks of the keys of a bucket that two texts or more hold, to each chunk that sent them."""
     rows = table.to_pylist()
     keys = np.concatenate([np.cumsum(_expand(r["keys"], "<u8"), dtype=np.uint64) for r in rows])
     counts = np.concatenate([_expand(r["counts"], "<i8").reshape(-1, 2) for r in rows])
-    distinct, sums = _summed(keys, counts)
-    del counts
+    order = np.argsort(keys, kind="stable")
+    first = _firsts(keys[order])
+    sums = np.empty((len(first), 2), np.int64)
+    sums[:, 0] = np.add.reduceat(counts[order, 0] >> 1, first)
+    sums[:, 1] = np.add.reduceat(counts[order, 1], first)
+    size = np.diff(np.append(first, len(keys)))
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.repeat(np.arange(len(first)), size)
+    shared = (size[place] > 1) | (counts[:, 0] & 1 == 0)
+    del counts, order
     out, at = [], 0
     for r in rows:
-        own = sums[np.searchsorted(distinct, keys[at : at + r["n"]])]
-        out.append((r["chunk"], r["bucket"], _shrink(own)))
+        own = np.flatnonzero(shared[at : at + r["n"]]) + at
+        if len(own):
+            steps = np.diff(keys[own], prepend=np.uint64(0))
+            out.append((r["chunk"], r["bucket"], len(own), _shrink(steps), _shrink(sums[place[own]])))
         at += r["n"]
-    return _rows(out, ("chunk", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()))
+    return _rows(out, ("chunk", pa.int64()), ("bucket", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()))
 
 
 def _weigh(table: pa.Table, told: pa.Table, bits: list[int], totals: list, good: np.ndarray, split: int) -> np.ndarray:
-    """Log weights of a chunk's texts, each against the counts without itself."""
+    """Log weights of a chunk's texts, each against the counts without itself; keys not told of weigh nothing."""
     is_good, out = _is_one_of(table[_ID], good), np.zeros(table.num_rows)
     answers = sorted(told.to_pylist(), key=lambda r: r["bucket"])
-    none = np.zeros((0, 2), np.int64)
-    sums = [
-        np.concatenate([none, *(_expand(r["counts"], "<i8").reshape(-1, 2) for r in answers if r["bucket"] >> split == part)])
-        for part in range(len(bits))
-    ]
-    distinct = [keys for keys, _ in _chunk_keys(table, bits, good)]
-    for first, offsets, data in blocks(table[_TEXT]):
-        rows = len(offsets) - 1
-        for part, (row, code) in enumerate(_grams(offsets, data)):
-            if not len(row):
-                continue
-            place = np.searchsorted(distinct[part], code >> np.uint64(64 - bits[part]))
-            own, n = np.unique(row * len(distinct[part]) + place, return_counts=True)
-            row_of, key = np.divmod(own, len(distinct[part]))
-            mine = is_good[first + row_of]
-            size = np.bincount(row, minlength=rows)[row_of]
-            raw, target = sums[part][key, 0] - n, sums[part][key, 1] - n * mine
-            all_raw, all_target = totals[part][0] - size, totals[part][1] - size * mine
-            expected = raw * (all_target / np.maximum(all_raw, 1))
-            weight = np.clip(np.log((target + SMOOTHING) / (expected + SMOOTHING)), -CLIP, CLIP)
-            out[first : first + rows] += np.bincount(row_of, weights=weight * n, minlength=rows)
+    for part, (keys, row, n) in enumerate(_counted(table, bits)):
+        own = [r for r in answers if r["bucket"] >> split == part]
+        if not own:
+            continue
+        known = np.concatenate([np.cumsum(_expand(r["keys"], "<u8"), dtype=np.uint64) for r in own])
+        sums = np.concatenate([_expand(r["counts"], "<i8").reshape(-1, 2) for r in own])
+        size = np.bincount(row, weights=n, minlength=len(out)).astype(np.int64)
+        place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        hit = known[place] == keys
+        row, n, place = row[hit], n[hit], place[hit]
+        mine = is_good[row]
+        raw, target = sums[place, 0] - n, sums[place, 1] - n * mine
+        all_raw, all_target = totals[part][0] - size[row], totals[part][1] - size[row] * mine
+        expected = raw * (all_target / np.maximum(all_raw, 1))
+        weight = np.clip(np.log((target + SMOOTHING) / (expected + SMOOTHING)), -CLIP, CLIP)
+        out += np.bincount(row, weights=weight * n, minlength=len(out))
     return out
 
 
 def _scored(docs: DataFrame, good: list[int], columns: list[str], chunk_bytes: int, bucket_keys: int) -> DataFrame | None:
     """``columns`` of every row, and log_weight; None if no text is labelled good.
 
-    A text without n-grams weighs 0. Rows are dealt by doc_id and text.
+    A text without n-grams weighs 0.
     """
     measured = _measured(docs, good)
     if not any(target for _, _, target in measured):
         return None
     bits, totals = [key_bits(n) for n, _, _ in measured], [m[1:] for m in measured]
     size = text_bytes(docs)
-    chunks = max(shuffle_partitions(docs.sparkSession), -(-size // chunk_bytes))
     # A chunk's distinct keys are fewer than half its bytes; a bucket has at least 64 of them.
     buckets = min(max(shuffle_partitions(docs.sparkSession), size // 2 // bucket_keys), max(1, chunk_bytes // 128))
     split, ids = max(0, buckets - 1).bit_length(), np.array(sorted(good), np.int64)
-    deal = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
-    extra = [F.col("doc_id").cast("long").alias(_ID), F.col("text").alias(_TEXT), deal.alias(_CHUNK)]
-    # The same columns for both readings, so that texts are shuffled once.
+    extra = [F.col("doc_id").cast("long").alias(_ID), F.col("text").alias(_TEXT)]
     others = [c for c in columns if c != "text"]
-    dealt = docs.select(F.struct(*others).alias("carried"), *extra)
+    rows = docs.select(F.struct(*others).alias("carried"), *extra)
+    dealt = _chunks(texts_of(rows), chunk_bytes)
     (weight,) = fresh(docs.select(*columns), "log_weight")
-    fields = [("carried", dealt.schema["carried"].dataType), (_TEXT, T.StringType()), (weight, T.DoubleType())]
+    fields = [("carried", rows.schema["carried"].dataType), (_TEXT, T.StringType()), (weight, T.DoubleType())]
     kept = fields if "text" in columns else [fields[0], fields[2]]
 
     def weigh(left: pa.Table, right: pa.Table) -> pa.Table:
-        weights = pa.array(_weigh(left, right, bits, totals, ids, split))
-        return left.append_column(weight, weights).select([name for name, _ in kept])
+        own = _unpacked(left)
+        weights = pa.array(_weigh(own, right, bits, totals, ids, split))
+        return own.append_column(weight, weights).select([name for name, _ in kept])
 
-    sent = dealt.groupBy(_CHUNK).applyInArrow(lambda t: _send(t, bits, ids, split), _SENT)
+    sent = dealt.groupBy("chunk").applyInArrow(lambda t: _send(t, bits, ids, split), _SENT)
     told = sent.groupBy("bucket").applyInArrow(_tell, _TOLD)
-    found = dealt.groupBy(_CHUNK).cogroup(told.groupBy("chunk")).applyInArrow(
+    found = dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         weigh, T.StructType([T.StructField(name, kind) for name, kind in kept])
     )
     return found.select(*(F.col(_TEXT).alias(c) if c == "text" else F.col(f"carried.{c}") for c in columns), weight)
@@ -339,7 +398,9 @@ def _cut(rows: DataFrame, weight: str, ids: dict[int, list[int]]) -> float:
     """The log weight that parts the labelled rows. Without one labelled bad, all pass."""
     spark, bad = rows.sparkSession, set(ids[0])
     wanted = spark.createDataFrame([(i,) for i in sorted(bad | set(ids[1]))], "id long")
-    own = rows.select(F.col("doc_id").cast("long").alias("id"), F.col(weight).alias("score")).join(wanted, "id")
+    own = rows.select(F.col("doc_id").cast("long").alias("id"), F.col(weight).alias("score")).join(F.broadcast(wanted), "id")
+    # One row an id, however many rows share it: the ids are bounded, their rows are not.
+    own = own.groupBy("id").agg(F.min("score").alias("score"))
     return _best_cut([(r.score, r.id not in bad) for r in own.collect()])
 
 
