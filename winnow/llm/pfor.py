@@ -70,8 +70,7 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) ->
         rows = np.flatnonzero(widths == width)
         part = over[rows]
         low = part & np.uint32((1 << width) - 1) if width < 32 else part
-        bits = (low[:, :, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+        packed = _packed(low, width)
         high = part >> np.uint32(width) if width < 32 else np.zeros_like(part)
         for k, row in enumerate(rows.tolist()):
             places = np.flatnonzero(high[k])
@@ -83,6 +82,32 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) ->
     return np.array([n, blocks], "<u4").tobytes() + starts.tobytes() + b"".join(bodies)
 
 
+def _packed(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of values as rows of bytes, ``width`` bits each, the lowest first."""
+    rows = len(values)
+    if not 0 < width <= 16 or values.shape[1] % 8:
+        bits = (values[:, :, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
+        return np.packbits(bits.astype(np.uint8).reshape(rows, -1), axis=1, bitorder="little")
+    # Eight values fill ``width`` bytes: two sums of four, side by side.
+    four = values.astype(np.uint64).reshape(rows, -1, 2, 4)
+    sums = four[..., 0]
+    for k in range(1, 4):
+        sums = sums | four[..., k] << np.uint64(k * width)
+    both = np.zeros((*sums.shape[:2], 2), "<u8")
+    both[..., 0], both[..., 1] = sums[..., 0], sums[..., 1] >> np.uint64(64 - 4 * width)
+    if width < 16:
+        both[..., 0] |= sums[..., 1] << np.uint64(4 * width)
+    return np.ascontiguousarray(both.view(np.uint8).reshape(rows, -1, 16)[..., :width]).reshape(rows, -1)
+
+
+def _unpacked(data: np.ndarray, starts: np.ndarray, n: int, width: int) -> np.ndarray:
+    """Rows of ``n`` values of ``width`` bits; ``data`` goes on for eight bytes behind the last row."""
+    at = np.arange(n) * width
+    eights = np.ndarray(len(data) - 7, np.dtype("<u8"), data, 0, (1,))
+    found = eights[starts[:, None] + (at >> 3)] >> (at & 7).astype(np.uint64)
+    return (found & np.uint64((1 << width) - 1)).astype(np.uint32)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each unsigned 32-bit value takes."""
     return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
@@ -93,7 +118,7 @@ def unpack(segment: bytes, block: int = BLOCK) -> np.ndarray:
     n, blocks = np.frombuffer(segment, "<u4", 2).tolist()
     if not n:
         return np.zeros(0, np.uint32)
-    data = np.frombuffer(segment, np.uint8)
+    data = np.frombuffer(segment + bytes(8), np.uint8)
     starts = np.frombuffer(segment, "<u4", blocks, 8).astype(np.int64) + 8 + 4 * (blocks + 1)
     heads = data[starts[:, None] + np.arange(6)]
     least = np.ascontiguousarray(heads[:, :4]).view("<u4").reshape(-1)
@@ -101,10 +126,7 @@ def unpack(segment: bytes, block: int = BLOCK) -> np.ndarray:
     out = np.empty((blocks, block), np.uint32)
     for width in np.unique(widths).tolist():
         rows = np.flatnonzero(widths == width)
-        size = block * width // 8
-        packed = data[(starts[rows] + 6)[:, None] + np.arange(size)]
-        bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), block, width)
-        out[rows] = bits.astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+        out[rows] = _unpacked(data, starts[rows] + 6, block, width)
     for row in np.flatnonzero(exceptions).tolist():
         k, width = int(exceptions[row]), int(widths[row])
         at = int(starts[row]) + 6 + block * width // 8

@@ -43,6 +43,7 @@ def _set(*ranges: tuple[int, int]) -> np.ndarray:
 
 _SPACES = _set((0x20, 0x20), (0x0A, 0x0A))
 _PRINTED = _set((0x21, 0x7E))
+_ASCII_LETTERS = _set((0x41, 0x5A), (0x61, 0x7A))
 _BEGINS = _set((0x21, 0x7E), (0xC3, 0xDF), (0xE4, 0xF4))  # first bytes that no white space has
 _TWO = _set((0xC3, 0xDF))
 _LETTERS = _set((0x41, 0x5A), (0x61, 0x7A))
@@ -151,8 +152,16 @@ class Encoder:
             plain, odd = [], []
             tokenize, known = self.tokenizer.model.tokenize, self.known
             space, whole = self.kind == "bytes", body.tobytes()
-            start, end = start[missing].tolist(), end[missing].tolist()
-            for i, a, b in zip(missing, start, end, strict=True):
+            start, end = start[missing], end[missing]
+            ahead = (body[np.minimum(start, len(body) - 1)] == 0x20) & (end > start) & space
+            others = np.concatenate([[0], np.cumsum(~_ASCII_LETTERS[body])])
+            easy = (others[end] == others[start + ahead]) & (end > start + ahead)
+            rows = zip(missing, start.tolist(), end.tolist(), ahead.tolist(), easy.tolist(), strict=True)
+            for i, a, b, spaced, simple in rows:
+                if simple:
+                    name = _SPACE + whole[a + 1 : b].decode() if spaced else whole[a:b].decode()
+                    found[i] = array("I", [t.id for t in tokenize(name)]).tobytes()
+                    continue
                 text = whole[a:b].decode()
                 word = text[1:] if space and text[:1] == " " else text
                 if _letters(word):
@@ -165,8 +174,8 @@ class Encoder:
             for i, ids in zip((i for i, _ in odd), self._batch([t for _, t in odd]), strict=True):
                 found[i] = np.array(ids.ids, "<u4").tobytes()
             self._joined(plain, found)
-            for i, a, b in zip(missing, start, end, strict=True):
-                if b - a <= KEPT_LENGTH:
+            for i, kept in zip(missing, (end - start <= KEPT_LENGTH).tolist(), strict=True):
+                if kept:
                     known[keys[i]] = found[i]
         if len(self.known) > KEPT:
             self.before, self.known = self.known, {}
