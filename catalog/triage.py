@@ -9,7 +9,7 @@ from catalog import query, table
 from winnow.functions.text import language, tokenize
 from winnow.operators.documents import country_of
 from winnow.operators.triage import apply_triage, triage, triage_report, triage_summary
-from winnow.operators.vocabulary import role_rules, skill_tags
+from winnow.operators.vocabulary import role_rules, skill_tags, skill_tags_joined
 
 POSITIVE = ("red", "blue", "small", "gear", "widget")
 NEGATIVE = ("hot", "old", "Cold")  # tokens are lower case, so the last never applies
@@ -131,6 +131,27 @@ def skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_WORDS_SQL = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\p{L}\\p{N}]+')"
+
+
+@query(
+    "skill_tags_table",
+    f"""WITH term AS (SELECT DISTINCT lang AS grp, unnest({_WORDS_SQL}) AS w FROM documents),
+word AS (SELECT DISTINCT conv_id, turn, unnest({_WORDS_SQL}) AS w FROM conversations)
+SELECT conv_id, turn, grp, count(*) AS n, md5(string_agg(w, ',' ORDER BY w)) AS skills FROM word JOIN term USING (w) GROUP BY ALL""",
+)
+def skills_of_a_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations against a vocabulary of all words of the documents, by language."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.explode(F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    terms = table(spark, sf_dir, "documents").select(F.col("lang").alias("group"), words.alias("term")).distinct()
+    found = skill_tags_joined(table(spark, sf_dir, "conversations"), ["conv_id", "turn"], "text", terms)
+    return found.select(
+        "conv_id", "turn", F.col("group").alias("grp"), F.size("skills").cast("bigint").alias("n"),
+        F.md5(F.array_join("skills", ",")).alias("skills"),
+    )
+
+
 @query(
     "role_rules",
     """SELECT p_partkey, p_name, regexp_matches(p_name, '(?i)widget|red r|GEAR') AS role_included,

@@ -1,14 +1,15 @@
-"""Word lists of the configuration applied to rows, as columns: no join, no shuffle."""
+"""Word lists of the configuration applied to rows: as columns, without a join or a shuffle, or, for
+vocabularies of any size, as a table that texts are joined to."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow import defaults
-from winnow.functions.text import contains_any, skill_hits
+from winnow.functions.text import contains_any, let, skill_hits
 
 
 def skill_tags(
@@ -44,3 +45,112 @@ def role_rules(
     return rows.withColumn("role_included", listed(include)).withColumn(
         "role_soft_excluded", listed(soft_exclude)
     )
+
+
+_RUN = r"[\p{L}\p{N}]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def term_table(spark: SparkSession, groups: Mapping[str, Iterable[str]] = defaults.SKILL_GROUPS) -> DataFrame:
+    """``(group, term)`` of a list of terms."""
+    return spark.createDataFrame([(g, t) for g, terms in groups.items() for t in terms], "group string, term string")
+
+
+def _cut(text: Column) -> Column:
+    """``struct(runs, gaps)``: maximal runs of letters and digits, and what lies before, between and behind them."""
+    return let(
+        F.translate(text, _UPPER, _LOWER),
+        lambda t: F.struct(F.regexp_extract_all(t, F.lit(_RUN), F.lit(0)).alias("runs"), F.split(t, _RUN, -1).alias("gaps")),
+    )
+
+
+def _span(cut: Column, start: Column, n: Column) -> Column:
+    """The text from the ``start``-th run on over ``n`` runs."""
+    rest = F.zip_with(
+        F.slice(cut["gaps"], start + 2, n - 1), F.slice(cut["runs"], start + 2, n - 1), lambda gap, run: F.concat(gap, run)
+    )
+    return F.concat(F.get(cut["runs"], start), F.array_join(rest, ""))
+
+
+def _prepared(terms: DataFrame) -> DataFrame:
+    """Terms by what stands between their first and last letter or digit, and the marks on either side of that.
+
+    Those of marks alone have no such part: they are found within runs of marks.
+    """
+    own = terms.where(F.col("term") != "").select("group", "term", _cut(F.col("term")).alias("cut")).distinct()
+    n = F.size("cut.runs")
+    core = F.when(n > 0, _span(F.col("cut"), F.lit(0), n)).otherwise(F.get("cut.gaps", F.lit(0)))
+    return own.select(
+        "group", "term", core.alias("core"), n.alias("n"),
+        F.when(n > 0, F.get("cut.gaps", F.lit(0))).otherwise("").alias("head"),
+        F.when(n > 0, F.element_at("cut.gaps", -1)).otherwise("").alias("tail"),
+    )
+
+
+def _places(cut: Column, counts: list[int], marks: list[int]) -> Column:
+    """All that may be a term: spans of as many runs as some term has, and as many marks in a row.
+
+    Each with the marks on either side, and whether the text begins, or ends, there.
+    """
+    size = F.size(cut["runs"])
+
+    def spans(n: int) -> Column:
+        starts = F.when(size >= n, F.sequence(F.lit(0), size - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(
+            starts,
+            lambda i: F.struct(
+                _span(cut, i, F.lit(n)).alias("core"), F.get(cut["gaps"], i).alias("before"), F.get(cut["gaps"], i + n).alias("after"),
+                (i == 0).alias("opens"), (i + n == size).alias("closes"), F.lit(n).alias("n"),
+            ),
+        )
+
+    def of_marks(length: int) -> Column:
+        def within(gap: Column, i: Column) -> Column:
+            fits = F.length(gap) >= length
+            starts = F.when(fits, F.sequence(F.lit(1), F.length(gap) - (length - 1))).otherwise(F.array().cast("array<int>"))
+            return F.transform(
+                starts,
+                lambda at: F.struct(
+                    F.substring(gap, at, F.lit(length)).alias("core"), F.substring(gap, F.lit(1), at - 1).alias("before"),
+                    F.substring(gap, at + length, F.length(gap)).alias("after"),
+                    (i == 0).alias("opens"), (i == size).alias("closes"), F.lit(0).alias("n"),
+                ),
+            )
+
+        return F.flatten(F.transform(cut["gaps"], within))
+
+    found = [spans(n) for n in counts] + [of_marks(length) for length in marks]
+    return F.array_distinct(F.concat(*found))
+
+
+def skill_tags_joined(rows: DataFrame, key: Iterable[str], text: str, terms: DataFrame) -> DataFrame:
+    """``(*key, group, skills)``: the terms of each group in a row's text, sorted, where there are any.
+
+    The same hits as ``skill_tags`` gives, for a table ``(group, term)`` of any size: a text is cut once into
+    spans of as many words as some term has, spans are joined to terms by what they say, and the marks on
+    either side are compared. Only spans and keys are shuffled, and where the terms are few Spark
+    broadcasts them instead. ``key`` names the columns that tell rows apart; rows that share one, null or
+    not, count as one text. Null and empty texts have no spans, null and empty terms match none.
+    """
+    key = list(key)
+    prepared = _prepared(terms)
+    # As many numbers as there are lengths of terms.
+    sizes = prepared.select("n", F.when(F.col("n") == 0, F.length("core")).alias("marks")).distinct().collect()
+    counts = sorted({r.n for r in sizes if r.n})
+    marks = sorted({r.marks for r in sizes if not r.n})
+    kept = [F.col(c).alias(f"key{i}") for i, c in enumerate(key)]
+    if not counts and not marks:
+        none = rows.limit(0).select(*kept, F.lit("").alias("group"), F.array().cast("array<string>").alias("skills"))
+        return none.select(*[F.col(f"key{i}").alias(c) for i, c in enumerate(key)], "group", "skills")
+    cut = rows.where(F.col(text) != "").select(*kept, _cut(F.col(text)).alias("cut"))
+    spans = cut.select(*[f"key{i}" for i in range(len(key))], F.explode(_places(F.col("cut"), counts, marks)).alias("p"))
+    # No letter or digit may touch the term: there is a mark more beside it, or the text ends there.
+    head = (F.col("head") == "") & (F.col("n") > 0) | F.endswith("p.before", F.col("head")) & (
+        (F.length("p.before") > F.length("head")) | F.col("p.opens")
+    )
+    tail = (F.col("tail") == "") & (F.col("n") > 0) | F.startswith("p.after", F.col("tail")) & (
+        (F.length("p.after") > F.length("tail")) | F.col("p.closes")
+    )
+    hits = spans.join(prepared, (F.col("p.core") == F.col("core")) & (F.col("p.n") == F.col("n"))).where(head & tail)
+    found = hits.groupBy(*[f"key{i}" for i in range(len(key))], "group").agg(F.array_sort(F.collect_set("term")).alias("skills"))
+    return found.select(*[F.col(f"key{i}").alias(c) for i, c in enumerate(key)], "group", "skills")
