@@ -17,6 +17,7 @@ from winnow.functions.text import (
     output_folder,
     strip,
 )
+from winnow.sources.files import write_files
 from winnow.sources.tables import write_next
 from winnow.sources.templates import render
 
@@ -186,6 +187,15 @@ def write_documents(documents: DataFrame, path: str) -> str:
     return write_next(documents, path, ['kind'])[1]
 
 
+def write_document_files(documents: DataFrame, path: str, extension: str = ".tex") -> None:
+    """Write each body to ``path/folder/kind``; documents of one folder and kind are refused.
+
+    Render them with ``id_suffix`` where companies and titles coincide.
+    """
+    name = F.concat_ws("/", "folder", F.concat(F.col("kind"), F.lit(extension)))
+    write_files(documents.select(name.alias("name"), "body"), path)
+
+
 def folder_collisions(payload: DataFrame) -> DataFrame:
     """Folders that several rows would write to."""
     return (
