@@ -10,7 +10,7 @@ from winnow.operators.state import empty_jobs
 from winnow.plans import stages
 from winnow.plans.discovery import discover, discover_new
 from winnow.schemas import JOBS
-from winnow.sources.tables import read_latest
+from winnow.sources.tables import land, read_latest
 from winnow.streaming.discovery import read_pages, start_discovery, unique_listings
 
 RELAXED = replace(P.SIMPLE_RELAXED, title_skip=("er",), roles=("th", "en"), role_hrefs=())
@@ -85,6 +85,43 @@ def test_unique_listings_by_state(spark, landed, tmp_path):
     assert len(ids) == len(set(ids)) and set(ids) == batch_result(spark, landed)
 
 
+def test_unique_listings_beside_a_table(spark, tmp_path):
+    """Ids of the table are never passed on; the others once, until they are forgotten, also over a restart."""
+    schema = "url string, seen timestamp"
+    root, source = f"{tmp_path}/jobs", f"{tmp_path}/in"
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, "url string, seen string").select("url", F.to_timestamp("seen").alias("seen")).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        found = unique_listings(stream, within="10 minutes", event_time="seen", known=stages.jobs_table(spark, root))
+        query = (
+            found.select("url").writeStream.format("parquet").option("path", f"{tmp_path}/out")
+            .option("checkpointLocation", f"{tmp_path}/progress").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return sorted(r.url for r in spark.read.schema("url string").parquet(f"{tmp_path}/out").collect())
+
+    def known(*urls):
+        land(spark.createDataFrame([(u,) for u in urls], "url string").select(
+            *[(F.md5("url") if f.name == "id" else F.lit(None).cast(f.dataType)).alias(f.name) for f in JOBS]
+        ), root, "id")
+
+    known("/old")
+    arrive(("/old", "2026-01-01 00:00:00"), ("/a", "2026-01-01 00:01:00"), ("/a", "2026-01-01 00:02:00"))
+    assert run() == ["/a"]
+    arrive(("/a", "2026-01-01 00:03:00"), ("/b", "2026-01-01 00:04:00"))  # the state lives on
+    assert run() == ["/a", "/b"]
+    arrive(("/c", "2026-01-01 05:00:00"))
+    arrive(("/d", "2026-01-01 05:00:01"))
+    known("/a")
+    assert run() == ["/a", "/b", "/c", "/d"]
+    # By now the state has forgotten both: the one in the table is not passed on, the other is.
+    arrive(("/a", "2026-01-01 05:01:00"), ("/b", "2026-01-01 05:01:00"), ("/old", "2026-01-01 05:01:00"))
+    assert run() == ["/a", "/b", "/b", "/c", "/d"]
+
+
 def test_unique_listings_within_a_delay(spark):
     stream = spark.readStream.format("rate").load().select(
         F.col("value").cast("string").alias("url"), F.col("timestamp").alias("seen")

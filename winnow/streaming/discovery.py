@@ -53,13 +53,20 @@ def start_discovery(
     )
 
 
-def unique_listings(listings: DataFrame, within: str | None = None, event_time: str | None = None) -> DataFrame:
+def unique_listings(
+    listings: DataFrame, within: str | None = None, event_time: str | None = None, known: DataFrame | None = None
+) -> DataFrame:
     """First arrival of each listing of a stream, kept by state instead of by the table.
 
-    The state holds every id, as the table does. With ``event_time`` and ``within``, ids
-    are forgotten after that delay, and a listing seen again later is passed on again.
+    Ids that ``known`` has, the jobs table as it is when the query starts, or starts again, are never passed on.
+    Beside them the state holds the ids that have arrived; with ``event_time`` and ``within`` they
+    are forgotten after that delay, so that the state stays as small as what arrives in it, and a listing seen
+    again later is passed on again, unless a restart has found it in the table. The known ids
+    are joined, not held: a stream that is to look into the table with every batch is ``start_discovery``.
     """
     keyed = listings.withColumn("id", job_id(F.col("url")))
+    if known is not None:
+        keyed = keyed.join(known.select("id"), "id", "left_anti")
     if event_time and within:
         return keyed.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["id"])
     return keyed.dropDuplicates(["id"])
