@@ -134,7 +134,7 @@ def _is_one_of(doc_ids: pa.Array | pa.ChunkedArray, ids: np.ndarray) -> np.ndarr
 
 _ID, _TEXT = "id of the row", "text of the row"
 _SENT = "bucket int, chunk long, n int, keys binary, counts binary"
-_TOLD = "chunk long, bucket int, n int, keys binary, counts binary"
+_TOLD = "chunk long, bucket int, n int, shared binary, counts binary"
 
 
 def _shrink(values: np.ndarray) -> bytes:
@@ -159,7 +159,7 @@ def _chunks(rows: DataFrame, chunk_bytes: int) -> DataFrame:
 
         def close() -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as out:
                 for batch in held:
                     out.write_batch(batch)
             held.clear()
@@ -241,7 +241,7 @@ def _rows(rows: list[tuple], *columns: tuple[str, pa.DataType]) -> pa.Table:
 
 
 def _tell(table: pa.Table) -> pa.Table:
-    """The counts over all chunks of the keys of a bucket that two texts or more hold, to each chunk that sent them."""
+    """To each chunk, which of the keys it sent two texts or more hold, and their counts over all chunks."""
     rows = table.to_pylist()
     keys = np.concatenate([np.cumsum(_expand(r["keys"], "<u8"), dtype=np.uint64) for r in rows])
     counts = np.concatenate([_expand(r["counts"], "<i8").reshape(-1, 2) for r in rows])
@@ -257,12 +257,17 @@ def _tell(table: pa.Table) -> pa.Table:
     del counts, order
     out, at = [], 0
     for r in rows:
-        own = np.flatnonzero(shared[at : at + r["n"]]) + at
-        if len(own):
-            steps = np.diff(keys[own], prepend=np.uint64(0))
-            out.append((r["chunk"], r["bucket"], len(own), _shrink(steps), _shrink(sums[place[own]])))
+        own = shared[at : at + r["n"]]
+        marks = zstandard.ZstdCompressor(level=1).compress(np.packbits(own).tobytes())
+        out.append((r["chunk"], r["bucket"], r["n"], marks, _shrink(sums[place[np.flatnonzero(own) + at]])))
         at += r["n"]
-    return _rows(out, ("chunk", pa.int64()), ("bucket", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()))
+    return _rows(out, ("chunk", pa.int64()), ("bucket", pa.int32()), ("n", pa.int32()), ("shared", pa.binary()), ("counts", pa.binary()))
+
+
+def _marks(row: dict) -> np.ndarray:
+    """Which of the keys a chunk sent to a bucket are shared."""
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["shared"]), np.uint8)
+    return np.unpackbits(raw, count=row["n"]).astype(bool)
 
 
 def _weigh(table: pa.Table, told: pa.Table, bits: list[int], totals: list, good: np.ndarray, split: int) -> np.ndarray:
@@ -273,11 +278,15 @@ def _weigh(table: pa.Table, told: pa.Table, bits: list[int], totals: list, good:
         own = [r for r in answers if r["bucket"] >> split == part]
         if not own:
             continue
-        known = np.concatenate([np.cumsum(_expand(r["keys"], "<u8"), dtype=np.uint64) for r in own])
+        # The chunk's distinct keys are those it sent, in the same order: marks and counts need no keys.
+        shared = np.concatenate([_marks(r) for r in own])
         sums = np.concatenate([_expand(r["counts"], "<i8").reshape(-1, 2) for r in own])
         size = np.bincount(row, weights=n, minlength=len(out)).astype(np.int64)
-        place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        hit = known[place] == keys
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        key = np.cumsum(new) - 1
+        hit = shared[key]
+        place = (np.cumsum(shared) - 1)[key]
         row, n, place = row[hit], n[hit], place[hit]
         mine = is_good[row]
         raw, target = sums[place, 0] - n, sums[place, 1] - n * mine
