@@ -58,6 +58,22 @@ def test_files_of_odd_rows(make_docs):
     assert pfor.round_trip(make_docs(), BYTES, 2).count() == 0
 
 
+def test_a_doc_id_of_a_third_of_rows_fills_many_shards(spark, tmp_path):
+    n, kind = 3000, F.col("id") % 3
+    doc_id = F.when(kind == 0, 700).when(kind == 1, 2000).otherwise(F.col("id"))
+    text = F.when(kind == 1, "the same row").otherwise(F.concat(F.lit("row "), "id"))
+    docs = spark.range(n).select(doc_id.alias("doc_id"), text.alias("text"))
+    path = str(tmp_path / "hot")
+    pfor.write(docs, path, BYTES, 2, shard_bytes=2000)
+    held = spark.read.parquet(path).select("shard", F.explode("doc_ids").alias("doc_id"))
+    assert {r.doc_id: r.n > 3 for r in held.where("doc_id in (700, 2000)").groupBy("doc_id").agg(F.countDistinct("shard").alias("n")).collect()} == {700: True, 2000: True}
+    rows = sorted((r.start, r.doc_id, r.n_tokens) for r in pfor.read(spark, path).collect())
+    assert [i for _, i, _ in rows] == sorted(r.doc_id for r in docs.collect())
+    assert all(a + k == b for (a, _, k), (b, _, _) in zip(rows, rows[1:], strict=False))
+    plain = Tokenizer.from_file(BYTES)
+    assert sum(k for _, _, k in rows) == sum(len(plain.encode(r.text).ids) + 1 for r in docs.collect())
+
+
 def test_limits(documents, make_docs):
     plain = Tokenizer.from_file(BYTES)
     sizes = [len(plain.encode(r.text, add_special_tokens=False).ids) for r in documents.collect()]

@@ -140,9 +140,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_bytes:
     """Write the ids of every whole text, each followed by ``end_id``, in ascending doc_id order.
 
     ``docs`` has doc_id and text; other columns are ignored. A null text counts as empty; rows
-    without a doc_id come first; rows that share one are in the order of their texts. The folder
-    holds Parquet files of ``SEGMENTS``; ``first`` counts the ids before a segment in its shard.
-    Shards are ranges of doc_id; the texts are shuffled once, the ids never.
+    without a doc_id come first; rows that share one are in the order of a hash of their texts. The
+    folder holds Parquet files of ``SEGMENTS``; ``first`` counts the ids before a segment in its shard.
+    Shards are ranges of doc_id, and of hash and place within one, so that a doc_id or a row that
+    a third of all rows repeat fills many shards. The texts are shuffled once, the ids never.
     """
     rows = texts_of(docs).select("doc_id", "text")
     shards = max(1, -(-text_bytes(rows) // shard_bytes), _cores(docs.sparkSession))
@@ -184,10 +185,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_bytes:
         if held:
             yield close()
 
+    order = ["doc_id", "hash", "place"]
     (
-        rows.repartitionByRange(shards, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
-        .withColumn("shard", F.spark_partition_id())
+        rows.withColumns({"hash": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+        .repartitionByRange(shards, *order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text", F.spark_partition_id().alias("shard"))
         .mapInArrow(segments, SEGMENTS)
         .write.mode("overwrite")
         .parquet(path)
