@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import query, table
+from catalog import query, scratch, table
 from catalog.discovery import CLEAN_SQL
 from winnow.functions import text as X
 from winnow.functions.nodes import page_text
 from winnow.operators.state import apply_details, raw_pages
 from winnow.sources.html import html_nodes
+from winnow.sources.page_index import open_index
 
 _UNESCAPED = r"""replace(replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '&amp', '&')"""
 
@@ -129,6 +132,20 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("id", "apply_url", "description", "status", "raw_path")
 
 
+@query(
+    "apply_details_index",
+    f"WITH {_VISIT_SQL} SELECT id, apply_url, description, status, raw_path FROM done",
+)
+def details_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``apply_details``, by an index that took in the pages in two batches, the later ones first."""
+    pages = detail_pages(spark, sf_dir)
+    index = open_index(spark, scratch(spark), f"pages_{uuid4().hex}", buckets=16)
+    for later in (True, False):
+        index.add(pages.where((F.col("page_id") % 2 == 0) == F.lit(later)))
+    done = apply_details(visit_jobs(spark, sf_dir), pages, index=index)
+    return done.select("id", "apply_url", "description", "status", "raw_path")
+
+
 _HTML_SQL = """'<html><head><title>' || p_brand || '</title><script>if (a<b) x(''</p>'');</script></head><body><!-- no --><ul><li>' || chr(160)
   || p_name || chr(9) || '<li><b>Size</b>: ' || p_size
   || ' &lt;mm&gt;</ul><template><p>hidden</p></template><p> ' || chr(160) || ' </p>R&amp;D <i>' || p_type || '</i><style>p{}</style>'"""

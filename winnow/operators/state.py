@@ -14,6 +14,7 @@ from winnow.functions.text import raw_filename
 from winnow.functions.urls import job_id
 from winnow.schemas import JOBS
 from winnow.sources.html import html_nodes
+from winnow.sources.page_index import PageIndex
 from winnow.sources.tables import stored
 
 
@@ -114,38 +115,49 @@ def pending_details(jobs: DataFrame) -> DataFrame:
     return jobs.where(is_pending())
 
 
-def fetched_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
+def _firsts(pages: DataFrame, index: PageIndex | None, urls: DataFrame | None = None) -> DataFrame:
+    """url and page_id of the first copy of each address, or of those of ``urls``."""
+    if index is not None:
+        return index.firsts() if urls is None else index.first_copies(urls)
+    firsts = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    return firsts if urls is None else firsts.join(urls.distinct(), "url", "left_semi")
+
+
+def fetched_pages(jobs: DataFrame, pages: DataFrame, index: PageIndex | None = None) -> DataFrame:
     """The page of each pending address: its first copy, by ``page_id``.
 
     Copies are settled on two narrow columns, and many rows that point at one page are
     folded first; the markup is read once, for pages in use. Their numbers are stored, so that
     Spark knows their size before it reads any markup: few enough are broadcast, and the markup
-    is scanned where it lies; more are matched in one shuffle.
+    is scanned where it lies; more are matched in one shuffle. With an ``index`` of the pages
+    their addresses are not grouped anew: only the wanted ones are shuffled.
     """
-    wanted = pending_details(jobs).select(F.col("apply_url").alias("url")).distinct()
-    firsts = (
-        pages.groupBy("url")
-        .agg(F.min("page_id").alias("page_id"))
-        .join(wanted, "url", "left_semi")
-    )
-    firsts = stored(firsts.select("page_id"))
+    wanted = pending_details(jobs).select(F.col("apply_url").alias("url"))
+    firsts = stored(_firsts(pages, index, wanted).select("page_id"))
     return pages.join(firsts, "page_id", "left_semi").where(F.col("html").isNotNull())
 
 
-def pending_with_page(jobs: DataFrame, pages: DataFrame) -> DataFrame:
-    """Ids of the pending rows whose page may have arrived; no markup is read but for its presence."""
-    arrived = pages.where(F.col("html").isNotNull()).select(F.col("url").alias("apply_url"))
+def pending_with_page(jobs: DataFrame, pages: DataFrame, index: PageIndex | None = None) -> DataFrame:
+    """Ids of the pending rows whose page may have arrived; no markup is read but for its presence.
+
+    With an ``index`` none is read at all, so rows whose page has no markup count as well.
+    """
+    arrived = pages.where(F.col("html").isNotNull()) if index is None else index.firsts()
+    arrived = arrived.select(F.col("url").alias("apply_url"))
     return pending_details(jobs).select("id", "apply_url").join(arrived, "apply_url", "left_semi").select("id")
 
 
-def apply_details(jobs: DataFrame, pages: DataFrame, raw_dir: str = "data/raw_jobs") -> DataFrame:
+def apply_details(
+    jobs: DataFrame, pages: DataFrame, raw_dir: str = "data/raw_jobs", index: PageIndex | None = None
+) -> DataFrame:
     """Pending rows whose page has arrived get its text and become ``scraped``.
 
     Rows without a page, or with one that cannot be scanned, stay as they are. Each page is
-    scanned once, before the join, however many rows point at it.
+    scanned once, before the join, however many rows point at it. Pages that an ``index`` does not have
+    yet have not arrived.
     """
     texts = (
-        html_nodes(fetched_pages(jobs, pages), "url", attributes=())
+        html_nodes(fetched_pages(jobs, pages, index), "url", attributes=())
         .where(F.col("error").isNull())
         .select("url", page_text(F.col("nodes")).alias("text"))
     )
@@ -167,9 +179,9 @@ def apply_details(jobs: DataFrame, pages: DataFrame, raw_dir: str = "data/raw_jo
     return done.unionByName(rest)
 
 
-def raw_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
+def raw_pages(jobs: DataFrame, pages: DataFrame, index: PageIndex | None = None) -> DataFrame:
     """``(company, raw_path, html)`` of the rows whose page is kept under ``raw_path``."""
-    firsts = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    firsts = _firsts(pages, index)
     used = jobs.where(F.col("raw_path").isNotNull()).join(
         firsts, F.col("apply_url") == firsts["url"]
     )

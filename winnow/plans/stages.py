@@ -34,6 +34,7 @@ from winnow.plans.application import ingest_responses
 from winnow.plans.discovery import discovery_metrics, dispatch, in_target_order
 from winnow.schemas import JOBS
 from winnow.sources.logs import read_log_lines
+from winnow.sources.page_index import PageIndex
 from winnow.sources.tables import Version, buckets_of, land, newest, read_latest, read_version, stored, write_next
 
 # Stages look at few statuses; as partitions the others are not read.
@@ -107,22 +108,23 @@ def run_discovery(
     return Discovered(discovery_metrics(listings, added, visited=visited), scan_errors(scanned))
 
 
-def run_details(pages: DataFrame, root: str, raw: str | None = None) -> int:
+def run_details(pages: DataFrame, root: str, raw: str | None = None, index: PageIndex | None = None) -> int:
     """Give pending rows their page's text; with ``raw``, keep the markup there as well.
 
     The markup is written first: a run that is cut off leaves its rows pending, and the next one
     writes the markup of the same version anew. Rows are stored before that, so pages are scanned once.
+    With an ``index`` that has taken in the pages, their addresses are not shuffled in every run.
     """
     spark = pages.sparkSession
     seen, jobs = _seen(spark, root)
-    touched = pending_with_page(jobs, pages)
+    touched = pending_with_page(jobs, pages, index)
     if raw is None:
-        return _write(spark, root, seen, touched, lambda rows: apply_details(rows, pages))
+        return _write(spark, root, seen, touched, lambda rows: apply_details(rows, pages, index=index))
 
     def make(rows: DataFrame) -> DataFrame:
-        done = stored(apply_details(rows, pages))
+        done = stored(apply_details(rows, pages, index=index))
         now = done.join(pending_details(rows).select("id"), "id", "left_semi")
-        write_raw_pages(raw_pages(now, pages), f"{raw}/version={seen.number + 1}")
+        write_raw_pages(raw_pages(now, pages, index), f"{raw}/version={seen.number + 1}")
         return done
 
     return _write(spark, root, seen, touched, make)

@@ -80,7 +80,7 @@ class Version:
         return int(next(iter(self.buckets)).split("-")[1]) if self.buckets else BUCKETS
 
 
-def _children(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+def children(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     """Names and paths of what is in a folder, if there is one."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -91,7 +91,7 @@ def _children(spark: SparkSession, root: str) -> list[tuple[str, str]]:
 def _numbered(spark: SparkSession, root: str) -> tuple[dict[tuple[int, int, str], str], dict[int, str]]:
     """Paths of the versions, by number, last batch in them and sort, and of the batches, by number."""
     versions, batches = {}, {}
-    for name, at in _children(spark, root):
+    for name, at in children(spark, root):
         if m := re.fullmatch(r"([uv])=(\d+)(?:\.b(\d+))?", name):
             versions[int(m[2]), int(m[3] or 0), m[1]] = at
         elif m := re.fullmatch(r"batch=(\d+)", name):
@@ -100,7 +100,7 @@ def _numbered(spark: SparkSession, root: str) -> tuple[dict[tuple[int, int, str]
 
 
 def _bucket_names(spark: SparkSession, folder: str) -> list[str]:
-    return [name.removeprefix(f"{BUCKET}=") for name, _ in _children(spark, folder) if name.startswith(f"{BUCKET}=")]
+    return [name.removeprefix(f"{BUCKET}=") for name, _ in children(spark, folder) if name.startswith(f"{BUCKET}=")]
 
 
 def _is_committed(spark: SparkSession, path: str) -> bool:
