@@ -3,6 +3,7 @@
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,51 @@ def test_fewer_vectors_than_k_over_several_levels(spark, n, k, shard):
     assert sorted(map(tuple, found.collect())) == sorted(want)
 
 
+def heavy_tailed(spark, n, width, seed):
+    draw = random.Random(seed)
+    size = lambda: int(draw.choice([-1, 1]) * draw.paretovariate(0.6))
+    vectors = [[min(size(), 5000) for _ in range(width)] for _ in range(n)]
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    return vectors, frame
+
+
+def best(vectors, q, k):
+    scores = sorted((-sum(a * b for a, b in zip(vectors[q], v, strict=True)), i) for i, v in enumerate(vectors) if i != q)
+    return [(i, -s) for s, i in scores[:k]]
+
+
+def test_queries_pass_through_shards_in_spans_and_blocks(spark):
+    vectors, frame = heavy_tailed(spark, 300, 7, 1)
+    stored = topk.stored(topk.quantised(frame, 1))
+    index = topk.stored(topk.build_index(stored, 40))
+    found = topk.search(index, stored.where("vec_id % 4 = 0"), 5, block=3, span=10)
+    want = [(q, r + 1, i, s) for q in range(0, 300, 4) for r, (i, s) in enumerate(best(vectors, q, 5))]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_most_queries_stop_on_proof(spark):
+    vectors, frame = heavy_tailed(spark, 2000, 8, 2)
+    index = topk.build_index(topk.stored(topk.quantised(frame, 1)))
+    held = topk._Shard(index.drop("shard").toArrow().to_batches())
+    ask = list(range(0, 2000, 50))
+    found = {}
+    for query_id, ids, scores in held.top(np.array(ask), np.array([vectors[q] for q in ask]), 5):
+        found[query_id] = list(zip(ids.tolist(), scores.astype(int).tolist(), strict=True))
+    assert found == {q: best(vectors, q, 5) for q in ask}
+    assert held.proven > len(ask) // 2
+    assert len(held.layers) > 5
+
+
+def test_equal_vectors_part(spark):
+    """A third of all rows are one row: it does not fill one shard."""
+    frame = spark.range(0, 3000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 7, id) as vec_id", "array(double(if(id % 3 = 0, 7, id)), 1D) as embedding"
+    )
+    index = topk.stored(topk.build_index(topk.stored(topk.quantised(frame, 1)), 300))
+    sizes = [len(r.vec_ids) // 8 for r in index.where("level = -1").collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 450
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")

@@ -4,28 +4,34 @@ Vectors are integers. The index holds postings: for each shard of vectors, impac
 the vectors whose component there has that level, and the components. Levels are powers of two of the
 component's size, so segments come in descending quantised impact.
 
-A block of queries works through a shard's segments from the highest level down and adds to every
-candidate's score. After a level, what a candidate may still gain or lose is at most the norm of its
-postings to come times the query's norm. The k-th largest score that is certain is a bound: once few
-enough candidates can still reach it, or no segment is left, processing stops, and every candidate that
-can reach it is scored exactly from its whole vector. Stopping early costs nothing in exactness.
+Queries work through a shard's segments from the highest level down and add to the scores of the
+candidates that have postings there. After a level, what a candidate may still gain or lose is at most
+the norm of its postings to come times the query's norm. The k-th largest score that is certain is a
+bound: once few enough candidates can still reach it, the query is done with the shard, and every
+candidate that can reach it is scored exactly from its whole vector; else it goes on until no segment is
+left. Stopping early costs nothing in exactness.
+
+A task holds one shard and lets a span of queries pass through it in blocks, so the index is sent once
+a span, the queries once a shard, and no more than a shard and a block is in memory.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from winnow.llm.shared import stored
+from winnow.llm.shared import stored, texts_of
 
-#: Vectors of a shard and queries of a block, about: what one task holds.
-SHARD, BLOCK = 16_384, 512
+#: Vectors of a shard and queries of a block, about: what one task holds. Queries of a task, about.
+SHARD, BLOCK, SPAN = 16_384, 512, 16_384
 SCALE = 64
 
 POSTINGS = T.StructType(
@@ -54,15 +60,11 @@ def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 def _matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    rows = vectors.to_pylist()
-    width = max((len(r) for r in rows), default=0)
-    out = np.zeros((len(rows), width), np.int64)
-    sizes = {len(r) for r in rows}
-    if len(sizes) == 1:
-        out[:] = rows
-    else:
-        for i, r in enumerate(rows):
-            out[i, : len(r)] = r
+    """Rows of integers, the shorter ones filled up with noughts."""
+    rows = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    sizes = pc.list_value_length(rows).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.zeros((len(rows), int(sizes.max(initial=0))), np.int64)
+    out[np.arange(out.shape[1])[None, :] < sizes[:, None]] = rows.flatten().to_numpy()
     return out
 
 
@@ -72,9 +74,13 @@ def _levels(values: np.ndarray) -> np.ndarray:
 
 
 def build_index(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
-    """Posting segments of every vector, in ``POSTINGS``; store them before they are read twice."""
+    """Posting segments of every vector, in ``POSTINGS``; store them before they are read twice.
+
+    ``vectors`` is a stored table: rows are dealt by their place in it, so that many equal ones part.
+    """
     shards = max(1, -(-vectors.count() // shard))
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
+    place = F.xxhash64("vec_id", F.monotonically_increasing_id())
+    dealt = vectors.withColumn("shard", F.pmod(place, F.lit(shards)).cast("int"))
 
     def post(table: pa.Table) -> pa.Table:
         number = table["shard"][0].as_py()
@@ -101,21 +107,38 @@ _KINDS = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
 
 
 class _Shard:
-    """A shard's segments as one sparse layer per level, highest first."""
-
-    def __init__(self, postings: list[dict]) -> None:
-        head = next(p for p in postings if p["level"] == -1)
-        self.ids = np.frombuffer(head["vec_ids"], "<i8")
-        n, width = len(self.ids), head["dim"]
+    """A shard's segments by level, highest first: of each level, the rows and dimensions that have postings."""
+
+    def __init__(self, postings: list[pa.RecordBatch]) -> None:
+        levels: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+        for batch in postings:
+            columns = (batch.column(name).to_pylist() for name in ("level", "dim", "vec_ids", "impacts"))
+            for level, dim, at, impacts in zip(*columns, strict=True):
+                if level < 0:
+                    self.ids, width = np.frombuffer(at, "<i8"), dim
+                else:
+                    levels.setdefault(level, []).append(
+                        (dim, np.frombuffer(at, "<i4"), np.frombuffer(impacts, "<i8"))
+                    )
+        n = len(self.ids)
         self.values = np.zeros((n, width), np.int64)
-        self.layers: list[tuple[int, np.ndarray]] = []
-        for level in sorted({p["level"] for p in postings} - {-1}, reverse=True):
-            layer = np.zeros((n, width), np.int64)
-            for p in postings:
-                if p["level"] == level:
-                    layer[np.frombuffer(p["vec_ids"], "<i4"), p["dim"]] = np.frombuffer(p["impacts"], "<i8")
-            self.values += layer
-            self.layers.append((level, layer))
+        self.layers: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for level in sorted(levels, reverse=True):
+            segments = sorted(levels.pop(level), key=lambda segment: segment[0])
+            rows = np.unique(np.concatenate([at for _, at, _ in segments]))
+            layer = np.zeros((len(rows), len(segments)))
+            for j, (dim, at, impacts) in enumerate(segments):
+                layer[np.searchsorted(rows, at), j] = impacts
+                self.values[at, dim] = impacts
+            self.layers.append((rows, np.array([dim for dim, _, _ in segments]), layer))
+        # Squared norms of the postings to come after each layer, summed up from the last: no differences.
+        rest = np.zeros(n)
+        self.rests: list[np.ndarray] = []
+        for rows, _, layer in reversed(self.layers):
+            self.rests.insert(0, rest.copy())
+            rest[rows] += (layer * layer).sum(axis=1)
+        #: Queries that were done before the last layer.
+        self.proven = 0
 
     def top(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """query_id, vec_ids and scores of each query's k best here; all ties of the last are kept."""
@@ -123,32 +146,30 @@ class _Shard:
         if queries.shape[1] < width:
             queries = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
         queries = queries[:, :width]
-        largest = float(np.abs(queries).astype(float).sum(axis=1).max()) * max(1, int(np.abs(self.values).max(initial=0)))
-        exact = largest < 2**53
-        kind = np.float64 if exact else object
-        q = queries.astype(kind)
-        if not exact:
-            yield from self._all(query_ids, q @ self.values.astype(object).T, k)
+        sizes = np.abs(queries).astype(float).sum(axis=1).max(initial=0)
+        if sizes * max(1, int(np.abs(self.values).max(initial=0))) >= 2**53:
+            yield from self._all(query_ids, queries.astype(object) @ self.values.astype(object).T, k)
             return
+        q = queries.astype(np.float64)
         scores = np.zeros((len(q), n))
         norms = np.sqrt((q * q).sum(axis=1))
-        rest = (self.values.astype(np.float64) ** 2).sum(axis=1)
-        own = self.ids[None, :] == query_ids[:, None]
-        for i, (_, layer) in enumerate(self.layers):
-            part = layer.astype(np.float64)
-            scores += q @ part.T
-            rest -= (part * part).sum(axis=1)
-            slack = norms[:, None] * np.sqrt(np.maximum(rest, 0))[None, :] * (1 + 1e-9)
-            if i + 1 == len(self.layers):
-                break
-            if n <= k + 1:  # hardly more than k candidates: nothing to prove, but every level counts
+        for i, (rows, dims, layer) in enumerate(self.layers):
+            if not len(q):
+                return
+            scores[:, slice(None) if len(rows) == n else rows] += q[:, dims] @ layer.T
+            # With hardly more than k candidates there is nothing to prove, but every level counts.
+            if i + 1 == len(self.layers) or n <= k + 1:
                 continue
+            slack = norms[:, None] * np.sqrt(self.rests[i])[None, :] * (1 + 1e-9)
+            own = self.ids[None, :] == query_ids[:, None]
             certain = np.where(own, -np.inf, scores - slack)
             bound = np.partition(certain, n - k, axis=1)[:, n - k]
             possible = (scores + slack >= bound[:, None]) & ~own
-            if possible.sum() <= 4 * k * len(q):
-                yield from self._rescored(query_ids, q, possible, k)
-                return
+            few = possible.sum(axis=1) <= 4 * k
+            if few.any():
+                self.proven += int(few.sum())
+                yield from self._rescored(query_ids[few], q[few], possible[few], k)
+                query_ids, q, scores, norms = query_ids[~few], q[~few], scores[~few], norms[~few]
         # Every segment is done: the scores are exact.
         yield from self._all(query_ids, scores, k)
 
@@ -177,34 +198,46 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 _FOUND = "query_id long, vec_id long, score long"
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, span: int = SPAN) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k highest scores, ties to the smaller vec_id.
 
     ``queries`` has vec_id and vector; a query is no candidate of its own, by vec_id. Queries are dealt
-    into blocks; each block meets each shard of the index in a task of its own, so neither side is ever
-    whole in one place. A vec_id asks once: of several vectors with it the least one counts. With fewer
+    into spans; each span meets each shard of the index in a task of its own, where it passes through
+    in blocks. A vec_id asks once: of several vectors with it the least one counts. With fewer
     candidates, all are returned.
     """
-    queries = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    blocks = max(1, -(-queries.count() // block))
-    shards = [r.shard for r in index.where("level = -1").select("shard").distinct().collect()]
-    dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    asked = dealt.withColumn("shard", F.explode(F.lit(shards).cast("array<int>")))
-    told = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
-        if left.num_rows and right.num_rows:
-            held = _Shard(left.select(POSTINGS.names).to_pylist())
-            ids, vectors = right["vec_id"].to_numpy(), _matrix(right["vector"])
-            for query_id, vec_ids, scores in held.top(ids, vectors, k):
-                scores = np.array([int(s) for s in scores], np.int64)
-                out.append(np.column_stack([np.full(len(vec_ids), query_id), vec_ids, scores]))
-        rows = np.concatenate(out)
-        return pa.table([pa.array(rows[:, i], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
-
-    key = ["shard", "block"]
-    found = told.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(meet, _FOUND)
+    queries = texts_of(queries).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    spans = max(1, -(-queries.count() // span))
+    shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    told = index.withColumn("span", every(spans))
+    asked = queries.withColumn("span", F.pmod(F.xxhash64("vec_id"), F.lit(spans)).cast("int"))
+    asked = asked.withColumn("shard", every(shards))
+    task = (F.col("shard") * F.lit(spans) + F.col("span")).alias("task")
+    rows = told.select(task, F.lit(False).alias("asks"), *POSTINGS.names[1:]).unionByName(
+        asked.select(task, F.lit(True).alias("asks"), "vec_id", "vector"), allowMissingColumns=True
+    )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, postings = None, None, []
+        for batch in batches:
+            tasks, asks = batch["task"].to_numpy(), batch["asks"].to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero((np.diff(tasks) != 0) | (np.diff(asks.astype(int)) != 0)) + 1
+            for start, stop in itertools.pairwise([0, *turns.tolist(), len(tasks)]):
+                if at != tasks[start]:
+                    at, held, postings = tasks[start], None, []
+                if not asks[start]:
+                    postings.append(batch.slice(start, stop - start))
+                    continue
+                if postings:
+                    held, postings = _Shard(postings), []
+                for first in range(start, stop, block) if held else ():
+                    part = batch.slice(first, min(block, stop - first))
+                    yield _answers(held, part["vec_id"].to_numpy(), _matrix(part["vector"]), k)
+
+    # One task a partition, postings before queries.
+    placed = rows.repartitionById(shards * spans, F.col("task")).sortWithinPartitions("task", "asks")
+    found = placed.mapInArrow(meet, _FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -212,6 +245,15 @@ def search(index: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) ->
     )
 
 
+def _answers(held: _Shard, ids: np.ndarray, vectors: np.ndarray, k: int) -> pa.RecordBatch:
+    out = [np.zeros((0, 3), np.int64)]
+    for query_id, vec_ids, scores in held.top(ids, vectors, k):
+        scores = np.array([int(s) for s in scores], np.int64)
+        out.append(np.column_stack([np.full(len(vec_ids), query_id), vec_ids, scores]))
+    found = np.concatenate(out)
+    return pa.record_batch([pa.array(found[:, i], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
+
+
 def top_k(embeddings: DataFrame, queries, k: int, scale: int = SCALE, shard: int = SHARD) -> DataFrame:
     """Index all vectors and search with those that ``queries``, a condition on vec_id, picks."""
     vectors = stored(quantised(embeddings, scale))
