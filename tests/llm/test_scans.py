@@ -107,6 +107,19 @@ def brute_components(rows):
     return {i: least[label[fp]] for i, fp in rows}
 
 
+def test_a_dense_shard_is_split_until_its_trees_are_small(spark):
+    """All 16,384 fingerprints that share 50 bits: every one is linked, and no tree is large."""
+    nodes = spark.range(0, 1 << 14, 1, 8).selectExpr("(id << 20) | 5 as fp")
+    edges = simhash.stored(simhash.links(nodes, radius=1))
+    named = components.components(edges)
+    assert named.count() == 1 << 14 and named.select("label").distinct().count() == 1
+    sparse = nodes.where("bit_count(fp >> 20) % 2 = 0")  # any two differ in two bits or more
+    assert simhash.links(sparse, radius=1).count() == 0
+    edges = simhash.stored(simhash.links(sparse))
+    assert edges.where("bit_count(a ^ b) = 0").count() == 0
+    assert components.components(edges).select("label").distinct().count() == 1
+
+
 @pytest.mark.parametrize("shard", [simhash.SHARD, 3])
 def test_links_and_components(spark, shard):
     draw = random.Random(9)

@@ -5,8 +5,9 @@ Nodes that differ in no more than ``radius`` bits share at least two of ``radius
 so each node goes to one shard per pair of blocks, named by their values; a pair within the radius meets
 in at least one shard. A shard shares 32 bits of 64 if the radius is 2. One that holds more than
 ``SHARD`` nodes all the same, as texts from one template may make it, is split by pairs of blocks of the
-bits that its nodes need not share, in the same way: such a part shares 48 bits, so it has 65,536 nodes
-at most at any size of the corpus. The distinct fingerprints of a shard form a BK-tree: a child hangs at
+bits that its nodes need not share, in the same way, and a part that is still too large once more: such
+a part shares 56 bits, so it has 256 nodes at most at any size of the corpus, and one that is not split has
+``SHARD``. The distinct fingerprints of a shard form a BK-tree: a child hangs at
 the edge of its Hamming distance to the parent, and a search follows only edges whose distance is within
 the radius of its own. Links inside a shard are united there, so a shard sends at most one edge per
 member, however dense it is.
@@ -30,7 +31,9 @@ from winnow.llm.shared import fresh, stored, texts_of
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Nodes of a shard that is searched as it is; larger ones are split.
-SHARD = 1 << 16
+SHARD = 1 << 13
+#: How often nodes are dealt by pairs of blocks: all of them once, the parts that are too large again.
+_LEVELS = 3
 #: Shingle hashes that are unpacked to bits at once.
 _STEP = 1 << 16
 #: Stands for a missing doc_id, which comes after all others.
@@ -162,13 +165,10 @@ def links(nodes: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFra
         for batch in batches:
             if not len(batch):
                 continue
-            columns = [batch.column(i).to_numpy() for i in range(len(key_names))]
-            fps = batch.column(len(key_names)).to_numpy().view(np.uint64)
-            changes = np.zeros(len(batch), bool)
-            for c in columns:
-                changes[1:] |= c[1:] != c[:-1]
-            first = tuple(c[0] for c in columns)
-            changes[0] = first != key
+            keys, fps = batch["key"].to_numpy(), batch["fp"].to_numpy().view(np.uint64)
+            changes = np.ones(len(batch), bool)
+            changes[1:] = keys[1:] != keys[:-1]
+            changes[0] = keys[0] != key
             starts = np.flatnonzero(changes)
             out: list[tuple[int, int]] = []
             if not len(starts):
@@ -181,32 +181,37 @@ def links(nodes: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFra
             inner = (ends - starts)[:-1] > 1
             for a, b in zip(starts[:-1][inner].tolist(), ends[:-1][inner].tolist(), strict=True):
                 out += shard_links(fps[a:b].tolist(), radius)
-            held, key = fps[starts[-1] :].tolist(), tuple(c[-1] for c in columns)
+            held, key = fps[starts[-1] :].tolist(), keys[-1]
             yield edges(out)
         if len(held) > 1:
             yield edges(shard_links(held, radius))
 
-    keys, width = _shard_keys(F.col("fp"), 64, radius)
-    keyed = nodes.select("fp", F.explode(keys).alias("key")).select("key.*", "fp")
-    name = ["pair", "one", "two"]
-    large = keyed.groupBy(*name).agg(F.count("*").alias("n")).where(F.col("n") > shard)
-    large = stored(large.select(*name, F.lit(True).alias("large")))
-    parts, _ = _shard_keys(F.col("rest"), width, radius)
-    whole = F.array(F.struct(*(F.lit(-1).cast(t).alias(c) for c, t in _PART)))
-    parts = F.transform(parts, lambda k: F.struct(*(k[c].cast(t).alias(c) for c, t in _PART)))
-    split = keyed.join(large, name, "left").select(
-        *name, "fp", F.explode(F.when(F.col("large"), parts).otherwise(whole)).alias("part")
-    )
-    key_names = [*name, *(f"part_{c}" for c, _ in _PART)]
-    split = split.select(*name, *(F.col(f"part.{c}").alias(f"part_{c}") for c, _ in _PART), "fp")
-    dealt = split.repartition(*key_names).sortWithinPartitions(*key_names, "fp")
+    # A shard is named by a hash of all that its nodes share. Should two names coincide, their nodes are
+    # searched together, and every distance is worked out, so nothing is linked that should not be.
+    rows = nodes.select("fp", F.col("fp").alias("rest"), F.lit(0).cast("long").alias("key"), F.lit(True).alias("split"))
+    width = 64
+    for level in range(_LEVELS):
+        parts, left = _shard_keys(F.col("rest"), width, radius)
+        parts = F.transform(
+            parts,
+            lambda k: F.struct(
+                F.xxhash64(F.col("key"), k["pair"], k["one"], k["two"]).alias("key"),
+                k["rest"].cast("long").alias("rest"),
+                F.lit(True).alias("split"),
+            ),
+        )
+        if level:
+            sizes = rows.where("split").groupBy("key").agg(F.count("*").alias("n"))
+            large = stored(sizes.where(F.col("n") > shard).select("key", F.lit(True).alias("large")))
+            whole = F.array(F.struct(F.col("key"), F.col("rest"), F.lit(False).alias("split")))
+            rows = rows.join(large, "key", "left")
+            parts = F.when(F.col("large") & F.col("split"), parts).otherwise(whole)
+        rows = rows.select("fp", F.explode(parts).alias("part")).select("fp", "part.*")
+        width = left
+    dealt = rows.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
     return dealt.mapInArrow(search, "a long, b long")
 
 
-#: What names a part of a shard; all -1 for a shard that is not split.
-_PART = (("pair", "int"), ("one", "long"), ("two", "long"))
-
-
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Every row of ``docs`` as doc_id, fp and component_id.
 
