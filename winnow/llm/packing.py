@@ -4,8 +4,9 @@ Documents are encoded and cut into pieces no longer than a sequence. Pieces are
 partitions, and each is packed by best-fit decreasing. Dual-feasible functions give a lower bound on
 the sequences a partition needs: one that meets it is certified and keeps its sequences. Partitions
 with a gap exchange their pieces, and every certified one adds its emptiest sequence, which rounding up
-leaves: all of these are dealt anew into fewer partitions and packed again. A round that does not save
-a sequence is not taken.
+leaves: all of these are dealt anew into fewer partitions and packed again. That goes on until a round
+does not save a sequence, and that one is not taken. ``certificate`` holds the sequences used against the bound of
+all pieces at once, which follows from how many there are of each length.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from winnow.llm.shared import stored, texts_of
 from winnow.llm.tokens import encoder
 
 SEQUENCE = 2048
-#: Pieces of a partition, about; rounds of exchange at most.
-PARTITION, ROUNDS = 4000, 3
+#: Pieces of a partition, about.
+PARTITION = 4000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = f"{_PIECES}, part long, bin long, offset long, bins long, bound long, open boolean"
@@ -94,9 +95,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     up to half the capacity. Roundings: (k + 1) * length / capacity rounded down to k-ths, for k up
     to 20; whole values stay as they are.
     """
-    if not len(lengths):
-        return 0
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    return _bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity)
+
+
+def _bound_of_counts(counts: np.ndarray, capacity: int) -> int:
+    """``lower_bound`` of ``counts[n]`` pieces of each length n up to the capacity."""
     sizes = np.arange(capacity + 1)
     mass, many = np.cumsum(counts * sizes), np.cumsum(counts)
     a = np.arange(capacity // 2 + 1)
@@ -139,28 +142,45 @@ def _pack_round(rows: DataFrame, n: int, sequence: int) -> DataFrame:
 
 
 def pack(rows: DataFrame, sequence: int = SEQUENCE, partition: int = PARTITION) -> DataFrame:
-    """Give each piece (``pieces``) a sequence_id and an offset there. No rows: none come back."""
+    """Give each piece (``pieces``) a sequence_id and an offset there. No rows: none come back.
+
+    Each round deals the open pieces into fewer partitions, so the rounds come to an end.
+    """
     rows = stored(rows)
     names = rows.columns
-    done, n = [], max(1, -(-rows.count() // partition))
+    key = F.struct("part", "bin")
+    done, n, before = [], max(1, -(-rows.count() // partition)), 0
     packed = stored(_pack_round(rows, n, sequence))
-    for step in range(ROUNDS + 1):
-        key = F.struct("part", "bin")
+    while True:
         opened = packed.where("open")
         pool, old = opened.agg(F.count("*"), F.count_distinct(key)).first()
         fewer = max(1, min(n - 1, -(-pool // partition)))
         again = None
-        if step < ROUNDS and n > 1 and old > 1:
+        if n > 1 and old > 1:
             again = stored(_pack_round(opened.select(*names), fewer, sequence))
             if again.agg(F.count_distinct(key)).first()[0] >= old:
                 again = None
-        done.append((packed if again is None else packed.where("not open")).withColumn("step", F.lit(step)))
+        kept = packed if again is None else packed.where("not open")
+        done.append(kept.withColumn("part", F.col("part") + F.lit(before)))
         if again is None:
             break
-        packed, n = again, fewer
+        packed, before, n = again, before + n, fewer
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    # Parts and bins count up from 0: bins of a part stay below 2**28, as its pieces fit one task.
-    number = (F.col("part") * F.lit(1 << 28) + F.col("bin")) * F.lit(ROUNDS + 1) + F.col("step")
+    # Parts count on from round to round; bins of a part stay below 2**28, as its pieces fit one task.
+    number = F.col("part") * F.lit(1 << 28) + F.col("bin")
     return out.select(*names, number.alias("sequence_id"), "offset")
+
+
+def certificate(packed: DataFrame, sequence: int = SEQUENCE) -> tuple[int, int]:
+    """Sequences that ``packed`` uses, and how many its pieces need at least, however they are packed.
+
+    The driver gets one count for each length, so as many as a sequence has tokens at most. A second
+    figure equal to the first proves the packing best. No rows: none and none.
+    """
+    used = packed.select("sequence_id").distinct().count()
+    counts = np.zeros(sequence + 1, np.int64)
+    for length, many in packed.groupBy("length").count().collect():
+        counts[length] = many
+    return used, _bound_of_counts(counts, sequence)
