@@ -143,7 +143,7 @@ SELECT conv_id, turn, grp, count(*) AS n, md5(string_agg(w, ',' ORDER BY w)) AS
 def skills_of_a_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations against a vocabulary of all words of the documents, by language."""
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.explode(F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    words = F.explode_outer(F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))  # plain, it is worked out twice
     terms = table(spark, sf_dir, "documents").select(F.col("lang").alias("group"), words.alias("term")).distinct()
     found = skill_tags_joined(table(spark, sf_dir, "conversations"), ["conv_id", "turn"], "text", terms)
     return found.select(

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from winnow.operators.vocabulary import skill_tags, skill_tags_joined, term_table
+from winnow.operators.vocabulary import _prepared, skill_tags, skill_tags_joined, term_table
 
 TERMS = {
     "code": ["C++", "C", "c#", ".NET", "CI/CD", "node.js", "Python", "python", "R&D", "é", "É", "naïve bayes", "a  b", "++", "+", "--"],
@@ -59,3 +59,16 @@ def test_a_large_vocabulary_is_joined_and_not_walked(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
     assert got == {i: sorted((["t7"] if i % 3 == 0 else []) + [f"t{10 * i}"]) for i in range(6_000)}
+
+
+def test_terms_and_places_are_cut_once(spark):
+    """Terms are cut after they are told apart, texts once; spans, which no table's size tells of, are not broadcast."""
+    words = spark.range(300_000).select(F.lit("g").alias("group"), F.concat(F.lit("t"), F.col("id") % 60_000).alias("term")).distinct()
+    cut = _prepared(words)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in cut and "regexp_extract_all" not in cut.partition("Aggregate")[2].partition("\n")[2]
+    rows = spark.createDataFrame([(i, f"T{i} t{i}, t{i + 1}") for i in range(50)], "id int, text string")
+    found = skill_tags_joined(rows, ["id"], "text", words)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" not in plan.partition("Join")[2].partition("Generate")[0]
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.id: r.skills for r in found.collect()} == {i: sorted([f"t{i}", f"t{i + 1}"]) for i in range(50)}

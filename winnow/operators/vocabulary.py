@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from winnow import defaults
 from winnow.functions.text import contains_any, let, skill_hits
+from winnow.sources.tables import stored
 
 
 def skill_tags(
@@ -47,6 +48,9 @@ def role_rules(
     )
 
 
+#: Terms of so many bytes in all, at most, are sent to every task; a term has its text twice and some more.
+SENT_BYTES, TERM_BYTES = 1 << 20, 100
+
 _RUN = r"[\p{L}\p{N}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -75,9 +79,10 @@ def _span(cut: Column, start: Column, n: Column) -> Column:
 def _prepared(terms: DataFrame) -> DataFrame:
     """Terms by what stands between their first and last letter or digit, and the marks on either side of that.
 
-    Those of marks alone have no such part: they are found within runs of marks.
+    Those of marks alone have no such part: they are found within runs of marks. Terms that come more than
+    once are cut once: a distinct behind the cut would make the optimizer drop the one before it.
     """
-    own = terms.where(F.col("term") != "").select("group", "term", _cut(F.col("term")).alias("cut")).distinct()
+    own = terms.where(F.col("term") != "").select("group", "term").distinct().withColumn("cut", _cut(F.col("term")))
     n = F.size("cut.runs")
     core = F.when(n > 0, _span(F.col("cut"), F.lit(0), n)).otherwise(F.get("cut.gaps", F.lit(0)))
     return own.select(
@@ -87,20 +92,26 @@ def _prepared(terms: DataFrame) -> DataFrame:
     )
 
 
-def _places(cut: Column, counts: list[int], marks: list[int]) -> Column:
+def _places(cut: Column, counts: list[int], marks: list[int], heads: int, tails: int) -> Column:
     """All that may be a term: spans of as many runs as some term has, and as many marks in a row.
 
-    Each with the marks on either side, and whether the text begins, or ends, there.
+    Each with the marks on either side, as many as the longest ``heads`` and ``tails`` of terms and one more
+    tell apart, and whether the text begins, or ends, there; where no term looks at a side, it says nothing. Each
+    comes once a text: sorted, so n log n.
     """
     size = F.size(cut["runs"])
+    before, after = (lambda gap: F.right(gap, F.lit(heads + 1))), (lambda gap: F.left(gap, F.lit(tails + 1)))
 
     def spans(n: int) -> Column:
         starts = F.when(size >= n, F.sequence(F.lit(0), size - n)).otherwise(F.array().cast("array<int>"))
         return F.transform(
             starts,
             lambda i: F.struct(
-                _span(cut, i, F.lit(n)).alias("core"), F.get(cut["gaps"], i).alias("before"), F.get(cut["gaps"], i + n).alias("after"),
-                (i == 0).alias("opens"), (i + n == size).alias("closes"), F.lit(n).alias("n"),
+                _span(cut, i, F.lit(n)).alias("core") if n > 1 else F.get(cut["runs"], i).alias("core"),
+                (before(F.get(cut["gaps"], i)) if heads else F.lit("")).alias("before"),
+                (after(F.get(cut["gaps"], i + n)) if tails else F.lit("")).alias("after"),
+                ((i == 0) if heads else F.lit(False)).alias("opens"), ((i + n == size) if tails else F.lit(False)).alias("closes"),
+                F.lit(n).alias("n"),
             ),
         )
 
@@ -111,16 +122,22 @@ def _places(cut: Column, counts: list[int], marks: list[int]) -> Column:
             return F.transform(
                 starts,
                 lambda at: F.struct(
-                    F.substring(gap, at, F.lit(length)).alias("core"), F.substring(gap, F.lit(1), at - 1).alias("before"),
-                    F.substring(gap, at + length, F.length(gap)).alias("after"),
+                    F.substring(gap, at, F.lit(length)).alias("core"),
+                    before(F.substring(gap, F.lit(1), at - 1)).alias("before"),
+                    F.substring(gap, at + length, F.lit(tails + 1)).alias("after"),
                     (i == 0).alias("opens"), (i == size).alias("closes"), F.lit(0).alias("n"),
                 ),
             )
 
         return F.flatten(F.transform(cut["gaps"], within))
 
+    if counts == [1] and not (marks or heads or tails):  # plain words: told apart by a hash
+        nothing = (F.lit("").alias("before"), F.lit("").alias("after"), F.lit(False).alias("opens"), F.lit(False).alias("closes"))
+        return F.transform(F.array_distinct(cut["runs"]), lambda run: F.struct(run.alias("core"), *nothing, F.lit(1).alias("n")))
     found = [spans(n) for n in counts] + [of_marks(length) for length in marks]
-    return F.array_distinct(F.concat(*found))
+    return let(
+        F.sort_array(F.concat(*found)), lambda all_: F.filter(all_, lambda x, i: (i == 0) | (F.get(all_, i - 1) != x))
+    )
 
 
 def skill_tags_joined(rows: DataFrame, key: Iterable[str], text: str, terms: DataFrame) -> DataFrame:
@@ -128,22 +145,29 @@ def skill_tags_joined(rows: DataFrame, key: Iterable[str], text: str, terms: Dat
 
     The same hits as ``skill_tags`` gives, for a table ``(group, term)`` of any size: a text is cut once into
     spans of as many words as some term has, spans are joined to terms by what they say, and the marks on
-    either side are compared. Only spans and keys are shuffled, and where the terms are few Spark
-    broadcasts them instead. ``key`` names the columns that tell rows apart; rows that share one, null or
+    either side are compared. Only spans and keys are shuffled, and where the terms are few (``SENT_BYTES``) they
+    are broadcast instead. ``key`` names the columns that tell rows apart; rows that share one, null or
     not, count as one text. Null and empty texts have no spans, null and empty terms match none.
     """
     key = list(key)
-    prepared = _prepared(terms)
-    # As many numbers as there are lengths of terms.
-    sizes = prepared.select("n", F.when(F.col("n") == 0, F.length("core")).alias("marks")).distinct().collect()
+    prepared = stored(_prepared(terms))
+    # As many rows as there are lengths of terms.
+    sizes = (
+        prepared.groupBy("n", F.when(F.col("n") == 0, F.length("core")).alias("marks"))
+        .agg(F.max(F.length("head")).alias("head"), F.max(F.length("tail")).alias("tail"), F.sum(F.octet_length("term")).alias("size"), F.count("*").alias("terms"))
+        .collect()
+    )
     counts = sorted({r.n for r in sizes if r.n})
     marks = sorted({r.marks for r in sizes if not r.n})
+    heads, tails = max([r["head"] for r in sizes], default=0), max([r["tail"] for r in sizes], default=0)
     kept = [F.col(c).alias(f"key{i}") for i, c in enumerate(key)]
     if not counts and not marks:
         none = rows.limit(0).select(*kept, F.lit("").alias("group"), F.array().cast("array<string>").alias("skills"))
         return none.select(*[F.col(f"key{i}").alias(c) for i, c in enumerate(key)], "group", "skills")
     cut = rows.where(F.col(text) != "").select(*kept, _cut(F.col(text)).alias("cut"))
-    spans = cut.select(*[f"key{i}" for i in range(len(key))], F.explode(_places(F.col("cut"), counts, marks)).alias("p"))
+    spans = cut.select(*[f"key{i}" for i in range(len(key))], F.explode_outer(_places(F.col("cut"), counts, marks, heads, tails)).alias("p"))
+    # Outer, as the plain form makes the optimizer put all places together twice.
+    spans = spans.where("p is not null")
     # No letter or digit may touch the term: there is a mark more beside it, or the text ends there.
     head = (F.col("head") == "") & (F.col("n") > 0) | F.endswith("p.before", F.col("head")) & (
         (F.length("p.before") > F.length("head")) | F.col("p.opens")
@@ -151,6 +175,8 @@ def skill_tags_joined(rows: DataFrame, key: Iterable[str], text: str, terms: Dat
     tail = (F.col("tail") == "") & (F.col("n") > 0) | F.startswith("p.after", F.col("tail")) & (
         (F.length("p.after") > F.length("tail")) | F.col("p.closes")
     )
-    hits = spans.join(prepared, (F.col("p.core") == F.col("core")) & (F.col("p.n") == F.col("n"))).where(head & tail)
+    # Spans are far larger than the table they come from lets Spark guess, so it must not choose to broadcast them.
+    few = sum(2 * r["size"] + TERM_BYTES * r["terms"] for r in sizes) <= SENT_BYTES
+    hits = spans.join(prepared.hint("broadcast" if few else "merge"), (F.col("p.core") == F.col("core")) & (F.col("p.n") == F.col("n"))).where(head & tail)
     found = hits.groupBy(*[f"key{i}" for i in range(len(key))], "group").agg(F.array_sort(F.collect_set("term")).alias("skills"))
     return found.select(*[F.col(f"key{i}").alias(c) for i, c in enumerate(key)], "group", "skills")
