@@ -57,17 +57,21 @@ def files_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 _RANGE_BYTES = 64_000  # so that logs of any scale are read in many ranges
+_PART_LINES = 200_000  # of a part of a log, about: one task sorts them
 
 
 def written_logs(spark: SparkSession, sf_dir: str) -> str:
-    """Order lines as three log files, each in the order of its lines; large ones of two are errors."""
+    """Order lines as three logs, each in the order of its lines; large ones of two are errors.
+
+    A log is a folder of parts, ranges of its lines, so that no task sorts more than one of them.
+    """
     is_error = (F.col("l_quantity") >= 49) & (F.col("l_suppkey") % 3 != 2)
     line = F.concat_ws(" ", *[F.col(c).cast("bigint").cast("string") for c in _ORDER])
     path = f"{scratch(spark)}/logs"
+    lines = table(spark, sf_dir, "lineitem")
     (
-        table(spark, sf_dir, "lineitem")
-        .withColumn("file", F.col("l_suppkey") % 3)
-        .repartition(3, "file")
+        lines.withColumn("file", F.col("l_suppkey") % 3)
+        .repartitionByRange(-(-lines.count() // _PART_LINES) or 1, "file", *_ORDER)
         .sortWithinPartitions("file", *_ORDER)
         .select("file", F.when(is_error, F.concat(F.lit("! "), line)).otherwise(line).alias("value"))
         .write.partitionBy("file")
@@ -96,14 +100,14 @@ def _in_ranges(spark: SparkSession, make):
 
 
 def _file() -> Column:
-    return F.regexp_extract("file", r"/file=(\d+)/", 1).cast("bigint").alias("file")
+    return F.regexp_extract("file", r"/file=(\d+)$", 1).cast("bigint").alias("file")
 
 
 @query("log_errors_ranges", digest_sql(f"WITH {_WRITTEN_SQL}"))
 def ranges_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors of log files that are read in byte ranges, by many tasks each."""
     path = written_logs(spark, sf_dir)
-    found = _in_ranges(spark, lambda: stages.run_log_digest(spark, path, glob="*.txt"))
+    found = _in_ranges(spark, lambda: stages.run_log_digest(spark, path, glob="*.txt", parts=True))
     return found.select(_file(), "line_no", "kind", "line", "context")
 
 
@@ -116,7 +120,7 @@ def ranges_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = written_logs(spark, sf_dir)
 
     def make() -> DataFrame:
-        lines = read_log_lines(spark, path, glob="*.txt")
+        lines = read_log_lines(spark, path, glob="*.txt", parts=True)
         summed = lines.groupBy(_file()).agg(
             F.count("*").alias("n"), F.max("line_no").alias("last"), F.sum(F.col("line_no") * F.length("line")).alias("digest")
         )

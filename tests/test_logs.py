@@ -5,6 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import logs as catalog_logs
 from winnow.operators.logdigest import digest_files, digest_lines
 from winnow.plans import stages
 from winnow.sources.logs import log_lines, read_log_lines, read_logs
@@ -134,3 +135,35 @@ def test_lines_are_joined_to_ranges_by_broadcast(spark, tmp_path):
     with ranges_of(spark, 5_000):
         plan = read_log_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_parts_of_a_log(spark, tmp_path):
+    """The files of a folder, cut anywhere between lines, are one log in the order of their names."""
+    draw = random.Random(3)
+    logs = {f"log{i}": [draw.choice(["ok", "! e", "", "long " * 5]) if i else "fine" for _ in range(60)] for i in range(4)}
+    for name, lines in logs.items():
+        (tmp_path / name).mkdir()
+        edges = [0, *sorted(draw.sample(range(1, 60), 5)), 60]
+        for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            (tmp_path / name / f"part-{k}.log").write_text("".join(f"{x}\n" for x in lines[a:b]))
+    with ranges_of(spark, 40):
+        got = {k.rsplit("/", 1)[1]: v for k, v in digests(stages.run_log_digest(spark, str(tmp_path), parts=True)).items()}
+    assert got == {name: sorted(expected(lines)) for name, lines in logs.items()}
+
+
+def test_no_task_sorts_a_whole_log(spark, tmp_path, monkeypatch):
+    """Logs are written in ranges of their lines, and numbered and digested as if each were one file."""
+    monkeypatch.setattr(catalog_logs, "_PART_LINES", 100, raising=False)
+    rows = [(i * 7 % 900, i % 4, i % 31, i % 11 if i % 9 else 4, float(i % 51), float(i)) for i in range(2_000)]
+    spark.createDataFrame(rows, ", ".join(f"{c} {'double' if k > 3 else 'long'}" for k, c in enumerate(catalog_logs._ORDER))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = {f: [] for f in range(3)}
+    for r in sorted(rows):
+        want[r[3] % 3].append("! " * (r[4] >= 49 and r[3] % 3 != 2) + " ".join(str(int(x)) for x in r))
+    path = catalog_logs.written_logs(spark, str(tmp_path))
+    sizes = [r["count"] for r in spark.read.text(path, pathGlobFilter="*.txt").groupBy("file", F.col("_metadata.file_path")).count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 300 and sum(sizes) == len(rows)
+    assert digests(catalog_logs.ranges_digest(spark, str(tmp_path))) == {f: expected(lines) for f, lines in want.items()}
+    counted = catalog_logs.ranges_lines(spark, str(tmp_path)).collect()
+    assert {r.file: (r.n, r["last"], r.digest) for r in counted} == {
+        f: (len(x), len(x) - 1, sum(i * len(line) for i, line in enumerate(x))) for f, x in want.items()
+    }

@@ -168,9 +168,12 @@ def run_update(updates: DataFrame, root: str, columns: Iterable[str], *, where:
     return _write(spark, root, seen, updates, lambda rows: update_by_key(rows, updates, columns, where=where, order=order))
 
 
-def run_log_digest(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
-    """Errors, or else the last lines, of the log files below ``path``, however large."""
-    return digest_lines(read_log_lines(spark, path, glob))
+def run_log_digest(spark: SparkSession, path: str, glob: str = "*.log", parts: bool = False) -> DataFrame:
+    """Errors, or else the last lines, of the log files below ``path``, however large.
+
+    With ``parts`` the files of a folder are one log, in the order of their names.
+    """
+    return digest_lines(read_log_lines(spark, path, glob, parts))
 
 
 def run_reset(spark: SparkSession, root: str) -> int:

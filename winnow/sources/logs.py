@@ -33,9 +33,11 @@ def log_lines(files: DataFrame) -> DataFrame:
     )
 
 
-def read_log_lines(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
+def read_log_lines(spark: SparkSession, path: str, glob: str = "*.log", parts: bool = False) -> DataFrame:
     """``(file, line_no, line)`` of log files of any size, numbered from 0; each is read in byte ranges.
 
+    With ``parts`` the files of a folder are one log, in the order of their names, and ``file`` is the folder.
+
     Lines end in a line feed, a carriage return or both; one that crosses the end of a range belongs to the
     range it starts in. Bytes that are not UTF-8 are replaced, a byte order mark is dropped. A file without
     any line has no row.
@@ -55,7 +57,9 @@ def read_log_lines(spark: SparkSession, path: str, glob: str = "*.log") -> DataF
         .withColumn("place", F.monotonically_increasing_id())
     )
     ranges = lines.groupBy("file", "range").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    earlier = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    folder = F.regexp_extract("file", r"^(.*)/[^/]*$", 1)
+    log = folder if parts else F.col("file")
+    earlier = Window.partitionBy(log).orderBy("file", "range").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
-    shifts = stored(ranges.select("file", "range", shift.alias("shift")))
-    return lines.join(shifts, ["file", "range"]).select("file", (F.col("place") + F.col("shift")).alias("line_no"), "line")
+    shifts = stored(ranges.select("file", "range", log.alias("log"), shift.alias("shift")))
+    return lines.join(shifts, ["file", "range"]).select(F.col("log").alias("file"), (F.col("place") + F.col("shift")).alias("line_no"), "line")
