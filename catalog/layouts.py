@@ -16,6 +16,7 @@ from winnow.operators import profiles as P
 from winnow.operators.extract import extract
 from winnow.plans.discovery import discover
 from winnow.sources.html import html_nodes
+from winnow.sources.tables import stored
 
 ROLES = ("widget", "gear", "rod", "red")
 ROLE_SQL = "regexp_matches(lower(title), 'widget|gear|rod|red')"
@@ -227,6 +228,7 @@ def discover_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DEEP_SQL = "1001 + p_partkey % 500"
+_DEEP_PAGES = 500  # of a task, about: some 7 MB of markup
 
 
 @query(
@@ -243,7 +245,9 @@ def deep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"><h4>'), F.col("p_name"), F.lit('</h4></a></ul></section>'), F.repeat(F.lit("</div>"), levels),
         F.lit('<li class="opening-job">'),
     )
-    pages = table(spark, sf_dir, "part").select(
+    # A row becomes some 14 kB of markup, so the rows of one small file are dealt out before.
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    pages = parts.repartition(-(-parts.count() // _DEEP_PAGES) or 1).select(
         F.col("p_partkey").alias("page_id"), F.lit("https://x.io").alias("url"), html.alias("html")
     )
     profile = replace(P.SMARTRECRUITERS, roles=None)
@@ -252,7 +256,8 @@ def deep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id",
         (F.array_max(F.transform("nodes", lambda n: n["depth"])) - 4).cast("bigint").alias("depth"),
     )
-    return found.join(depths, "page_id").select("page_id", "pos", "title", "url", "depth")
+    # Stored, so that no scan has to end within the time limit of a broadcast.
+    return stored(found).join(stored(depths), "page_id").select("page_id", "pos", "title", "url", "depth")
 
 
 def _item_markup(item: Column) -> Column:

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from catalog import layouts
 from winnow.functions import nodes as N
 from winnow.operators import profiles as P
 from winnow.operators.extract import extract
@@ -311,3 +312,21 @@ def test_rows_of_many_links_take_linear_time(spark):
         seconds(100, nested)
         few, many = seconds(2_500, nested), seconds(10_000, nested)
         assert many < 8 * few + 1, (nested, few, many)
+
+
+def test_deep_pages_of_one_small_file_are_dealt_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layouts, "_DEEP_PAGES", 3, raising=False)
+    parts = [(i, f"name {i}") for i in range(30)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    scanned, scan = [], layouts.html_nodes
+
+    def counted(pages, *args, **kwargs):
+        scanned.append(pages.rdd.getNumPartitions())
+        return scan(pages, *args, **kwargs)
+
+    monkeypatch.setattr(layouts, "html_nodes", counted)
+    monkeypatch.setattr("winnow.operators.extract.html_nodes", counted)
+    found = layouts.deep_pages(spark, str(tmp_path))
+    rows = sorted(tuple(r) for r in found.collect())
+    assert rows == [(i, 1003 + i, f"name {i}", f"https://careers.smartrecruiters.com/{i}", 1002 + i) for i in range(30)]
+    assert scanned == [10, 10]
