@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -69,3 +70,28 @@ def test_rows_of_one_labelled_id(spark, make_docs):
     ids = quality.labelled_ids(labels)
     rows = quality._scored(docs, ids[1], ["doc_id"], 1 << 12, 1000)
     assert rows.count() == 900 and isinstance(quality._cut(rows, rows.columns[-1], ids), float)
+
+
+def test_a_chunk_is_weighed_in_stretches(monkeypatch):
+    """The same weights whatever the stretch, and far less memory than all keys at once take."""
+    draw = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 30_000, 2_500)) for _ in range(400)]
+    rows = pa.table({quality._ID: pa.array(range(400), pa.int64()), quality._TEXT: texts})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    packed = pa.table({"chunk": pa.array([0], pa.int64()), "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+    good, bits = np.arange(0, 400, 3), [24, 20]
+    told = quality._tell(quality._send(packed, bits, good, 0).slice(0, 1))
+
+    def weighed(stretch):
+        monkeypatch.setattr(quality, "STRETCH", stretch, raising=False)
+        tracemalloc.start()
+        try:
+            return quality._weigh(rows, told, bits, [(10**6, 10**5)] * 2, good, 0).tolist(), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    (all_at_once, whole), (few, least) = weighed(1 << 30), weighed(1_000)
+    assert few == all_at_once and len(set(few)) > 300
+    assert least < 0.9 * whole, (least, whole)

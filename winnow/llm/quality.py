@@ -32,6 +32,8 @@ from winnow.llm.shared import fresh, shuffle_partitions, stored, text_bytes, tex
 
 #: Text of a chunk, its rows, and keys of a bucket, about. All stay in one task's memory.
 CHUNK_BYTES, CHUNK_ROWS, BUCKET_KEYS = 8 << 20, 1 << 15, 4_000_000
+#: Keys of a chunk that are weighed at once.
+STRETCH = 1 << 18
 #: Least hashes that the number of distinct n-grams is estimated from.
 SKETCH = 4096
 #: Labelled rows of either class that are looked at, at most: those with the least hash of the doc_id.
@@ -182,10 +184,10 @@ def _unpacked(table: pa.Table) -> pa.Table:
     return pa.ipc.open_stream(rows).read_all()
 
 
-def _counted(table: pa.Table, bits: list[int]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _counted(table: pa.Table, bits: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per sort of n-grams: key, row and count of each key in each text of a chunk, by key and then by row.
 
-    Key and row are sorted as one number.
+    Key and row are sorted as one number. One sort is unpacked at a time.
     """
     room = max(1, (table.num_rows - 1).bit_length())
     if max(bits) + room > 64:
@@ -195,16 +197,17 @@ def _counted(table: pa.Table, bits: list[int]) -> list[tuple[np.ndarray, np.ndar
         for part, (row, code) in enumerate(_grams(offsets, data)):
             keys = code >> np.uint64(64 - bits[part])
             found[part].append((keys << np.uint64(room)) | (first + row).astype(np.uint64))
-    out = []
-    for own in found:
-        both = np.concatenate([np.zeros(0, np.uint64), *own])
-        own.clear()
+    while found:
+        both = np.concatenate([np.zeros(0, np.uint64), *found.pop(0)])
         both.sort()
-        at = np.flatnonzero(np.append(True, both[1:] != both[:-1])) if len(both) else np.zeros(0, np.int64)
-        n = np.diff(np.append(at, len(both)))
+        at = _firsts(both)
+        n = np.diff(np.append(at, len(both))).astype(np.int32)  # fewer than a chunk has bytes
         both = both[at]
-        out.append((both >> np.uint64(room), (both & np.uint64((1 << room) - 1)).astype(np.int64), n))
-    return out
+        del at
+        keys, row = both >> np.uint64(room), (both & np.uint64((1 << room) - 1)).astype(np.int32)
+        del both
+        yield keys, row, n
+        del keys, row, n
 
 
 def _firsts(keys: np.ndarray) -> np.ndarray:
@@ -223,8 +226,8 @@ def _send(table: pa.Table, bits: list[int], good: np.ndarray, split: int) -> pa.
         counts = np.zeros((len(first), 2), np.int64)
         if len(first):
             alone = np.diff(np.append(first, len(keys))) == 1
-            counts[:, 0] = 2 * np.add.reduceat(n, first) + alone
-            counts[:, 1] = np.add.reduceat(n * is_good[row], first)
+            counts[:, 0] = 2 * np.add.reduceat(n, first, dtype=np.int64) + alone
+            counts[:, 1] = np.add.reduceat(n * is_good[row], first, dtype=np.int64)
         keys = keys[first]
         step = min(split, bits[part])
         edges = np.searchsorted(keys >> np.uint64(bits[part] - step), np.arange((1 << step) + 1, dtype=np.uint64))
@@ -282,18 +285,21 @@ def _weigh(table: pa.Table, told: pa.Table, bits: list[int], totals: list, good:
         shared = np.concatenate([_marks(r) for r in own])
         sums = np.concatenate([_expand(r["counts"], "<i8").reshape(-1, 2) for r in own])
         size = np.bincount(row, weights=n, minlength=len(out)).astype(np.int64)
-        new = np.ones(len(keys), bool)
-        new[1:] = keys[1:] != keys[:-1]
-        key = np.cumsum(new) - 1
-        hit = shared[key]
-        place = (np.cumsum(shared) - 1)[key]
-        row, n, place = row[hit], n[hit], place[hit]
-        mine = is_good[row]
-        raw, target = sums[place, 0] - n, sums[place, 1] - n * mine
-        all_raw, all_target = totals[part][0] - size[row], totals[part][1] - size[row] * mine
-        expected = raw * (all_target / np.maximum(all_raw, 1))
-        weight = np.clip(np.log((target + SMOOTHING) / (expected + SMOOTHING)), -CLIP, CLIP)
-        out += np.bincount(row, weights=weight * n, minlength=len(out))
+        all_raw, all_target = totals[part][0] - size, totals[part][1] - size * is_good
+        share = all_target / np.maximum(all_raw, 1)
+        at, sums_before, weights = -1, np.cumsum(shared) - 1, np.zeros(len(out))
+        for a in range(0, len(keys), STRETCH):  # a stretch at a time, as the steps take many times the keys' memory
+            z = min(a + STRETCH, len(keys))
+            new = keys[a:z] != (keys[a - 1 : z - 1] if a else np.append(~keys[:1], keys[: z - 1]))
+            key = np.cumsum(new) + at
+            at = int(key[-1])
+            hit = shared[key]
+            place, of, times = sums_before[key[hit]], row[a:z][hit], n[a:z][hit].astype(np.int64)
+            raw, target = sums[place, 0] - times, sums[place, 1] - times * is_good[of]
+            weight = np.clip(np.log((target + SMOOTHING) / (raw * share[of] + SMOOTHING)), -CLIP, CLIP)
+            np.add.at(weights, of, weight * times)
+        out += weights
+        del keys, row, n, shared, sums, sums_before
     return out
 
 
