@@ -1,4 +1,5 @@
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -158,3 +159,26 @@ def test_no_column_of_the_result_is_missing(documents):
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     ]
     assert documents.where(F.col("text").isNull()).count() == 0
+
+
+def test_exceptions_are_packed_for_many_blocks_at_once():
+    """A few calls a block, though each has exceptions; reading takes none for a block."""
+    ids = np.random.default_rng(2).integers(0, 200, 128 * 400).astype(np.uint32)
+    ids[::50] += 40_000
+
+    def calls(f, *args):
+        count = 0
+
+        def seen(frame, event, arg):
+            nonlocal count
+            count += event in ("call", "c_call")
+
+        sys.setprofile(seen)
+        try:
+            return f(*args), count
+        finally:
+            sys.setprofile(None)
+
+    segment, packing = calls(pfor.pack, ids)
+    found, reading = calls(pfor.unpack, segment)
+    assert (found == ids).all() and packing < 4 * 400 and reading < 400

@@ -72,11 +72,14 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) ->
         low = part & np.uint32((1 << width) - 1) if width < 32 else part
         packed = _packed(low, width)
         high = part >> np.uint32(width) if width < 32 else np.zeros_like(part)
-        for k, row in enumerate(rows.tolist()):
-            places = np.flatnonzero(high[k])
-            head = np.uint32(least[row]).tobytes() + bytes((width, len(places)))
-            rest = places.astype(np.uint8).tobytes() + high[k][places].astype("<u4").tobytes()
-            bodies[row] = head + packed[k].tobytes() + rest
+        at, place = np.nonzero(high)
+        count = np.bincount(at, minlength=len(rows))
+        heads, body, size = least[rows].astype("<u4").tobytes(), packed.tobytes(), packed.shape[1]
+        places, highs = place.astype(np.uint8).tobytes(), high[at, place].astype("<u4").tobytes()
+        for k, (row, c, z) in enumerate(zip(rows.tolist(), count.tolist(), np.cumsum(count).tolist(), strict=True)):
+            a = z - c
+            head = heads[4 * k : 4 * k + 4] + bytes((width, c))
+            bodies[row] = head + body[size * k : size * (k + 1)] + places[a:z] + highs[4 * a : 4 * z]
     starts = np.zeros(blocks + 1, "<u4")
     np.cumsum([len(b) for b in bodies], out=starts[1:])
     return np.array([n, blocks], "<u4").tobytes() + starts.tobytes() + b"".join(bodies)
@@ -127,11 +130,11 @@ def unpack(segment: bytes, block: int = BLOCK) -> np.ndarray:
     for width in np.unique(widths).tolist():
         rows = np.flatnonzero(widths == width)
         out[rows] = _unpacked(data, starts[rows] + 6, block, width)
-    for row in np.flatnonzero(exceptions).tolist():
-        k, width = int(exceptions[row]), int(widths[row])
-        at = int(starts[row]) + 6 + block * width // 8
-        high = np.frombuffer(segment, "<u4", k, at + k)
-        out[row, data[at : at + k]] |= high << np.uint32(width)
+    row = np.repeat(np.arange(blocks), exceptions)
+    at = (starts + 6 + block * widths // 8)[row]
+    k = np.arange(len(row)) - np.repeat(np.cumsum(exceptions) - exceptions, exceptions)
+    high = data[(at + exceptions[row] + 4 * k)[:, None] + np.arange(4)].view("<u4").reshape(-1)
+    out[row, data[at + k]] |= high << widths[row].astype(np.uint32)
     out += least[:, None]
     return out.reshape(-1)[:n]
 
