@@ -251,13 +251,16 @@ def deep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("page_id"), F.lit("https://x.io").alias("url"), html.alias("html")
     )
     profile = replace(P.SMARTRECRUITERS, roles=None)
-    found = extract(pages, profile, keep=("page_id",))
-    depths = html_nodes(pages, "page_id", attributes=()).select(
-        "page_id",
+    # One scan for both, and what is found stored, so that no scan has to end within the time limit of a broadcast.
+    scanned = html_nodes(pages, "page_id", attributes=profile.attributes()).select(
+        "*",
         (F.array_max(F.transform("nodes", lambda n: n["depth"])) - 4).cast("bigint").alias("depth"),
+        F.monotonically_increasing_id().alias("page"),
     )
-    # Stored, so that no scan has to end within the time limit of a broadcast.
-    return stored(found).join(stored(depths), "page_id").select("page_id", "pos", "title", "url", "depth")
+    rows = stored(extract(scanned, profile, keep=("page_id", "page", "depth"), every=True).select("page_id", "page", "depth", "pos", "title", "url"))
+    found = rows.where(F.col("url").isNotNull()).select("page_id", "pos", "title", "url")
+    depths = rows.groupBy("page_id", "page").agg(F.first("depth").alias("depth"))
+    return found.join(depths.drop("page"), "page_id").select("page_id", "pos", "title", "url", "depth")
 
 
 def _item_markup(item: Column) -> Column:

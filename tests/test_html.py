@@ -330,3 +330,89 @@ def test_deep_pages_of_one_small_file_are_dealt_out(spark, tmp_path, monkeypatch
     rows = sorted(tuple(r) for r in found.collect())
     assert rows == [(i, 1003 + i, f"name {i}", f"https://careers.smartrecruiters.com/{i}", 1002 + i) for i in range(30)]
     assert scanned == [10, 10]
+
+
+def test_runs_of_tags_are_taken_as_one_by_one(monkeypatch):
+    """Begins or ends in a row, whatever they end, shield or silence, between text, comments and broken markup."""
+    draw = random.Random(8)
+    names = "p div ul li dl dd a b span section button table tr td select option h1 h2 object template br img title script rt DIV x-y x1".split()
+    other = [" ", "x &amp; y", "<!-- <div><div><div><div> -->", '<a href="<b><b><b><b>">', "<i class=x>", "<", "</", "<div", "<p/>", "\xa0"]
+
+    def page():
+        out, open_ = [], []
+        for _ in range(draw.randrange(1, 12)):
+            kind = draw.random()
+            if kind < 0.4:
+                some = draw.sample(names, draw.randrange(1, 4))
+                new = draw.choices(some, k=draw.randrange(1, 9))
+                out += [f"<{t}>" for t in new]
+                open_ += new
+            elif kind < 0.8:
+                for _ in range(draw.randrange(1, 9)):
+                    out.append(f"</{open_.pop() if open_ and draw.random() < 0.97 else draw.choice(names)}>")
+            else:
+                out.append(draw.choice(other))
+        return "".join(out)
+
+    pages = [page() for _ in range(3000)] + ["<div>" * 700 + "x" + "</div>" * 690 + "</p></div>" * 9 + "y", "</b></b></b></b>x", "<b><i><b><i>"]
+    assert sum(html._RUN.search(p) is not None for p in pages) > 2000
+    got = scan(*pages)
+    monkeypatch.setattr(html, "_RUN", html.re.compile(r"(?!)"))
+    assert got == scan(*pages)
+
+
+def test_deep_markup_is_read_in_runs(monkeypatch):
+    page = "".join(f"<{t}>" for t in ("div", "b", "section", "i")) * 2_000
+    page += "x" + "".join(f"</{t}>" for t in ("i", "section", "b", "div")) * 2_000
+
+    def seconds():
+        start = time.perf_counter()
+        _NodeColumns().add_page(page)
+        return time.perf_counter() - start
+
+    runs = min(seconds() for _ in range(5))
+    monkeypatch.setattr(html, "_RUN", html.re.compile(r"(?!)"))
+    assert runs < 0.7 * min(seconds() for _ in range(5))
+
+
+@pytest.mark.parametrize("unit", ["<ul><li>", "</x>", "<b><b><b><b><br>", "<b><b><b><b></b></x></x></x>", "<ul><li><a>x</a></li></ul></div><div><b>"])
+def test_runs_that_cannot_be_taken_take_linear_time(unit):
+    def seconds(n):
+        start = time.perf_counter()
+        _NodeColumns().add_page(unit * n)
+        return time.perf_counter() - start
+
+    seconds(500)
+    few, many = min(seconds(2_500) for _ in range(3)), min(seconds(20_000) for _ in range(3))
+    assert many < 24 * few
+
+
+def test_scanned_pages_are_extracted_without_another_scan(spark, monkeypatch):
+    pages = spark.createDataFrame(
+        [(1, "https://x.io", '<a href="/job/1">TD one</a><a href="/job/2">TD two</a>'), (2, "https://x.io", "none"), (3, "https://x.io", None)],
+        "page_id long, url string, html string",
+    )
+    want = sorted(tuple(r) for r in extract(pages, P.SIMPLE, keep=("page_id", "url")).collect())
+    scanned = html_nodes(pages, "page_id", "url", attributes=P.SIMPLE.attributes())
+    monkeypatch.setattr(type(pages), "mapInArrow", None)
+    assert len(want) == 2 and sorted(tuple(r) for r in extract(scanned, P.SIMPLE, keep=("page_id", "url")).collect()) == want
+    every = extract(scanned, P.SIMPLE, keep=("page_id", "url"), every=True).select("page_id", "title").collect()
+    assert sorted((r.page_id, r.title or "") for r in every) == [(1, "TD one"), (1, "TD two"), (2, ""), (3, "")]
+
+
+def test_deep_pages_are_scanned_once(spark, tmp_path, monkeypatch):
+    """Rows that share a key meet each other's depths; parts without a name list nothing."""
+    parts = [(1, "a"), (1, "a"), (2, None), (3, "b"), (3, None), (4, "c</h4></a><li class='opening-job'><a href='/x'><h4>d"), (None, "e")]
+    spark.createDataFrame(parts, "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    scans, scan_ = [], type(spark.range(1)).mapInArrow
+
+    def counted(df, *args, **kwargs):
+        scans.append(df)
+        return scan_(df, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", counted)
+    rows = [(r.page_id, r.pos, r.title, r.depth) for r in layouts.deep_pages(spark, str(tmp_path)).collect()]
+    assert sorted(rows, key=str) == [
+        *[(1, 1004, "a", 1003)] * 4, (3, 1006, "b", 1005), (3, 1006, "b", None), (4, 1007, "c", 1006), (4, 1011, "d", 1006),
+    ]
+    assert len(scans) == 1

@@ -200,6 +200,7 @@ def extract(
     profile: Column | None = None,
     keep: tuple[str, ...] = ("page_id", "url", "company"),
     errors: bool = False,
+    every: bool = False,
 ) -> DataFrame:
     """Listings of all pages in one pass: ``keep`` columns (``url`` as ``page_url``) + listing.
 
@@ -208,6 +209,9 @@ def extract(
     (``page_errors`` lists them); with ``errors`` it is one row with its message in ``error``,
     and without a ``url`` (``scan_errors``). Pages whose markup lacks what every listing of their
     profile holds are left out before the scan.
+
+    ``pages`` that ``html_nodes`` has scanned, with the attributes that the profiles name, are not scanned
+    again. With ``every`` each page that reaches the extraction has a row, without a ``url`` if it lists nothing.
     """
     single = isinstance(profiles, Profile)
     kept = list(keep)
@@ -216,9 +220,10 @@ def extract(
         if "profile" not in kept:
             kept.append("profile")
     used = [profiles] if single else profiles.values()
-    if single:
+    has_markup = "html" in pages.columns  # else they have been scanned
+    if has_markup and single:
         pages = pages.where(may_list(profiles))
-    else:
+    elif has_markup:
         tests = [F.when(F.col("profile") == name, may_list(p)) for name, p in profiles.items()]
         pages = pages.where(F.coalesce(*tests))
     scanned = html_nodes(pages, *kept, attributes=set().union(*(p.attributes() for p in used)))
@@ -232,7 +237,7 @@ def extract(
     shown = [F.col(c).alias("page_url") if c == "url" else F.col(c) for c in keep]
     # Outer, as the plain form makes the optimizer test the array's size first and
     # so evaluate the whole extraction twice.
-    listed = F.col("url").isNotNull()
+    listed = F.col("url").isNotNull() | F.lit(every)
     if not errors:
         return scanned.select(*shown, F.inline_outer(found)).where(listed)
     return scanned.select(*shown, "error", F.inline_outer(found)).where(listed | F.col("error").isNotNull())
