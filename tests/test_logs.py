@@ -2,13 +2,15 @@ import random
 import re
 from contextlib import contextmanager
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from catalog import logs as catalog_logs
 from winnow.operators.logdigest import digest_files, digest_lines
 from winnow.plans import stages
-from winnow.sources.logs import log_lines, read_log_lines, read_logs
+from winnow.sources.logs import _outlines, log_lines, read_log_lines, read_logs
+from winnow.sources.tables import stored
 
 
 def expected(lines):
@@ -167,3 +169,72 @@ def test_no_task_sorts_a_whole_log(spark, tmp_path, monkeypatch):
     assert {r.file: (r.n, r["last"], r.digest) for r in counted} == {
         f: (len(x), len(x) - 1, sum(i * len(line) for i, line in enumerate(x))) for f, x in want.items()
     }
+
+
+def outline_of(rows, sizes, tail):
+    """What ``_outlines`` makes of (file, range, line) rows that come in batches of so many."""
+    schema = pa.schema([("file", pa.string()), ("range", pa.int64()), ("line", pa.string()), ("place", pa.int64())])
+    batches, at = [], 0
+    for size in sizes:
+        part = [(*r, at + i) for i, r in enumerate(rows[at : at + size])]
+        batches.append(pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in part], schema=schema))
+        at += size
+    return [tuple(r.values()) for b in _outlines(iter(batches), "!", tail) for r in b.to_pylist()]
+
+
+def test_outlines_of_ranges_in_batches():
+    """Ranges and files that end anywhere in a batch, batches of a row and of none, errors in every place."""
+    draw = random.Random(4)
+    for case in range(400):
+        tail, rows, want = draw.choice([1, 2, 10]), [], []
+        for file in "ab"[: draw.randrange(3)]:
+            for start in range(draw.randrange(1, 5)):
+                lines = [draw.choice(["ok", "!", "! e", "", "é"] if case % 3 else ["ok"]) for _ in range(draw.randrange(1, 14))]
+                first, last = len(rows), len(rows) + len(lines) - 1
+                want += [(file, start, first, "first", lines[0], None), (file, start, last, "last", None, None)]
+                hits = [(file, start, first + i, "error", x, (lines + [None])[i + 1]) for i, x in enumerate(lines) if x.startswith("!")]
+                ends = [(file, start, first + i, "tail", x, None) for i, x in enumerate(lines) if i >= len(lines) - tail]
+                want += hits or ends
+                rows += [(file, start, x) for x in lines]
+        sizes = []
+        while sum(sizes) < len(rows):
+            sizes.append(min(draw.randrange(6) if case % 2 else draw.randrange(40), len(rows) - sum(sizes)))
+        assert sorted(outline_of(rows, sizes, tail), key=repr) == sorted(want, key=repr)
+
+
+def test_small_ranges_are_read_by_few_tasks(spark, tmp_path):
+    """Thousands of ranges: what takes time is the task, so one reads many of them, in order."""
+    lines = ["! e" if i % 40 == 7 else f"line {i}" for i in range(20_000)]
+    (tmp_path / "a.log").write_text("".join(f"{x}\n" for x in lines))
+    with ranges_of(spark, 100):
+        numbered = read_log_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 1_500
+        assert 32 <= numbered.rdd.getNumPartitions() <= 200
+        assert [(r.line_no, r.line) for r in numbered.orderBy("line_no").collect()] == list(enumerate(lines))
+
+
+def test_text_is_read_once_and_not_joined(spark, tmp_path, monkeypatch):
+    """Every other line an error, no table broadcast: a line finds the next one where it is read."""
+    lines = [f"! e {i}" if i % 2 else f"line {i}" for i in range(5_000)]
+    (tmp_path / "a.log").write_text("\n".join(lines))
+    (tmp_path / "b.log").write_text("\n".join(f"calm {i}" for i in range(5_000)))
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr("winnow.sources.logs.stored", seen)
+    monkeypatch.setattr("winnow.operators.logdigest.stored", seen)
+    monkeypatch.setattr(catalog_logs, "_RANGE_BYTES", 5_000)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = catalog_logs._in_ranges(spark, lambda: stages.run_log_digest(spark, str(tmp_path)))
+        got = {k.rsplit("/", 1)[1]: v for k, v in digests(found).items()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+    reading = [p for p in plans if " text" in p]
+    assert len(reading) == 1 and "Join" not in reading[0]
+    assert got == {"a.log": sorted(expected(lines)), "b.log": [(i, "tail", f"calm {i}", None) for i in range(4_990, 5_000)]}

@@ -50,7 +50,11 @@ def digest_lines(lines: DataFrame, tail: int = TAIL) -> DataFrame:
     the lines after them and the last lines of files without any, follow from the errors and from the
     length of each file. They are stored, so that their size is known, and looked up in one reading:
     few of them are broadcast, and no text is shuffled; more are matched in one shuffle.
+
+    What ``read_outline`` has found, a ``kind`` and the ``next`` line beside a line, need not be looked up.
     """
+    if "next" in lines.columns:
+        return lines.select("file", "line_no", "kind", strip(F.col("line")).alias("line"), strip(F.col("next")).alias("context"))
     at = ["file", "line_no"]
     errors = stored(lines.where(F.startswith(F.col("line"), F.lit("!"))).select(*at, "line"))
     ends = lines.groupBy("file").agg(F.max("line_no").alias("end"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from winnow.functions.urls import job_id
 from winnow.operators.documents import build_prompts, write_documents
 from winnow.operators.extract import extract, scan_errors
-from winnow.operators.logdigest import digest_lines
+from winnow.operators.logdigest import TAIL, digest_lines
 from winnow.operators.profiles import LIVE_PROFILES
 from winnow.operators.state import (
     LATE_COLUMNS,
@@ -33,7 +33,7 @@ from winnow.operators.triage import apply_triage, triage, triage_summary
 from winnow.plans.application import ingest_responses
 from winnow.plans.discovery import discovery_metrics, dispatch, in_target_order
 from winnow.schemas import JOBS
-from winnow.sources.logs import read_log_lines
+from winnow.sources.logs import read_outline
 from winnow.sources.page_index import PageIndex
 from winnow.sources.tables import Version, buckets_of, land, newest, read_latest, read_version, stored, write_next
 
@@ -173,7 +173,7 @@ def run_log_digest(spark: SparkSession, path: str, glob: str = "*.log", parts: b
 
     With ``parts`` the files of a folder are one log, in the order of their names.
     """
-    return digest_lines(read_log_lines(spark, path, glob, parts))
+    return digest_lines(read_outline(spark, path, glob, parts, tail=TAIL))
 
 
 def run_reset(spark: SparkSession, root: str) -> int:
